@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TIME = "yyyy-MM-dd HH:mm:ss"
+from millwright.functions.times import clock_text
+
 OUTCOMES = ("Restored", "Temporarily Fixed", "Root Cause Identified", "Deferred")
 SKILLS = ("Junior", "Intermediate", "Senior", "Expert")
 UNPLANNED, PLANNED = "Unplanned Breakdown", "Planned Maintenance"
@@ -45,8 +46,8 @@ def events_as_maintenance(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("L"), (uid % 7).cast("string")).alias("line_id"),
         F.col("event_type").alias("maintenance_type"),
         F.when(F.col("event_type") == "error", UNPLANNED).otherwise(PLANNED).alias("reason"),
-        F.date_format("ts", TIME).alias("start_time"),
-        F.date_format(_later(F.col("ts"), k * 3), TIME).alias("end_time"),
+        clock_text(F.col("ts")).alias("start_time"),
+        clock_text(_later(F.col("ts"), k * 3)).alias("end_time"),
         (k * 3).alias("downtime_min"),
         uid.cast("string").alias("technician_id"),
         _parts(eid % 4, k).alias("parts_used"),
@@ -69,8 +70,8 @@ def lineitem_as_maintenance(spark: SparkSession, sf_dir: str) -> DataFrame:
             "maintenance_type"
         ),
         F.when(F.col("l_returnflag") == "R", UNPLANNED).otherwise(PLANNED).alias("reason"),
-        F.date_format(ship, TIME).alias("start_time"),
-        F.date_format(_later(ship, qty), TIME).alias("end_time"),
+        clock_text(ship).alias("start_time"),
+        clock_text(_later(ship, qty)).alias("end_time"),
         qty.alias("downtime_min"),
         F.col("l_suppkey").cast("string").alias("technician_id"),
         _parts(okey % 4, qty).alias("parts_used"),

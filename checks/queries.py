@@ -20,7 +20,7 @@ from checks.adapters import (
     suppliers_as_roster,
     table,
 )
-from millwright.functions.times import local_to_utc
+from millwright.functions.times import day_text, local_to_utc, month_text
 from millwright.operators import alerts, clean, enrich, fact, kpis, quality, summary
 from millwright.params import AlertLimits, ExpectedRows, Params
 from millwright.plans import pipeline
@@ -101,8 +101,8 @@ def local_to_utc_events(spark, sf):
         "event_id",
         "start_time_utc",
         "end_time_utc",
-        F.date_format("start_time_utc", "yyyy-MM-dd").alias("event_date"),
-        F.date_format("start_time_utc", "yyyy-MM").alias("event_year_month"),
+        day_text(F.col("start_time_utc")).alias("event_date"),
+        month_text(F.col("start_time_utc")).alias("event_year_month"),
     )
 
 

@@ -15,6 +15,28 @@ def wall_clock(value: Column, dtype: DataType) -> Column:
     return value.cast("timestamp_ntz")
 
 
+def clock_text(ts: Column) -> Column:
+    """Zone-free timestamp as ``yyyy-MM-dd HH:mm:ss``, fractions dropped.
+
+    A cast, since the formatting functions first move the value into the session
+    time zone, where a clock change may alter it.
+    """
+    return F.substring_index(ts.cast("string"), ".", 1)
+
+
+def day_text(ts: Column) -> Column:
+    return ts.cast("date").cast("string")
+
+
+def month_text(ts: Column) -> Column:
+    return F.substring_index(day_text(ts), "-", 2)
+
+
+def utc_now() -> Column:
+    """Start time of the running query, in UTC."""
+    return F.convert_timezone(None, F.lit("UTC"), F.localtimestamp())
+
+
 def local_to_utc(value: Column, dtype: DataType, zone: str) -> Column:
     """Wall-clock time in ``zone`` as a zone-free UTC timestamp.
 

@@ -102,6 +102,11 @@ def time_rules() -> list[Rule]:
     ]
 
 
+def unreadable_rules(column: str = "unreadable_columns") -> list[Rule]:
+    """Rows of a checked CSV read in which some value did not convert."""
+    return [Check("unreadable_values", f"{column} <> ''", WARN)]
+
+
 def production_rules(expected: ExpectedRows = ExpectedRows()) -> list[Rule]:
     return [
         *row_count_rules("row_count", expected.production),
@@ -268,5 +273,7 @@ def violations(
             null_safe=True,
         )
         flags.append(F.col(f"__dup{i}"))
-    failed = F.array_compact(F.array(*flags))
-    return df.select(*columns, failed.alias("failed_rules")).where(F.size("failed_rules") > 0)
+    broken = reduce(lambda a, b: a | b, [f.isNotNull() for f in flags])
+    return df.where(broken).select(
+        *columns, F.array_compact(F.array(*flags)).alias("failed_rules")
+    )

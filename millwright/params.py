@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from datetime import datetime, timezone
+from datetime import datetime
 
 
 @dataclass(frozen=True)
@@ -64,9 +64,7 @@ class Params:
     alerts: AlertLimits = field(default_factory=AlertLimits)
     expected_rows: ExpectedRows = field(default_factory=ExpectedRows)
     joins: JoinLimits = field(default_factory=JoinLimits)
-    run_ts: datetime = field(
-        default_factory=lambda: datetime.now(timezone.utc).replace(tzinfo=None)
-    )
+    run_ts: datetime | None = None  # UTC load time to record; None is the query's start
     on_fail: str = "warn"  # or "raise"
     clamp_downtime: bool = False
     fill_parts: bool = False

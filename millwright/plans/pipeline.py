@@ -6,8 +6,7 @@ import logging
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from millwright.operators import quality
 from millwright.operators.clean import clean_events
@@ -18,7 +17,7 @@ from millwright.operators.summary import rollup_metrics
 from millwright.params import Params
 from millwright.schemas import EVENTS, FACT, PRODUCTION, ROSTER, SUMMARY
 from millwright.sinks.export import write
-from millwright.sources.tables import read_table
+from millwright.sources.tables import read_csv_checked, read_table
 
 log = logging.getLogger(__name__)
 
@@ -34,16 +33,20 @@ class RunReport:
 
 
 def read_inputs(spark: SparkSession, input_dir: str, fmt: str = "csv") -> dict[str, DataFrame]:
-    """The three input tables under ``input_dir``, with their declared schemas."""
+    """The three input tables under ``input_dir``, with their declared types."""
     names = {
         "events": ("maintenance_events", EVENTS),
         "production": ("manufacturing_factory_dataset", PRODUCTION),
         "roster": ("operators_roster", ROSTER),
     }
-    return {
-        key: read_table(spark, f"{input_dir}/{name}.{fmt}", schema, fmt)
-        for key, (name, schema) in names.items()
-    }
+    tables = {}
+    for key, (name, schema) in names.items():
+        path = f"{input_dir}/{name}.{fmt}"
+        if fmt == "csv":
+            tables[key] = read_csv_checked(spark, path, schema)
+        else:
+            tables[key] = read_table(spark, path, schema, fmt)
+    return tables
 
 
 def fact_of(
@@ -63,7 +66,10 @@ def check_inputs(tables: dict[str, DataFrame], params: Params) -> dict[str, dict
     }
     reports: dict[str, dict] = {}
     for name, df in tables.items():
-        report = quality.evaluate(df, name, rules[name](params.expected_rows))
+        checks = rules[name](params.expected_rows)
+        if "unreadable_columns" in df.columns:
+            checks += quality.unreadable_rules()
+        report = quality.evaluate(df, name, checks)
         reports.update(quality.summaries(report))
     return reports
 
@@ -105,16 +111,15 @@ def run(
         log.info("roster join: %s", strategy)
 
         fact_path = f"{output_dir}/fact_maintenance_events.parquet"
-        counted = Observation("fact")
-        fact = fact_of(events, roster, params, strategy).observe(
-            counted, F.count(F.lit(1)).alias("rows")
-        )
-        write(fact, fact_path, partition_by=partition_by)
-        report.row_counts["fact"] = counted.get["rows"]
+        write(fact_of(events, roster, params, strategy), fact_path, partition_by=partition_by)
         report.outputs["fact_parquet"] = fact_path
+        stored = read_table(spark, fact_path, FACT)
+        # Counted from the stored files' footers: exact whatever tasks were re-run.
+        report.row_counts["fact"] = stored.count()
+        if report.row_counts["fact"] < report.row_counts["events_raw"]:
+            raise RuntimeError("the stored fact has fewer rows than the events")
         lap("fact")
 
-        stored = read_table(spark, fact_path, FACT)
         summary_path = f"{output_dir}/summary_maintenance_metrics.parquet"
         write(rollup_metrics(stored), summary_path)
         report.outputs["summary_parquet"] = summary_path

@@ -16,6 +16,9 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from millwright.functions.times import clock_text
+from millwright.sources.tables import csv_options
+
 
 def csv_safe(df: DataFrame) -> DataFrame:
     """Nested columns as JSON text and timestamps as ``yyyy-MM-dd HH:mm:ss``."""
@@ -24,7 +27,7 @@ def csv_safe(df: DataFrame) -> DataFrame:
         if isinstance(f.dataType, (ArrayType, MapType, StructType)):
             return F.to_json(F.col(f.name)).alias(f.name)
         if isinstance(f.dataType, (TimestampType, TimestampNTZType)):
-            return F.date_format(f.name, "yyyy-MM-dd HH:mm:ss").alias(f.name)
+            return clock_text(F.col(f.name)).alias(f.name)
         return F.col(f.name)
 
     return df.select(*[flat(f) for f in df.schema.fields])
@@ -39,12 +42,14 @@ def write(
     num_files: int | None = None,
     rows_per_file: int | None = None,
     replace_partitions_only: bool = False,
+    rebalance: bool = True,
 ) -> None:
     """Write Parquet or CSV in parallel.
 
-    ``partition_by`` lays the files out by column; the rebalance hint gathers a
+    ``partition_by`` lays the files out by column; ``rebalance`` gathers a
     partition's rows into few files and splits a partition that is too large
-    for one task. ``replace_partitions_only`` limits an overwrite to the
+    for one task. It costs a shuffle, so switch it off for input that already
+    arrives by partition. ``replace_partitions_only`` limits an overwrite to the
     partitions present in ``df``, so a re-run replaces just its own days.
     ``num_files`` is for small extracts that must arrive as a fixed file count.
     """
@@ -53,11 +58,11 @@ def write(
     out = csv_safe(df) if fmt == "csv" else df
     if num_files is not None:
         out = out.coalesce(num_files)
-    elif partition_by:
+    elif partition_by and rebalance:
         out = out.hint("rebalance", *partition_by)
     writer = out.write.mode(mode).format(fmt)
     if fmt == "csv":
-        writer = writer.options(header=True, quote='"', escape='"', quoteAll=True)
+        writer = writer.options(**csv_options(), quoteAll=True)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if rows_per_file:

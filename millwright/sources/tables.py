@@ -3,34 +3,58 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from millwright.functions.text import flag_text
+
+
+def csv_options() -> dict[str, object]:
+    return {"header": True, "quote": '"', "escape": '"'}
+
 
 def read_table(
     spark: SparkSession,
     path: str,
-    schema: StructType | None = None,
+    schema: StructType | str | None = None,
     fmt: str | None = None,
-    corrupt_column: str | None = None,
 ) -> DataFrame:
     """CSV (with header) or Parquet as a DataFrame.
 
     The format follows the path's suffix unless given. CSV without a schema is
-    inferred, at the price of one more scan. ``corrupt_column`` names a text
-    column that keeps CSV lines not fitting the schema, so that a quality rule
-    can count them.
+    inferred, at the price of one more scan.
     """
     fmt = fmt or ("csv" if path.rstrip("/").endswith(".csv") else "parquet")
     if fmt not in ("csv", "parquet"):
         raise ValueError(f"unsupported format: {fmt}")
     reader = spark.read
     if fmt == "csv":
-        reader = reader.option("header", True).option("quote", '"').option("escape", '"')
+        reader = reader.options(**csv_options())
         if schema is None:
             reader = reader.option("inferSchema", True)
-        elif corrupt_column:
-            schema = StructType([*schema.fields, StructField(corrupt_column, StringType())])
-            reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.format(fmt).load(path)
+
+
+def read_csv_checked(
+    spark: SparkSession, path: str, schema: StructType, unreadable: str = "unreadable_columns"
+) -> DataFrame:
+    """CSV with its declared types, and the names of the columns that did not convert.
+
+    A plain typed read turns such values into NULL unseen. Here the text is
+    converted by expressions, so a rule on ``unreadable`` (names joined by '|',
+    '' when all converted) finds them whichever columns a query uses.
+    """
+    text = StructType([StructField(f.name, StringType()) for f in schema.fields])
+    raw = read_table(spark, path, text, "csv")
+    typed = {
+        f.name: F.col(f.name).try_cast(f.dataType)
+        for f in schema.fields
+        if not isinstance(f.dataType, StringType)
+    }
+    lost = [(F.col(c).isNotNull() & v.isNull(), c) for c, v in typed.items()]
+    return raw.select(
+        *[typed.get(c, F.col(c)).alias(c) for c in raw.columns],
+        flag_text(*lost).alias(unreadable),
+    )

@@ -1,0 +1,140 @@
+import random
+from datetime import date, datetime, timezone
+from decimal import ROUND_HALF_UP, Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from millwright.functions.money import cents, half_up, unit_cost
+from millwright.operators.fact import severity
+from millwright.params import Params
+from millwright.plans.pipeline import fact_of
+from millwright.schemas import FACT
+
+RUN = datetime(2025, 2, 1, 12, 0)
+
+
+@pytest.fixture
+def one_fact(events, roster):
+    def make(**row):
+        df = fact_of(events(row), roster(("T1", "Senior", 90.0)), Params(run_ts=RUN))
+        return df, df.first()
+
+    return make
+
+
+def test_fact_contract(one_fact):
+    df, row = one_fact(next_due_date=date(2025, 1, 13), reason="Unplanned Breakdown")
+    assert df.dtypes == [(f.name, f.dataType.simpleString()) for f in FACT]
+    assert len(df.columns) == 26
+    assert row.asDict() == {
+        "maint_event_id": "E0",
+        "factory_id": "F1",
+        "line_id": "L1",
+        "start_timestamp": datetime(2025, 1, 10, 9, 0),
+        "end_timestamp": datetime(2025, 1, 10, 9, 30),
+        "event_date": "2025-01-10",
+        "event_year_month": "2025-01",
+        "maintenance_type": "Preventive",
+        "reason": "Unplanned Breakdown",
+        "outcome": "Restored",
+        "is_unplanned_breakdown": True,
+        "downtime_category": "downtime",
+        "downtime_min": 30,
+        "cost_eur": 100.0,
+        "cost_per_downtime_min": Decimal("3.33"),
+        "severity_level": "Low",
+        "technician_id": "T1",
+        "operator_skill_level": "Senior",
+        "operator_reliability": 90.0,
+        "parts_count": 2,
+        "parts_list": ["P1", "P2"],
+        "next_due_date": date(2025, 1, 13),
+        "days_to_next_due": 3,
+        "data_quality_flags": "",
+        "technician_in_roster": True,
+        "load_timestamp": RUN,
+    }
+
+
+def test_dates_follow_the_utc_day(one_fact):
+    _, row = one_fact(start_time="2025-11-01 00:24:00", next_due_date=date(2025, 11, 1))
+    assert (row["event_date"], row["event_year_month"]) == ("2025-10-31", "2025-10")
+    assert row["days_to_next_due"] == 1
+
+
+@pytest.mark.parametrize("session_zone", ["UTC", "America/New_York"])
+def test_load_time_defaults_to_the_query_start_in_utc(events, roster, zone, session_zone):
+    zone(session_zone)
+    row = fact_of(events({}), roster(("T1", "Senior", 90.0))).first()
+    now = datetime.now(timezone.utc).replace(tzinfo=None)
+    assert abs((now - row["load_timestamp"]).total_seconds()) < 60
+
+
+@pytest.mark.parametrize(
+    "cost, downtime, level",
+    [
+        (2500.0, 120, "Medium"),
+        (2500.01, 0, "High"),
+        (0.0, 121, "High"),
+        (1500.0, 60, "Low"),
+        (1500.01, 0, "Medium"),
+        (0.0, 61, "Medium"),
+        (None, 121, "High"),
+        (None, 10, "Low"),
+        (3000.0, None, "High"),
+        (None, None, "Low"),
+    ],
+)
+def test_severity(spark, cost, downtime, level):
+    df = spark.createDataFrame([(cost, downtime)], "c double, d int")
+    assert df.select(severity(F.col("c"), F.col("d"))).first()[0] == level
+
+
+@pytest.mark.parametrize(
+    "cost, downtime, expected",
+    [
+        (100.0, 30, "3.33"),
+        (0.25, 10, "0.03"),  # a tie goes up
+        (-0.25, 10, "-0.03"),
+        (100.0, 0, "0.00"),
+        (100.0, -5, "0.00"),
+        (100.0, None, "0.00"),
+        (None, 30, None),
+        (None, 0, "0.00"),
+        (10.005, 1, "10.01"),
+        (5e9, 1, "5000000000.00"),
+        (float("nan"), 5, None),
+    ],
+)
+def test_unit_cost(spark, cost, downtime, expected):
+    df = spark.createDataFrame([(cost, downtime)], "c double, d int")
+    got = df.select(unit_cost(F.col("c"), F.col("d"))).first()[0]
+    assert got == (None if expected is None else Decimal(expected))
+
+
+def test_ratios_match_exact_arithmetic(spark):
+    rng = random.Random(7)
+    pairs = [(rng.randint(-(10**15), 10**15), rng.randint(1, 10**10)) for _ in range(1000)]
+    pairs += [(rng.randint(-2000, 2000), rng.randint(1, 400)) for _ in range(4000)]
+    df = spark.createDataFrame(pairs, "n bigint, d bigint")
+    rows = df.select("n", "d", half_up(F.col("n"), F.col("d"), 2).alias("q")).collect()
+    for n, d, q in rows:
+        scaled, sign = abs(n) * 100, 1 if n >= 0 else -1
+        assert q == Decimal(sign * ((2 * scaled + d) // (2 * d))).scaleb(-2), (n, d)
+
+
+def test_cents(spark):
+    df = spark.createDataFrame([(1.15,), (0.29,), (-3.005,), (None,), (float("inf"),)], "x double")
+    got = [r[0] for r in df.select(cents(F.col("x"))).collect()]
+    assert got[:2] == [115, 29] and got[3:] == [None, None]
+    assert got[2] in (-300, -301)
+
+
+def test_decimal_helper_agrees_with_python(spark):
+    rng = random.Random(11)
+    rows = [(rng.randint(0, 10**6) / 100, rng.randint(1, 500)) for _ in range(2000)]
+    df = spark.createDataFrame(rows, "c double, d int")
+    for c, d, u in df.select("c", "d", unit_cost(F.col("c"), F.col("d")).alias("u")).collect():
+        exact = Decimal(str(c)) / d
+        assert u == exact.quantize(Decimal("0.01"), ROUND_HALF_UP)

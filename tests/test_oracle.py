@@ -1,0 +1,30 @@
+"""Every registered query against its SQL oracle, exact in types and values."""
+
+from pathlib import Path
+
+import pytest
+
+import __spark_entry__ as contract
+from checks.compare import connect, differences
+
+SF = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="test tables not present")
+
+
+@pytest.fixture(scope="module")
+def con():
+    return connect(SF)
+
+
+def test_every_query_has_an_oracle():
+    assert set(contract.queries()) == set(contract.oracle_sql())
+
+
+def test_entry(spark):
+    assert contract.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", contract.queries())
+def test_query(spark, con, name):
+    got = contract.queries()[name](spark, SF)
+    assert differences(got, con, contract.oracle_sql()[name]) == []
