@@ -127,9 +127,7 @@ def parts_lists(spark, sf):
 
 @query
 def parts_lists_filled(spark, sf):
-    e = events_as_maintenance(spark, sf)
-    columns = clean.parts_columns(F.col("parts_used"), fill=True)
-    return e.withColumns(columns).select(
+    return clean.fill_parts(clean.add_parts(events_as_maintenance(spark, sf))).select(
         "event_id", F.array_join("parts_list", ";").alias("parts"), "parts_count"
     )
 

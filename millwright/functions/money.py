@@ -34,7 +34,7 @@ def half_up(num: Column, den: Column, scale: int) -> Column:
 
 def unit_cost(amount: Column, quantity: Column) -> Column:
     """Amount per unit to the cent: 0 without a positive quantity, NULL without an amount."""
-    quotient = amount.try_cast("decimal(18,4)") / quantity.cast("decimal(10,0)")
+    quotient = amount.try_cast("decimal(18,4)") / quantity.try_cast("decimal(12,0)")
     return F.when(quantity > 0, F.round(quotient, 2).cast("decimal(18,2)")).otherwise(
         F.lit(0).cast("decimal(18,2)")
     )

@@ -8,11 +8,11 @@ from pyspark.sql.types import DataType, StringType
 TIME_LAYOUT = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
 
 
-def wall_clock(value: Column, dtype: DataType) -> Column:
-    """Zone-free timestamp; text in any other layout, or no real time, gives NULL."""
+def _as_if_utc(value: Column, dtype: DataType) -> Column:
+    """The instant at which a UTC clock shows ``value``; NULL for any other text layout."""
     if isinstance(dtype, StringType):
-        return F.when(value.rlike(TIME_LAYOUT), value.try_cast("timestamp_ntz"))
-    return value.cast("timestamp_ntz")
+        return F.when(value.rlike(TIME_LAYOUT), F.concat(value, F.lit("Z")).try_cast("timestamp"))
+    return F.concat(value.cast("timestamp_ntz").cast("string"), F.lit("Z")).cast("timestamp")
 
 
 def clock_text(ts: Column) -> Column:
@@ -41,6 +41,11 @@ def local_to_utc(value: Column, dtype: DataType, zone: str) -> Column:
     """Wall-clock time in ``zone`` as a zone-free UTC timestamp.
 
     A time inside the spring gap moves forward by the gap; one inside the autumn
-    overlap takes the earlier (summer) offset.
+    overlap takes the earlier (summer) offset. ``convert_timezone`` gives the
+    same, but looks both zones up for every row; here the zone is looked up once,
+    and neither step involves the session time zone.
     """
-    return F.convert_timezone(F.lit(zone), F.lit("UTC"), wall_clock(value, dtype))
+    utc = F.to_utc_timestamp(_as_if_utc(value, dtype), zone)
+    return F.expr("timestamp_ntz'1970-01-01'") + F.unix_micros(utc) * F.expr(
+        "interval '0.000001' second"
+    )

@@ -31,10 +31,21 @@ def add_utc(df: DataFrame, columns: dict[str, str], zone: str) -> DataFrame:
     )
 
 
-def parts_columns(parts_used: Column, fill: bool = False) -> dict[str, Column]:
-    items = split_list(parts_used)
-    listed = F.coalesce(items, F.array().cast("array<string>")) if fill else items
-    return {"parts_list": listed, "parts_count": F.coalesce(F.size(items), F.lit(0))}
+def add_parts(df: DataFrame, column: str = "parts_used") -> DataFrame:
+    """Add ``parts_list`` (NULL when there is none) and ``parts_count``.
+
+    Two steps, so that the count reads the list instead of splitting again.
+    """
+    return df.withColumn("parts_list", split_list(F.col(column))).withColumn(
+        "parts_count", F.coalesce(F.size("parts_list"), F.lit(0))
+    )
+
+
+def fill_parts(df: DataFrame) -> DataFrame:
+    """A missing ``parts_list`` as an empty one."""
+    return df.withColumn(
+        "parts_list", F.coalesce("parts_list", F.array().cast("array<string>"))
+    )
 
 
 def class_columns(
@@ -77,11 +88,12 @@ def clean_events(df: DataFrame, params: Params = Params()) -> DataFrame:
     )
     if params.clamp_downtime:
         df = df.withColumn("downtime_min", clamp_non_negative(F.col("downtime_min")))
-    parts = split_list(F.col("parts_used"))
-    return df.withColumns(
+    df = add_parts(df).withColumns(
         {
-            **parts_columns(F.col("parts_used"), params.fill_parts),
             **class_columns(F.col("reason"), F.col("downtime_min"), params.labels),
-            "data_quality_flags": quality_flags(F.col("cost_eur"), parts, params.labels),
+            "data_quality_flags": quality_flags(
+                F.col("cost_eur"), F.col("parts_list"), params.labels
+            ),
         }
     )
+    return fill_parts(df) if params.fill_parts else df

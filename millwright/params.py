@@ -42,10 +42,13 @@ class ExpectedRows:
     events: tuple[int, int] | None = None
     production: tuple[int, int] | None = None
     roster: tuple[int, int] | None = None
+    fact: tuple[int, int] | None = None  # None: no fewer than the events
 
 
 # The ranges expected of the original plant's three files.
-PLANT_ROWS = ExpectedRows(events=(90, 100), production=(2000, 2100), roster=(18, 22))
+PLANT_ROWS = ExpectedRows(
+    events=(90, 100), production=(2000, 2100), roster=(18, 22), fact=(90, 100)
+)
 
 
 @dataclass(frozen=True)
@@ -63,6 +66,7 @@ class Params:
     severity: SeverityLimits = field(default_factory=SeverityLimits)
     alerts: AlertLimits = field(default_factory=AlertLimits)
     expected_rows: ExpectedRows = field(default_factory=ExpectedRows)
+    expected_total_cost: tuple[float, float] | None = None
     joins: JoinLimits = field(default_factory=JoinLimits)
     run_ts: datetime | None = None  # UTC load time to record; None is the query's start
     on_fail: str = "warn"  # or "raise"

@@ -31,7 +31,7 @@ def test_run(spark, tables, tmp_path, broadcast_bytes):
     assert report.row_counts == {"events_raw": 3, "roster_raw": 1, "production_raw": 1, "fact": 3}
     assert all(v["passed"] for v in report.validations.values())
     assert set(report.outputs) == OUTPUTS
-    assert set(report.seconds) == {"validate", "fact", "summary", "csv"}
+    assert set(report.seconds) == {"validate", "fact", "check", "summary", "csv"}
     fact = read_table(spark, report.outputs["fact_parquet"], FACT)
     assert sorted(r["technician_in_roster"] for r in fact.collect()) == [False, True, True]
     summary = read_table(spark, report.outputs["summary_parquet"], SUMMARY).first()
@@ -68,6 +68,17 @@ def test_row_count_gate_stops_the_run(spark, tables, tmp_path):
     assert not report.outputs
 
 
+def test_stored_fact_is_checked(spark, tables, events, tmp_path):
+    good = pipeline.run(spark, tables, str(tmp_path), Params(expected_total_cost=(300, 300)))
+    assert good.validations["fact"]["passed"]
+    low = pipeline.run(spark, tables, str(tmp_path), Params(expected_total_cost=(0, 299)))
+    assert low.status == "success" and low.validations["fact"]["issues"] == {"total_cost": 1}
+    tables["events"] = events({"cost_eur": -1.0})
+    negative = pipeline.run(spark, tables, str(tmp_path))
+    assert negative.validations["events"]["passed"]
+    assert not negative.validations["fact"]["passed"]
+
+
 def test_csv_inputs(spark, tables, events, tmp_path):
     write(tables["events"], str(tmp_path / "in/maintenance_events.csv"), "csv")
     write(tables["production"], str(tmp_path / "in/manufacturing_factory_dataset.csv"), "csv")
