@@ -461,8 +461,14 @@ ORACLE: dict[str, str] = {
   SELECT event_id, start_time, technician_id, parts_used, round(cost_eur, 2) AS cost_eur,
          downtime_min
   FROM L ORDER BY cost_eur DESC NULLS LAST, event_id, start_time, technician_id,
-                  parts_used NULLS FIRST, downtime_min
+                  parts_used NULLS LAST, downtime_min
   LIMIT 10000""",
+    "top_groups_presented": f"""{L_FACT}, S AS ({summary(DAY_KEYS)})
+  SELECT * REPLACE (CAST({half_up("total_downtime_min", "event_count", 2)} AS DOUBLE)
+                      AS avg_downtime_min,
+                    round(total_cost_eur, 2) AS total_cost_eur,
+                    round(avg_cost_eur, 2) AS avg_cost_eur)
+  FROM S ORDER BY S.total_cost_eur DESC NULLS LAST, {DAY_KEYS} LIMIT 1000""",
     "csv_safe": f"""{E_FACT}
   SELECT * REPLACE (CAST(to_json(parts_list) AS VARCHAR) AS parts_list,
                     strftime(start_timestamp, '%Y-%m-%d %H:%M:%S') AS start_timestamp,

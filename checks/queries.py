@@ -24,7 +24,7 @@ from millwright.functions.times import day_text, local_to_utc, month_text
 from millwright.operators import alerts, clean, enrich, fact, kpis, quality, summary
 from millwright.params import AlertLimits, ExpectedRows, Params
 from millwright.plans import pipeline
-from millwright.schemas import EVENTS, FACT, SUMMARY
+from millwright.schemas import EVENTS, FACT, SUMMARY, SUMMARY_KEYS
 from millwright.sinks import export
 from millwright.sources.tables import read_table
 
@@ -443,8 +443,14 @@ def top_events_presented(spark, sf):
     df = lineitem_as_maintenance(spark, sf).select(
         "event_id", "start_time", "technician_id", "parts_used", "cost_eur", "downtime_min"
     )
-    order = [F.desc_nulls_last("cost_eur"), *[F.asc(c) for c in df.columns if c != "cost_eur"]]
-    return export.present(df, order, PARAMS.result_limit, PARAMS.precision)
+    order = ["-cost_eur", *[c for c in df.columns if c != "cost_eur"]]
+    return export.present(df, order, PARAMS.result_limit, PARAMS.precision, narrow=True)
+
+
+@query
+def top_groups_presented(spark, sf):
+    order = ["-total_cost_eur", *SUMMARY_KEYS]
+    return export.present(summary_lineitem(spark, sf), order, 1000, PARAMS.precision)
 
 
 # --- sources and sinks -------------------------------------------------------

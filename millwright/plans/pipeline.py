@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 import time
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,14 +67,14 @@ def check_inputs(tables: dict[str, DataFrame], params: Params) -> dict[str, dict
         "production": quality.production_rules,
         "roster": quality.roster_rules,
     }
-    reports: dict[str, dict] = {}
+    reports = []
     for name, df in tables.items():
         checks = rules[name](params.expected_rows)
         if "unreadable_columns" in df.columns:
             checks += quality.unreadable_rules()
-        report = quality.evaluate(df, name, checks)
-        reports.update(quality.summaries(report))
-    return reports
+        reports.append(quality.evaluate(df, name, checks))
+    # One job for all tables, so that their stages run side by side.
+    return quality.summaries(reduce(DataFrame.unionByName, reports))
 
 
 def run(

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
     DecimalType,
     FractionalType,
     MapType,
+    StructField,
     StructType,
     TimestampNTZType,
     TimestampType,
@@ -73,18 +74,50 @@ def write(
 
 
 def present(
-    df: DataFrame, order_by: Sequence, limit: int = 10_000, precision: int = 2
+    df: DataFrame,
+    order_by: Sequence[str],
+    limit: int = 10_000,
+    precision: int = 2,
+    narrow: bool = False,
 ) -> DataFrame:
     """The first ``limit`` rows in order, with fractional columns rounded for display.
 
-    Each task keeps its own best ``limit`` rows, so only those are merged.
+    A name in ``order_by`` with a leading ``-`` sorts descending; NULLs come last
+    either way. Every task hands its own best ``limit`` rows to one merging task,
+    which is fine for grouped results. For a table of very many partitions,
+    ``narrow`` first leaves out the rows that cannot be in the result.
+    """
+    top = _contenders(df, order_by, limit) if narrow else df
+    top = top.orderBy(*[_order(c) for c in order_by]).limit(limit)
+
+    def shown(f: StructField) -> Column:
+        fine = isinstance(f.dataType, DecimalType) and f.dataType.scale <= precision
+        if isinstance(f.dataType, FractionalType) and not fine:
+            return F.round(f.name, precision).alias(f.name)
+        return F.col(f.name)
+
+    return top.select(*[shown(f) for f in df.schema.fields])
+
+
+def _order(name: str) -> Column:
+    if name.startswith("-"):
+        return F.desc_nulls_last(name[1:])
+    return F.asc_nulls_last(name)
+
+
+def _contenders(df: DataFrame, order_by: Sequence[str], limit: int) -> DataFrame:
+    """All rows that may be among the first ``limit``, and few others.
+
+    Rows are hashed into four times ``limit`` groups. Once ``limit`` groups have
+    a best value at or before some bound, so have at least ``limit`` rows: no row
+    behind the bound can be in the result. Few more rows than ``limit`` pass.
     """
-    top = df.orderBy(*order_by).limit(limit)
-    return top.select(
-        *[
-            F.round(f.name, precision).alias(f.name)
-            if isinstance(f.dataType, (FractionalType, DecimalType))
-            else F.col(f.name)
-            for f in df.schema.fields
-        ]
+    names = [c.removeprefix("-") for c in order_by]
+    lead, down = F.col(names[0]), order_by[0].startswith("-")
+    best = df.groupBy(F.pmod(F.xxhash64(*names), F.lit(4 * limit)).alias("__group")).agg(
+        (F.max(lead) if down else F.min(lead)).alias("__best")
     )
+    first = best.where("__best is not null").orderBy(_order("-__best" if down else "__best"))
+    last = F.min("__best") if down else F.max("__best")
+    bound = first.limit(limit).agg(F.when(F.count(F.lit(1)) == limit, last)).scalar()
+    return df.where(bound.isNull() | (lead >= bound if down else lead <= bound))

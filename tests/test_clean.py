@@ -1,4 +1,6 @@
-from datetime import datetime
+import random
+from datetime import datetime, timedelta
+from zoneinfo import ZoneInfo
 
 import pytest
 from pyspark.sql import functions as F
@@ -25,8 +27,33 @@ def test_local_times_become_utc_in_any_session_zone(events, zone, session_zone):
         None: None,
     }
     df = clean.clean_events(events(*[{"start_time": t} for t in cases]))
-    got = [r[0] for r in df.orderBy(F.expr("int(substring(event_id, 2))")).select("start_time_utc").collect()]
-    assert got == list(cases.values())
+    got = {r["event_id"]: r["start_time_utc"] for r in df.collect()}
+    assert [got[f"E{i}"] for i in range(len(cases))] == list(cases.values())
+
+
+@pytest.mark.parametrize("session_zone", ["UTC", "America/New_York"])
+def test_random_times_agree_with_the_zone_database(spark, zone, session_zone):
+    zone(session_zone)
+    rng = random.Random(3)
+    start = datetime(1985, 1, 1)
+    local = [start + timedelta(seconds=rng.randrange(45 * 365 * 86400)) for _ in range(4000)]
+    # Every half hour around both changes of one year.
+    for day in (datetime(2024, 3, 31), datetime(2024, 10, 27)):
+        local += [day + timedelta(minutes=30 * i) for i in range(12)]
+    paris, utc = ZoneInfo("Europe/Paris"), ZoneInfo("UTC")
+    df = spark.createDataFrame([(str(t),) for t in local], "t string")
+    for text, got in clean.add_utc(df, {"t": "u"}, "Europe/Paris").collect():
+        wall = datetime.fromisoformat(text).replace(tzinfo=paris)
+        assert got == wall.astimezone(utc).replace(tzinfo=None), text
+
+
+def test_random_lists_agree_with_python(spark):
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("ab ,, ") for _ in range(rng.randrange(12))) for _ in range(3000)]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    for text, got in df.select("x", split_list(F.col("x")).alias("l")).collect():
+        items = [p.strip(" ") for p in text.split(",")]
+        assert got == ([p for p in items if p] or None), repr(text)
 
 
 def test_zone_free_input_is_used_as_is(spark, zone):

@@ -7,7 +7,7 @@ from pyspark.sql.types import StructType
 from millwright.operators import quality as q
 from millwright.plans.pipeline import fact_of
 from millwright.schemas import EVENTS, FACT
-from millwright.sinks.export import csv_safe, present, write
+from millwright.sinks.export import _contenders, csv_safe, present, write
 from millwright.sources.tables import read_csv_checked, read_table
 
 
@@ -127,9 +127,33 @@ def test_csv_is_quoted_with_a_header(fact, tmp_path):
 
 def test_present(spark):
     df = spark.range(100).select("id", (F.col("id") / 3).alias("x"))
-    rows = present(df, [F.desc("x")], limit=2).collect()
+    rows = present(df, ["-x"], limit=2).collect()
     assert [tuple(r) for r in rows] == [(99, 33.0), (98, 32.67)]
-    assert present(df, [F.desc("x")], limit=1, precision=4).first()["x"] == 33.0
+    assert present(df, ["x"], limit=2, precision=4).collect()[1]["x"] == 0.3333
+    money = spark.sql("SELECT 1.25BD AS a, 1.255BD AS b")
+    assert [str(v) for v in present(money, ["a"]).first()] == ["1.25", "1.26"]
+    assert present(money, ["a"]).dtypes[0] == money.dtypes[0]
+
+
+@pytest.mark.parametrize("order", [["-x", "id"], ["x", "-id"], ["y", "id"], ["-y", "id"], ["n", "id"]])
+@pytest.mark.parametrize("limit", [1, 7, 100, 5000])
+def test_narrowing_keeps_the_result(spark, order, limit):
+    """With ties on a third of the rows, missing values, and a column of one value."""
+    key = F.col("id")
+    df = spark.range(3000).select(
+        "id",
+        F.when(key % 3 == 0, 500).when(key % 3 == 1, key * 7 % 1000).alias("x"),
+        F.concat(F.lit("k"), key * 13 % 3000).alias("y"),
+        F.lit(1).alias("n"),
+    ).repartition(5)
+    plain, narrowed = present(df, order, limit), present(df, order, limit, narrow=True)
+    assert narrowed.collect() == plain.collect()
+
+
+def test_narrowing_leaves_out_most_rows(spark):
+    df = spark.range(100_000).select("id", (F.col("id") * 7919 % 99_991).alias("x"))
+    kept = _contenders(df, ["-x", "id"], 100).count()
+    assert 100 <= kept < 300
 
 
 def test_timestamps_read_back_unchanged(spark, fact, tmp_path, zone):
