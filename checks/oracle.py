@@ -345,6 +345,13 @@ ORACLE: dict[str, str] = {
     "enrich_operators_by_suffix": f"""{with_(E, R, clean('E'), ENRICHED)}
   SELECT {ENRICHED_COLUMNS.replace('technician_id', "'TECH-00' || technician_id AS technician_id", 1)}
   FROM N""",
+    "roster_one_per_key": """
+  SELECT operator_id, skill_level, reliability_score FROM (
+    SELECT *, row_number() OVER (PARTITION BY operator_id
+                                 ORDER BY reliability_score, skill_level) AS n
+    FROM (SELECT CAST(l_suppkey AS VARCHAR) AS operator_id, l_returnflag AS skill_level,
+                 l_quantity + l_tax AS reliability_score FROM lineitem))
+  WHERE n = 1""",
     "match_rate": f"""{with_(E, R, clean('E'), ENRICHED)}
   SELECT count(*) AS total_events, count(*) FILTER (WHERE technician_found) AS matched,
          count(*) FILTER (WHERE NOT technician_found) AS unmatched,
@@ -411,6 +418,19 @@ ORACLE: dict[str, str] = {
             for c in ("start_time", "end_time")
         ],
     ),
+    "quality_time_texts": rule_report(
+        "events",
+        D,
+        "D",
+        [
+            (
+                f"unparseable_{c}",
+                "error",
+                bad_rows("D", f"{c} IS NOT NULL AND {utc(f'trim({c})')} IS NULL"),
+            )
+            for c in ("start_time", "end_time")
+        ],
+    ),
     "duplicate_keys": """
   SELECT l_orderkey, l_linenumber, count(*) AS "rows" FROM lineitem
   GROUP BY 1, 2 HAVING count(*) > 1""",
@@ -467,7 +487,7 @@ ORACLE: dict[str, str] = {
   SELECT * REPLACE (CAST({half_up("total_downtime_min", "event_count", 2)} AS DOUBLE)
                       AS avg_downtime_min,
                     round(total_cost_eur, 2) AS total_cost_eur,
-                    round(avg_cost_eur, 2) AS avg_cost_eur)
+                    CAST(round(CAST(avg_cost_eur AS DECIMAL(18,9)), 2) AS DOUBLE) AS avg_cost_eur)
   FROM S ORDER BY S.total_cost_eur DESC NULLS LAST, {DAY_KEYS} LIMIT 1000""",
     "csv_safe": f"""{E_FACT}
   SELECT * REPLACE (CAST(to_json(parts_list) AS VARCHAR) AS parts_list,
@@ -476,6 +496,12 @@ ORACLE: dict[str, str] = {
     # CSV cannot tell an empty text from a missing one.
     "read_csv_table": f"""{with_(E)}
   SELECT * REPLACE (nullif(parts_used, '') AS parts_used) FROM E""",
+    "read_csv_checked_values": f"""{with_(E)}
+  SELECT CASE WHEN downtime_min % 9 = 0 THEN 'downtime_min' ELSE '' END AS unreadable_columns,
+         count(*) AS "rows",
+         CAST(sum(CASE WHEN downtime_min % 9 <> 0 THEN downtime_min END) AS BIGINT) AS downtime_min,
+         count(next_due_date) AS dated
+  FROM E GROUP BY 1""",
     "parquet_roundtrip": f"{E_FACT} {FLAT_FACT}",
     "parquet_append": f"{E_FACT} SELECT line_id, 2 * count(*) AS count FROM F GROUP BY 1",
     "pipeline_summary": L_FACT + summary(DAY_KEYS),

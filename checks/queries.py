@@ -21,12 +21,12 @@ from checks.adapters import (
     table,
 )
 from millwright.functions.times import day_text, local_to_utc, month_text
-from millwright.operators import alerts, clean, enrich, fact, kpis, quality, summary
+from millwright.operators import alerts, clean, enrich, fact, joins, kpis, quality, summary
 from millwright.params import AlertLimits, ExpectedRows, Params
 from millwright.plans import pipeline
 from millwright.schemas import EVENTS, FACT, SUMMARY, SUMMARY_KEYS
 from millwright.sinks import export
-from millwright.sources.tables import read_table
+from millwright.sources.tables import read_csv_checked, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 PARAMS = Params(run_ts=datetime(2024, 2, 1))
@@ -212,6 +212,17 @@ def enrich_operators_by_suffix(spark, sf):
     ).select(*_ENRICHED)
 
 
+@query
+def roster_one_per_key(spark, sf):
+    """A roster with many rows per operator reduced to one each."""
+    rows = table(spark, sf, "lineitem").select(
+        F.col("l_suppkey").cast("string").alias("operator_id"),
+        F.col("l_returnflag").alias("skill_level"),
+        (F.col("l_quantity") + F.col("l_tax")).alias("reliability_score"),
+    )
+    return joins.one_per_key(rows, "operator_id", ["reliability_score"])
+
+
 @query
 def match_rate(spark, sf):
     return enrich.match_rate(_enriched(spark, sf))
@@ -353,6 +364,12 @@ def quality_times(spark, sf):
     return quality.evaluate(cleaned, "events", quality.time_rules())
 
 
+@query
+def quality_time_texts(spark, sf):
+    events = defective_events(spark, sf)
+    return quality.evaluate(events, "events", quality.time_text_rules(events))
+
+
 @query
 def duplicate_keys(spark, sf):
     return quality.duplicate_keys(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
@@ -468,6 +485,21 @@ def read_csv_table(spark, sf):
     return read_table(spark, path, EVENTS, "csv")
 
 
+@query
+def read_csv_checked_values(spark, sf):
+    """Downtimes of a third of the events arrive as text that is no number."""
+    path = scratch(spark, "events")
+    d = F.col("downtime_min")
+    bad = F.when(d % 9 == 0, F.concat(d.cast("string"), F.lit(" min"))).otherwise(d.cast("string"))
+    export.write(events_as_maintenance(spark, sf).withColumn("downtime_min", bad), path, "csv")
+    read = read_csv_checked(spark, path, EVENTS)
+    return read.groupBy("unreadable_columns").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum("downtime_min").alias("downtime_min"),
+        F.count("next_due_date").alias("dated"),
+    )
+
+
 @query
 def parquet_roundtrip(spark, sf):
     path = scratch(spark, "fact")

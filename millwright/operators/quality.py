@@ -15,7 +15,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
+from millwright.functions.times import TIME_LAYOUT
 from millwright.operators.joins import left_lookup
 from millwright.params import ExpectedRows
 
@@ -102,6 +104,19 @@ def time_rules() -> list[Rule]:
     ]
 
 
+def time_text_rules(df: DataFrame, columns: Sequence[str] = ("start_time", "end_time")) -> list[Rule]:
+    """Raw events: the same as ``time_rules``, for the columns that are still text."""
+    return [
+        Check(
+            f"unparseable_{c}",
+            f"{c} IS NOT NULL AND NOT (trim({c}) RLIKE r'{TIME_LAYOUT}'"
+            f" AND try_cast(trim({c}) AS timestamp_ntz) IS NOT NULL)",
+        )
+        for c in columns
+        if isinstance(df.schema[c].dataType, StringType)
+    ]
+
+
 def unreadable_rules(column: str = "unreadable_columns") -> list[Rule]:
     """Rows of a checked CSV read in which some value did not convert."""
     return [Check("unreadable_values", f"{column} <> ''", WARN)]

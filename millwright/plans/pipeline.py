@@ -70,6 +70,8 @@ def check_inputs(tables: dict[str, DataFrame], params: Params) -> dict[str, dict
     reports = []
     for name, df in tables.items():
         checks = rules[name](params.expected_rows)
+        if name == "events":
+            checks += quality.time_text_rules(df)
         if "unreadable_columns" in df.columns:
             checks += quality.unreadable_rules()
         reports.append(quality.evaluate(df, name, checks))

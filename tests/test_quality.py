@@ -125,11 +125,21 @@ def test_roster_rules(roster):
 def test_unparseable_times(events):
     from millwright.operators.clean import clean_events
 
-    df = clean_events(events({"start_time": "yesterday"}, {"start_time": None}, {}))
-    assert counts(q.evaluate(df, "events", q.time_rules())) == {
-        "unparseable_start_time": 1,
-        "unparseable_end_time": 0,
-    }
+    raw = events(
+        {"start_time": "yesterday"},
+        {"start_time": None},
+        {"start_time": " 2025-01-10 10:00:00 "},
+        {"start_time": "2025-02-30 10:00:00"},
+        {"end_time": "2025-01-10T10:00:00"},
+    )
+    expected = {"unparseable_start_time": 2, "unparseable_end_time": 1}
+    assert counts(q.evaluate(clean_events(raw), "events", q.time_rules())) == expected
+    assert counts(q.evaluate(raw, "events", q.time_text_rules(raw))) == expected
+
+
+def test_typed_times_need_no_text_rule(spark):
+    df = spark.sql("SELECT timestamp_ntz'2025-01-10 10:00:00' AS start_time, 'x' AS end_time")
+    assert [r.name for r in q.time_text_rules(df)] == ["unparseable_end_time"]
 
 
 def test_required_columns(events):
