@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from datetime import datetime
@@ -26,6 +25,7 @@ from millwright.params import AlertLimits, ExpectedRows, Params
 from millwright.plans import pipeline
 from millwright.schemas import EVENTS, FACT, SUMMARY, SUMMARY_KEYS
 from millwright.sinks import export
+from millwright.sinks.scratch import scratch_dir
 from millwright.sources.tables import read_csv_checked, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,10 +39,8 @@ def query(fn: Query) -> Query:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder under the cluster's shared checkpoint folder (local only if unset)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    base = base or tempfile.mkdtemp(prefix="millwright-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A path of its own for each call, in the shared folder."""
+    return f"{scratch_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def flat_fact(df: DataFrame) -> DataFrame:

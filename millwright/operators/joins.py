@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType, StringType
 
-_SALT, _DIM_SALT, _SPLITS = "__salt", "__dim_salt", "__splits"
+from millwright.sinks.scratch import checkpointed
+
+_SALT, _DIM_SALT, _SPLITS, _HOT = "__salt", "__dim_salt", "__splits", "__hot_"
 # Rows with a NULL key match nothing, so they may go anywhere.
 _NULL_SPREAD = 1 << 16
 
@@ -40,18 +42,22 @@ def left_lookup(
     strategy: str = "auto",
     rows_per_task: int = 5_000_000,
     null_safe: bool = False,
+    key_counts: DataFrame | None = None,
 ) -> DataFrame:
     """``facts`` left-joined to ``dim`` on equal keys; all columns of both.
 
     ``auto``       no hint: the optimizer broadcasts by its own size threshold,
                    and splits skewed partitions at run time beyond it.
     ``broadcast``  for a ``dim`` whose size was checked (see ``pick_strategy``).
-    ``spread``     shuffle join with hot keys split over many tasks.
+    ``spread``     shuffle join with hot keys split over many tasks; runs a job to
+                   find them, unless ``key_counts`` has the facts' ``rows`` per key
+                   (keys named as in ``dim``; rare keys may be left out).
 
     Column names must not overlap. NULL keys match nothing unless ``null_safe``.
     """
     if strategy == "spread":
-        return _spread(facts, dim, fact_keys, dim_keys, rows_per_task, null_safe)
+        hot = _hot_keys(facts, fact_keys, dim_keys, rows_per_task, key_counts)
+        return _spread(facts, dim, fact_keys, dim_keys, hot, null_safe)
     if strategy not in ("auto", "broadcast"):
         raise ValueError(f"unknown join strategy: {strategy}")
     small = F.broadcast(dim) if strategy == "broadcast" else dim
@@ -65,37 +71,54 @@ def _same(left: Sequence[Column], right: Sequence[str], null_safe: bool) -> Colu
     return reduce(lambda x, y: x & y, pairs)
 
 
+def _hot_keys(
+    facts: DataFrame,
+    fact_keys: Sequence[Column],
+    dim_keys: Sequence[str],
+    rows_per_task: int,
+    key_counts: DataFrame | None,
+) -> DataFrame:
+    """Keys with more rows than one task should take, and into how many to split them.
+
+    There are at most rows/rows_per_task of them, so the list can be broadcast
+    whatever the input. Counting combines map-side and reads the keys only. The
+    list is stored first: a broadcast has a time limit that a count of all keys
+    may exceed.
+    """
+    if key_counts is None:
+        key_counts = facts.groupBy(*[k.alias(d) for k, d in zip(fact_keys, dim_keys)]).agg(
+            F.count(F.lit(1)).alias("rows")
+        )
+    hot = key_counts.where(F.col("rows") > rows_per_task).select(
+        *[F.col(d).alias(f"{_HOT}{i}") for i, d in enumerate(dim_keys)],
+        F.ceil(F.col("rows") / rows_per_task).alias(_SPLITS),
+    )
+    return checkpointed(hot)
+
+
 def _spread(
     facts: DataFrame,
     dim: DataFrame,
     fact_keys: Sequence[Column],
     dim_keys: Sequence[str],
-    rows_per_task: int,
+    hot: DataFrame,
     null_safe: bool,
 ) -> DataFrame:
-    # A key is hot when it alone exceeds one task's share, so there are at most
-    # rows/rows_per_task of them: small enough to broadcast whatever the input.
-    # Counting combines map-side and reads the key columns only.
-    hot_keys = [f"__hot_{i}" for i in range(len(fact_keys))]
-    hot = (
-        facts.groupBy(*[k.alias(h) for k, h in zip(fact_keys, hot_keys)])
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .where(F.col("__n") > rows_per_task)
-        .select(*hot_keys, F.ceil(F.col("__n") / rows_per_task).alias(_SPLITS))
-    )
+    hot_keys = [c for c in hot.columns if c != _SPLITS]
     splits = F.coalesce(F.col(_SPLITS), F.lit(1))
     fact_splits = splits
     if not null_safe:
         unmatched = reduce(lambda x, y: x | y, [k.isNull() for k in fact_keys])
         fact_splits = F.when(unmatched, F.lit(_NULL_SPREAD)).otherwise(splits)
-    # The salt is a function of the row, not of its position, so a task that is
+    # The salt depends on the row and on the number of its input partition, which
+    # parts even identical copies, but not on the row's position: a task that is
     # run again after a lost executor sends every row to the same place.
     plain = [f.name for f in facts.schema.fields if isinstance(f.dataType, AtomicType)]
     salted_facts = facts.join(
         F.broadcast(hot), _same(fact_keys, hot_keys, null_safe), "left"
     ).select(
         *facts.columns,
-        F.pmod(F.xxhash64(*plain), fact_splits).alias(_SALT),
+        F.pmod(F.xxhash64(*plain, F.spark_partition_id()), fact_splits).alias(_SALT),
     )
     salted_dim = dim.join(
         F.broadcast(hot), _same([F.col(k) for k in dim_keys], hot_keys, null_safe), "left"

@@ -20,6 +20,7 @@ from pyspark.sql.types import StringType
 from millwright.functions.times import TIME_LAYOUT
 from millwright.operators.joins import left_lookup
 from millwright.params import ExpectedRows
+from millwright.sinks.scratch import checkpointed
 
 log = logging.getLogger(__name__)
 
@@ -273,19 +274,25 @@ def violations(
     """Rows that break a row-level rule, with the names in ``failed_rules``.
 
     Uniqueness rules mark every row of a repeated key, by a left join to the
-    repeated keys only; ``strategy`` is that of ``joins.left_lookup``.
+    repeated keys only; ``strategy`` is that of ``joins.left_lookup``. ``spread``
+    finds the repeated keys at once, stores them, and splits the large ones.
     """
     flags = [F.when(F.expr(r.violated), F.lit(r.name)) for r in rules if isinstance(r, Check)]
     columns = df.columns
     for i, rule in enumerate(r for r in rules if isinstance(r, Unique)):
         names = [f"__k{i}_{k}" for k in rule.key]
-        repeated = duplicate_keys(df, rule.key).select(
-            *[F.col(k).alias(n) for k, n in zip(rule.key, names)],
-            F.lit(rule.name).alias(f"__dup{i}"),
-        )
+        repeated = duplicate_keys(df, rule.key).withColumnsRenamed(dict(zip(rule.key, names)))
+        if strategy == "spread":
+            repeated = checkpointed(repeated)
         df = left_lookup(
-            df, repeated, [F.col(k) for k in rule.key], names, strategy, rows_per_task,
+            df,
+            repeated.select(*names, F.lit(rule.name).alias(f"__dup{i}")),
+            [F.col(k) for k in rule.key],
+            names,
+            strategy,
+            rows_per_task,
             null_safe=True,
+            key_counts=repeated,
         )
         flags.append(F.col(f"__dup{i}"))
     broken = reduce(lambda a, b: a | b, [f.isNotNull() for f in flags])

@@ -97,16 +97,30 @@ def test_hot_and_missing_keys_are_spread_and_results_whole(spark, no_auto_broadc
     assert spread.exceptAll(plain).isEmpty() and plain.exceptAll(spread).isEmpty()
     assert spread.count() == facts.count()
 
+    assert max(task_sizes(spark, spread)) < 4 * 30_000 / 40
+    assert max(task_sizes(spark, plain)) > 30_000 / 3
+
+
+def task_sizes(spark, df):
+    """Rows per task of a 40-partition shuffle, without help at run time."""
     spark.conf.set("spark.sql.shuffle.partitions", "40")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        sizes = [
-            r["count"] for r in spread.groupBy(F.spark_partition_id().alias("p")).count().collect()
-        ]
+        counts = df.groupBy(F.spark_partition_id().alias("p")).count().collect()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert max(sizes) < 4 * 30_000 / 40
+    return [r["count"] for r in counts]
+
+
+def test_identical_copies_are_spread(spark, no_auto_broadcast):
+    facts = spark.range(0, 30_000, 1, 24).select(
+        F.lit("E1").alias("event_id"), F.lit("T1").alias("technician_id")
+    )
+    params = Params(joins=JoinLimits(rows_per_task=100))
+    spread = enrich.enrich_events(facts, dimension(spark), params, strategy="spread")
+    assert spread.where("technician_found").count() == 30_000
+    assert max(task_sizes(spark, spread)) < 30_000 / 5
 
 
 def test_strategy_follows_the_measured_size(spark):
