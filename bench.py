@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import os
-import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -14,7 +13,7 @@ from checks.adapters import (
     lineitem_as_production,
     suppliers_as_roster,
 )
-from checks.queries import PARAMS, QUERIES
+from checks.queries import PARAMS, QUERIES, scratch
 from millwright.plans import pipeline
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -66,7 +65,7 @@ def run_pipeline(spark: SparkSession) -> None:
         "production": lineitem_as_production(spark, SF_DIR),
         "roster": suppliers_as_roster(spark, SF_DIR),
     }
-    pipeline.run(spark, tables, tempfile.mkdtemp(prefix="run-"), PARAMS)
+    pipeline.run(spark, tables, scratch(spark, "bench"), PARAMS)
 
 
 def main() -> None:

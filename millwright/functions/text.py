@@ -6,6 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def column(name: str) -> Column:
+    """A column by its exact name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def split_list(text: Column, sep: str = ",") -> Column:
     """Delimited text as an array of trimmed, non-blank items; NULL when none is left.
 

@@ -4,21 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructField
 
-from millwright.functions.text import flag_text, split_list
+from millwright.functions.text import column, flag_text, split_list
 from millwright.functions.times import local_to_utc
 from millwright.params import Labels, Params
 
 
 def trim_strings(df: DataFrame) -> DataFrame:
     """Trim every text column, in one projection."""
-    return df.select(
-        *[
-            F.trim(f.name).alias(f.name) if isinstance(f.dataType, StringType) else F.col(f.name)
-            for f in df.schema.fields
-        ]
-    )
+
+    def trimmed(f: StructField) -> Column:
+        is_text = isinstance(f.dataType, StringType)
+        return F.trim(column(f.name)).alias(f.name) if is_text else column(f.name)
+
+    return df.select(*[trimmed(f) for f in df.schema.fields])
 
 
 def add_utc(df: DataFrame, columns: dict[str, str], zone: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType, StringType
 
+from millwright.functions.text import column
 from millwright.sinks.scratch import checkpointed
 
 _SALT, _DIM_SALT, _SPLITS, _HOT = "__salt", "__dim_salt", "__splits", "__hot_"
@@ -22,9 +23,9 @@ def measure_bytes(df: DataFrame) -> int:
     for f in df.schema.fields:
         size = F.lit(8)
         if not isinstance(f.dataType, AtomicType):
-            size = F.octet_length(F.to_json(F.struct(f.name)))
+            size = F.octet_length(F.to_json(F.struct(column(f.name))))
         elif isinstance(f.dataType, StringType):
-            size = F.octet_length(f.name) + 8
+            size = F.octet_length(column(f.name)) + 8
         width = width + F.coalesce(size, F.lit(8))
     return df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("n")).first()["n"]
 

@@ -36,7 +36,7 @@ class RunReport:
 
 
 def read_inputs(spark: SparkSession, input_dir: str, fmt: str = "csv") -> dict[str, DataFrame]:
-    """The three input tables under ``input_dir``, with their declared types."""
+    """The three input tables under ``input_dir``; CSV with the declared types."""
     names = {
         "events": ("maintenance_events", EVENTS),
         "production": ("manufacturing_factory_dataset", PRODUCTION),
@@ -48,7 +48,7 @@ def read_inputs(spark: SparkSession, input_dir: str, fmt: str = "csv") -> dict[s
         if fmt == "csv":
             tables[key] = read_csv_checked(spark, path, schema)
         else:
-            tables[key] = read_table(spark, path, schema, fmt)
+            tables[key] = read_table(spark, path, fmt=fmt)
     return tables
 
 
@@ -86,13 +86,16 @@ def run(
     params: Params = Params(),
     formats: tuple[str, ...] = ("parquet", "csv"),
     partition_by: tuple[str, ...] = (),
+    replace_partitions_only: bool = False,
     raise_errors: bool = True,
 ) -> RunReport:
     """Run the flow over ``events``, ``roster`` and optionally ``production``.
 
     The fact is computed once, as the Parquet write. The summary and the CSV
     copies read that table back, which also cuts the lineage: losing an executor
-    later on costs a re-read, not the join. The session stays the caller's.
+    later on costs a re-read, not the join. With ``replace_partitions_only`` the
+    events given replace their own partitions of the stored fact, and the summary
+    covers all of it. The session stays the caller's.
     """
     report = RunReport()
     clock = time.perf_counter()
@@ -116,7 +119,12 @@ def run(
         log.info("roster join: %s", strategy)
 
         fact_path = f"{output_dir}/fact_maintenance_events.parquet"
-        write(fact_of(events, roster, params, strategy), fact_path, partition_by=partition_by)
+        write(
+            fact_of(events, roster, params, strategy),
+            fact_path,
+            partition_by=partition_by,
+            replace_partitions_only=replace_partitions_only,
+        )
         report.outputs["fact_parquet"] = fact_path
         stored = read_table(spark, fact_path, FACT)
         lap("fact")

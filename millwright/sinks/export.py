@@ -17,6 +17,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from millwright.functions.text import column
 from millwright.functions.times import clock_text
 from millwright.sources.tables import csv_options
 
@@ -26,10 +27,10 @@ def csv_safe(df: DataFrame) -> DataFrame:
 
     def flat(f):
         if isinstance(f.dataType, (ArrayType, MapType, StructType)):
-            return F.to_json(F.col(f.name)).alias(f.name)
+            return F.to_json(column(f.name)).alias(f.name)
         if isinstance(f.dataType, (TimestampType, TimestampNTZType)):
-            return clock_text(F.col(f.name)).alias(f.name)
-        return F.col(f.name)
+            return clock_text(column(f.name)).alias(f.name)
+        return column(f.name)
 
     return df.select(*[flat(f) for f in df.schema.fields])
 
@@ -93,8 +94,8 @@ def present(
     def shown(f: StructField) -> Column:
         fine = isinstance(f.dataType, DecimalType) and f.dataType.scale <= precision
         if isinstance(f.dataType, FractionalType) and not fine:
-            return F.round(f.name, precision).alias(f.name)
-        return F.col(f.name)
+            return F.round(column(f.name), precision).alias(f.name)
+        return column(f.name)
 
     return top.select(*[shown(f) for f in df.schema.fields])
 

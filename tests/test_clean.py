@@ -136,6 +136,11 @@ def test_trim_keeps_other_columns(events):
     assert (row["line_id"], row["downtime_min"]) == ("L1", 7)
 
 
+def test_trim_any_column_name(spark):
+    df = spark.createDataFrame([(" a ", 1)], "`line.id` string, `x``y` int")
+    assert clean.trim_strings(df).first().asDict() == {"line.id": "a", "x`y": 1}
+
+
 def test_clamp_is_opt_in(events):
     df = events({"downtime_min": -5}, {"downtime_min": None}, {"downtime_min": 5})
     assert [r["downtime_min"] for r in clean.clean_events(df).collect()] == [-5, None, 5]

@@ -78,7 +78,10 @@ def test_partition_replacement_touches_only_its_own_months(spark, fact, tmp_path
     changed = fact.where("event_year_month = '2025-02'").withColumn("outcome", F.lit("new"))
     write(changed, path, partition_by=["event_year_month"], replace_partitions_only=True, rebalance=False)
     rows = read_table(spark, path, FACT).collect()
-    assert {r["event_year_month"]: r["outcome"] for r in rows} == {"2025-01": "Restored", "2025-02": "new"}
+    assert {r["event_year_month"]: r["outcome"] for r in rows} == {
+        "2025-01": "Restored",
+        "2025-02": "new",
+    }
 
 
 def test_save_modes(spark, events, tmp_path):

@@ -47,6 +47,40 @@ def test_run_again_replaces_the_outputs(spark, tables, tmp_path):
     assert report.row_counts["fact"] == 3
 
 
+def test_one_month_can_be_run_again(spark, tables, events, roster, tmp_path):
+    options = {"partition_by": ("event_year_month",), "replace_partitions_only": True}
+    tables["events"] = events(
+        {"start_time": "2025-01-10 10:00:00"}, {"start_time": "2025-02-10 10:00:00"}
+    )
+    pipeline.run(spark, tables, str(tmp_path), **options)
+    tables["events"] = events({}, {}, start_time="2025-02-11 10:00:00")
+    report = pipeline.run(spark, tables, str(tmp_path), **options)
+    assert report.row_counts["fact"] == 3
+    summary = read_table(spark, report.outputs["summary_parquet"], SUMMARY)
+    assert {r["event_date"]: r["event_count"] for r in summary.collect()} == {
+        "2025-01-10": 1,
+        "2025-02-11": 2,
+    }
+
+
+def test_parquet_inputs_keep_their_types(spark, tables, tmp_path):
+    for key, name in (
+        ("events", "maintenance_events"),
+        ("production", "manufacturing_factory_dataset"),
+        ("roster", "operators_roster"),
+    ):
+        write(tables[key], str(tmp_path / f"in/{name}.parquet"))
+    typed = tables["events"].selectExpr(
+        "* EXCEPT (start_time)", "CAST(start_time AS timestamp_ntz) AS start_time"
+    )
+    write(typed, str(tmp_path / "in/maintenance_events.parquet"))
+    inputs = pipeline.read_inputs(spark, str(tmp_path / "in"), "parquet")
+    report = pipeline.run(spark, inputs, str(tmp_path / "out"))
+    assert report.row_counts["fact"] == 3
+    fact = read_table(spark, report.outputs["fact_parquet"], FACT)
+    assert {str(r["start_timestamp"]) for r in fact.collect()} == {"2025-01-10 09:00:00"}
+
+
 def test_parquet_only(spark, tables, tmp_path):
     report = pipeline.run(spark, tables, str(tmp_path), formats=("parquet",))
     assert set(report.outputs) == {"fact_parquet", "summary_parquet"}
