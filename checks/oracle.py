@@ -164,7 +164,8 @@ def summary(keys: str) -> str:
 
 
 DAY_KEYS = "factory_id, line_id, maintenance_type, event_date"
-FLAT_FACT = "SELECT * REPLACE (array_to_string(parts_list, ',') AS parts_list) FROM F"
+DUE = "CAST(next_due_date AS VARCHAR) AS next_due_date"
+FLAT_FACT = f"SELECT * REPLACE (array_to_string(parts_list, ',') AS parts_list, {DUE}) FROM F"
 
 
 def kpi_cost(t: str) -> str:
@@ -336,7 +337,7 @@ ORACLE: dict[str, str] = {
               ELSE 'confirmed' END AS cost_data_quality, count(*) AS count
   FROM E GROUP BY 1""",
     "trim_strings": f"""{with_(D)}
-  SELECT * REPLACE (trim(reason) AS reason, trim(parts_used) AS parts_used) FROM D""",
+  SELECT * REPLACE (trim(reason) AS reason, trim(parts_used) AS parts_used, {DUE}) FROM D""",
     "clamp_downtime": f"""{with_(D)}
   SELECT event_id, start_time, downtime_min,
          CASE WHEN downtime_min < 0 THEN 0 ELSE downtime_min END AS clamped FROM D""",
@@ -490,12 +491,12 @@ ORACLE: dict[str, str] = {
                     CAST(round(CAST(avg_cost_eur AS DECIMAL(18,9)), 2) AS DOUBLE) AS avg_cost_eur)
   FROM S ORDER BY S.total_cost_eur DESC NULLS LAST, {DAY_KEYS} LIMIT 1000""",
     "csv_safe": f"""{E_FACT}
-  SELECT * REPLACE (CAST(to_json(parts_list) AS VARCHAR) AS parts_list,
+  SELECT * REPLACE (CAST(to_json(parts_list) AS VARCHAR) AS parts_list, {DUE},
                     strftime(start_timestamp, '%Y-%m-%d %H:%M:%S') AS start_timestamp,
                     strftime(end_timestamp, '%Y-%m-%d %H:%M:%S') AS end_timestamp) FROM F""",
     # CSV cannot tell an empty text from a missing one.
     "read_csv_table": f"""{with_(E)}
-  SELECT * REPLACE (nullif(parts_used, '') AS parts_used) FROM E""",
+  SELECT * REPLACE (nullif(parts_used, '') AS parts_used, {DUE}) FROM E""",
     "read_csv_checked_values": f"""{with_(E)}
   SELECT CASE WHEN downtime_min % 9 = 0 THEN 'downtime_min' ELSE '' END AS unreadable_columns,
          count(*) AS "rows",

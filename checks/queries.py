@@ -43,9 +43,14 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def due_as_text(df: DataFrame) -> DataFrame:
+    return df.withColumn("next_due_date", F.col("next_due_date").cast("string"))
+
+
 def flat_fact(df: DataFrame) -> DataFrame:
-    """The fact without its load time, the parts as joined text."""
-    return df.drop("load_timestamp").withColumn("parts_list", F.array_join("parts_list", ","))
+    """The fact without its load time, the parts and the due date as text."""
+    flat = df.drop("load_timestamp").withColumn("parts_list", F.array_join("parts_list", ","))
+    return due_as_text(flat)
 
 
 def _events_fact(spark: SparkSession, sf: str, strategy: str = "auto") -> DataFrame:
@@ -157,7 +162,7 @@ def cost_quality(spark, sf):
 
 @query
 def trim_strings(spark, sf):
-    return clean.trim_strings(defective_events(spark, sf))
+    return due_as_text(clean.trim_strings(defective_events(spark, sf)))
 
 
 @query
@@ -473,14 +478,14 @@ def top_groups_presented(spark, sf):
 
 @query
 def csv_safe(spark, sf):
-    return export.csv_safe(_events_fact(spark, sf).drop("load_timestamp"))
+    return due_as_text(export.csv_safe(_events_fact(spark, sf).drop("load_timestamp")))
 
 
 @query
 def read_csv_table(spark, sf):
     path = scratch(spark, "events")
     export.write(events_as_maintenance(spark, sf), path, "csv")
-    return read_table(spark, path, EVENTS, "csv")
+    return due_as_text(read_table(spark, path, EVENTS, "csv"))
 
 
 @query

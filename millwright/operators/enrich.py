@@ -40,13 +40,11 @@ def left_enrich(
     joined = left_lookup(
         facts, narrow, [norm(F.col(fact_key))], [_KEY], strategy, rows_per_task
     )
-    return joined.select(
-        *facts.columns,
-        F.col(_KEY).isNotNull().alias(found),
-        *[
-            F.coalesce(F.col(f"__take_{out}"), F.lit(default)).alias(out)
-            for out, default in take.values()
-        ],
+    attributes = {
+        out: F.coalesce(F.col(f"__take_{out}"), F.lit(default)) for out, default in take.values()
+    }
+    return joined.withColumns({found: F.col(_KEY).isNotNull(), **attributes}).drop(
+        _KEY, *[f"__take_{out}" for out in attributes]
     )
 
 

@@ -114,16 +114,18 @@ def _spread(
     # The salt depends on the row and on the number of its input partition, which
     # parts even identical copies, but not on the row's position: a task that is
     # run again after a lost executor sends every row to the same place.
-    plain = [f.name for f in facts.schema.fields if isinstance(f.dataType, AtomicType)]
+    plain = [column(f.name) for f in facts.schema.fields if isinstance(f.dataType, AtomicType)]
     salted_facts = facts.join(
         F.broadcast(hot), _same(fact_keys, hot_keys, null_safe), "left"
-    ).select(
-        *facts.columns,
-        F.pmod(F.xxhash64(*plain, F.spark_partition_id()), fact_splits).alias(_SALT),
     )
+    salt = F.pmod(F.xxhash64(*plain, F.spark_partition_id()), fact_splits)
+    salted_facts = salted_facts.withColumn(_SALT, salt).drop(*hot.columns)
     salted_dim = dim.join(
         F.broadcast(hot), _same([F.col(k) for k in dim_keys], hot_keys, null_safe), "left"
-    ).select(*dim.columns, F.explode(F.sequence(F.lit(0), splits - 1)).alias(_DIM_SALT))
+    )
+    salted_dim = salted_dim.withColumn(
+        _DIM_SALT, F.explode(F.sequence(F.lit(0), splits - 1))
+    ).drop(*hot.columns)
     return salted_facts.join(
         salted_dim,
         _same([*fact_keys, F.col(_SALT)], [*dim_keys, _DIM_SALT], null_safe),
