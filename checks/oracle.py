@@ -107,9 +107,8 @@ N AS (
   FROM C LEFT JOIN R ON technician_id = operator_id)"""
 
 UNIT_COST = f"""CASE WHEN downtime_min > 0
-    THEN CAST((2 * {CENTS} + downtime_min) // (2 * downtime_min) AS DECIMAL(18,0)) / 100
-    ELSE 0 END"""
-UNIT_COST = f"CAST({UNIT_COST} AS DECIMAL(18,2))"
+    THEN CAST((2 * {CENTS} + downtime_min) // (2 * downtime_min) AS DOUBLE) / 100
+    ELSE 0.0::DOUBLE END"""
 
 SEVERITY = """CASE WHEN cost_eur > 2500 OR downtime_min > 120 THEN 'High'
     WHEN cost_eur > 1500 OR downtime_min > 60 THEN 'Medium' ELSE 'Low' END"""
@@ -159,7 +158,7 @@ def summary(keys: str) -> str:
          CAST(sum({CENTS}) AS DOUBLE) / 100 AS total_cost_eur,
          CAST(sum({CENTS}) AS DOUBLE) / CAST(count(cost_eur) AS DOUBLE) / 100 AS avg_cost_eur,
          count(*) FILTER (WHERE is_unplanned_breakdown) AS unplanned_count,
-         CAST({pct} AS DECIMAL(5,2)) AS unplanned_pct
+         {pct} AS unplanned_pct
   FROM F GROUP BY {keys}"""
 
 
@@ -508,7 +507,7 @@ ORACLE: dict[str, str] = {
     "pipeline_summary": L_FACT + summary(DAY_KEYS),
     "pipeline_fact_csv": f"""{E_FACT}
   SELECT maint_event_id, strftime(start_timestamp, '%Y-%m-%d %H:%M:%S') AS start_timestamp,
-         CAST(cost_per_downtime_min AS VARCHAR) AS cost_per_downtime_min,
+         CAST(CAST(cost_per_downtime_min AS DECIMAL(18,2)) AS VARCHAR) AS cost_per_downtime_min,
          CAST(to_json(parts_list) AS VARCHAR) AS parts_list,
          nullif(data_quality_flags, '') AS data_quality_flags,
          CAST(technician_in_roster AS VARCHAR) AS technician_in_roster,

@@ -9,7 +9,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampNTZType
+from pyspark.sql.types import DateType, DecimalType, TimestampNTZType
 
 from checks.adapters import (
     defective_events,
@@ -33,8 +33,22 @@ PARAMS = Params(run_ts=datetime(2024, 2, 1))
 QUERIES: dict[str, Query] = {}
 
 
+def plain(df: DataFrame) -> DataFrame:
+    """Decimals as doubles and dates as text, which every comparison reads alike."""
+    shown = {
+        f.name: F.col(f.name).cast("double" if isinstance(f.dataType, DecimalType) else "string")
+        for f in df.schema.fields
+        if isinstance(f.dataType, (DecimalType, DateType))
+    }
+    return df.withColumns(shown) if shown else df
+
+
+def register(name: str, fn: Query) -> None:
+    QUERIES[name] = lambda spark, sf: plain(fn(spark, sf))
+
+
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    register(fn.__name__, fn)
     return fn
 
 
@@ -43,14 +57,9 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def due_as_text(df: DataFrame) -> DataFrame:
-    return df.withColumn("next_due_date", F.col("next_due_date").cast("string"))
-
-
 def flat_fact(df: DataFrame) -> DataFrame:
-    """The fact without its load time, the parts and the due date as text."""
-    flat = df.drop("load_timestamp").withColumn("parts_list", F.array_join("parts_list", ","))
-    return due_as_text(flat)
+    """The fact without its load time, the parts as joined text."""
+    return df.drop("load_timestamp").withColumn("parts_list", F.array_join("parts_list", ","))
 
 
 def _events_fact(spark: SparkSession, sf: str, strategy: str = "auto") -> DataFrame:
@@ -162,7 +171,7 @@ def cost_quality(spark, sf):
 
 @query
 def trim_strings(spark, sf):
-    return due_as_text(clean.trim_strings(defective_events(spark, sf)))
+    return clean.trim_strings(defective_events(spark, sf))
 
 
 @query
@@ -303,7 +312,7 @@ def _kpi_sql(name: str) -> Query:
 
 
 for _name in kpis.SQL:
-    QUERIES[f"kpi_{_name}_sql"] = _kpi_sql(_name)
+    register(f"kpi_{_name}_sql", _kpi_sql(_name))
 
 
 @query
@@ -356,9 +365,9 @@ def _roster_report(spark, sf):
     )
 
 
-QUERIES["quality_events"] = _event_report
-QUERIES["quality_production"] = _production_report
-QUERIES["quality_roster"] = _roster_report
+register("quality_events", _event_report)
+register("quality_production", _production_report)
+register("quality_roster", _roster_report)
 
 
 @query
@@ -478,14 +487,14 @@ def top_groups_presented(spark, sf):
 
 @query
 def csv_safe(spark, sf):
-    return due_as_text(export.csv_safe(_events_fact(spark, sf).drop("load_timestamp")))
+    return export.csv_safe(_events_fact(spark, sf).drop("load_timestamp"))
 
 
 @query
 def read_csv_table(spark, sf):
     path = scratch(spark, "events")
     export.write(events_as_maintenance(spark, sf), path, "csv")
-    return due_as_text(read_table(spark, path, EVENTS, "csv"))
+    return read_table(spark, path, EVENTS, "csv")
 
 
 @query
