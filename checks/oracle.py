@@ -306,6 +306,8 @@ ENRICHED_COLUMNS = (
 )
 ENRICH = f"{with_(E, R, clean('E'), ENRICHED)} SELECT {ENRICHED_COLUMNS} FROM N"
 
+MINUTES = "CAST(downtime_min AS DOUBLE) AS downtime_min"
+
 ORACLE: dict[str, str] = {
     "maintenance_summary": E_FACT + summary(DAY_KEYS),
     "fact_maintenance": f"{E_FACT} {FLAT_FACT}",
@@ -328,7 +330,7 @@ ORACLE: dict[str, str] = {
     "parts_usage": f"""{with_(E, clean('E'))}
   SELECT part, count(*) AS count FROM (SELECT unnest(parts_list) AS part FROM C) GROUP BY part""",
     "classify_events": f"""{with_(D, clean('D'))}
-  SELECT event_id, reason, is_unplanned, downtime_min, downtime_category FROM C""",
+  SELECT event_id, reason, is_unplanned, {MINUTES}, downtime_category FROM C""",
     "quality_flags": f"""{with_(E, clean('E'))}
   SELECT event_id, cost_eur, data_quality_flags FROM C""",
     "cost_quality": f"""{with_(E)}
@@ -336,10 +338,10 @@ ORACLE: dict[str, str] = {
               ELSE 'confirmed' END AS cost_data_quality, count(*) AS count
   FROM E GROUP BY 1""",
     "trim_strings": f"""{with_(D)}
-  SELECT * REPLACE (trim(reason) AS reason, trim(parts_used) AS parts_used, {DUE}) FROM D""",
+  SELECT * REPLACE (trim(reason) AS reason, trim(parts_used) AS parts_used, {DUE}, {MINUTES}) FROM D""",
     "clamp_downtime": f"""{with_(D)}
-  SELECT event_id, start_time, downtime_min,
-         CASE WHEN downtime_min < 0 THEN 0 ELSE downtime_min END AS clamped FROM D""",
+  SELECT event_id, start_time, {MINUTES},
+         CAST(CASE WHEN downtime_min < 0 THEN 0 ELSE downtime_min END AS DOUBLE) AS clamped FROM D""",
     "enrich_operators": ENRICH,
     "enrich_operators_spread": ENRICH,
     "enrich_operators_by_suffix": f"""{with_(E, R, clean('E'), ENRICHED)}
@@ -499,7 +501,7 @@ ORACLE: dict[str, str] = {
     "read_csv_checked_values": f"""{with_(E)}
   SELECT CASE WHEN downtime_min % 9 = 0 THEN 'downtime_min' ELSE '' END AS unreadable_columns,
          count(*) AS "rows",
-         CAST(sum(CASE WHEN downtime_min % 9 <> 0 THEN downtime_min END) AS BIGINT) AS downtime_min,
+         CAST(sum(CASE WHEN downtime_min % 9 <> 0 THEN downtime_min END) AS DOUBLE) AS downtime_min,
          count(next_due_date) AS dated
   FROM E GROUP BY 1""",
     "parquet_roundtrip": f"{E_FACT} {FLAT_FACT}",
@@ -513,3 +515,4 @@ ORACLE: dict[str, str] = {
          CAST(technician_in_roster AS VARCHAR) AS technician_in_roster,
          '2024-02-01 00:00:00' AS load_timestamp FROM F""",
 }
+

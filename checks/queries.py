@@ -7,7 +7,7 @@ from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, TimestampNTZType
 
@@ -43,6 +43,11 @@ def plain(df: DataFrame) -> DataFrame:
     return df.withColumns(shown) if shown else df
 
 
+def minutes(name: str = "downtime_min") -> Column:
+    """A whole number with gaps as double, for the same reason."""
+    return F.col(name).cast("double").alias(name)
+
+
 def register(name: str, fn: Query) -> None:
     QUERIES[name] = lambda spark, sf: plain(fn(spark, sf))
 
@@ -154,7 +159,7 @@ def parts_usage(spark, sf):
 @query
 def classify_events(spark, sf):
     return clean.clean_events(defective_events(spark, sf), PARAMS).select(
-        "event_id", "reason", "is_unplanned", "downtime_min", "downtime_category"
+        "event_id", "reason", "is_unplanned", minutes(), "downtime_category"
     )
 
 
@@ -171,15 +176,14 @@ def cost_quality(spark, sf):
 
 @query
 def trim_strings(spark, sf):
-    return clean.trim_strings(defective_events(spark, sf))
+    return clean.trim_strings(defective_events(spark, sf)).withColumn("downtime_min", minutes())
 
 
 @query
 def clamp_downtime(spark, sf):
     d = F.col("downtime_min")
-    return defective_events(spark, sf).select(
-        "event_id", "start_time", d, clean.clamp_non_negative(d).alias("clamped")
-    )
+    both = defective_events(spark, sf).withColumn("clamped", clean.clamp_non_negative(d))
+    return both.select("event_id", "start_time", minutes(), minutes("clamped"))
 
 
 # --- enrich ----------------------------------------------------------------
@@ -507,7 +511,7 @@ def read_csv_checked_values(spark, sf):
     read = read_csv_checked(spark, path, EVENTS)
     return read.groupBy("unreadable_columns").agg(
         F.count(F.lit(1)).alias("rows"),
-        F.sum("downtime_min").alias("downtime_min"),
+        F.sum(minutes()).alias("downtime_min"),
         F.count("next_due_date").alias("dated"),
     )
 
