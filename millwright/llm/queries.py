@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millwright.llm import simhash
-from millwright.llm.common import table
+from millwright.llm import simhash, toxicity, warc
+from millwright.llm.common import stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -18,6 +18,32 @@ def query(fn):
     return fn
 
 
+@query
+def op2_toxicity(spark, sf_dir):
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op3_warc(spark, sf_dir):
+    index = stored(warc.write(table(spark, sf_dir, "pages")), "warc-index")
+    return warc.read(index, payload=False)
+
+
+ORACLE["op3_warc"] = """
+with p as (
+    select page_id, url, coalesce(html, '') as payload, sha1(coalesce(html, '')) as payload_digest,
+           strlen(coalesce(html, '')) as payload_bytes
+    from pages
+), g as (
+    select payload_digest, max(page_id) as holder from p where payload_bytes >= 1000 group by 1
+)
+select p.page_id, p.url, p.payload_bytes, p.payload_digest,
+       case when holder is not null and holder <> p.page_id then 'revisit' else 'response' end as record_type,
+       case when holder <> p.page_id then holder end as refers_to
+from p left join g on p.payload_digest = g.payload_digest and p.payload_bytes >= 1000
+"""
+
+
 @query
 def op4_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, max_bits=2)
