@@ -43,7 +43,7 @@ class Settings:
     rounds: tuple[int, int] = (5, 30)
     visits: int = 60_000
     shards: int = 2
-    sample: int = 24_000
+    sample: int = 12_000
     #: Features in more than this part of the sampled texts tell nothing and are left out,
     common: float = 0.25
     #: as are those in fewer texts than this.
@@ -134,7 +134,7 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings | None = None)
     order = F.xxhash64("doc_id")
     chosen = known.orderBy(order, "doc_id").limit(s.sample)
     texts = take(docs, "doc_id", "text").where("text is not null")
-    sampled = texts.join(F.broadcast(chosen), "doc_id")  # s.sample rows at most
+    sampled = stored(texts.join(F.broadcast(chosen), "doc_id"), "toxicity-sample")  # s.sample ids at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -144,8 +144,8 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings | None = None)
                 [batch.column("doc_id"), batch.column("toxic"), index], names=["doc_id", "toxic", "index"]
             )
 
-    rows = stored(sampled.mapInArrow(run, "doc_id long, toxic int, index array<int>"), "toxicity-sample")
-    total, toxic = rows.agg(F.count("*"), F.sum(F.expr("int(toxic > 0)"))).first()
+    rows = sampled.mapInArrow(run, "doc_id long, toxic int, index array<int>")
+    total, toxic = sampled.agg(F.count("*"), F.sum(F.expr("int(toxic > 0)"))).first()
     none = Model(s.bits, s.skips, -20.0, np.zeros(0, np.int64), np.zeros(0))
     if not total or not toxic or toxic == total:
         return none
