@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Words are runs of anything but ASCII white space.
@@ -94,12 +94,8 @@ def ranked(df: DataFrame, by: str, tie: Iterable[str], label: str) -> DataFrame:
     kept = stored(part.mapInArrow(number, schema.schema), label)
     first = kept.groupBy(by, "_part").agg(F.min("_pos").alias("_first"), F.count("*").alias("_n"))
     # A range-sorted value fills neighbouring tasks: as many rows as values and tasks.
-    from pyspark.sql import Window
-
     before = Window.partitionBy(by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = first.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    offsets = offsets.drop("_n").withColumnRenamed(by, "_by")
-    joined = kept.join(offsets, kept[by].eqNullSafe(offsets["_by"]) & (kept["_part"] == offsets["_part"]))
-    return joined.select(
-        *[kept[c] for c in df.columns], (kept["_pos"] - F.col("_first") + F.col("_before")).alias("rank")
-    )
+    offsets = offsets.select(F.col(by).alias("_by"), F.col("_part").alias("_p"), "_first", "_before")
+    joined = kept.join(offsets, F.col(by).eqNullSafe(F.col("_by")) & (F.col("_part") == F.col("_p")))
+    return joined.select(*df.columns, (F.col("_pos") - F.col("_first") + F.col("_before")).alias("rank"))

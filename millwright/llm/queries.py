@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millwright.llm import simhash, toxicity, warc
+from millwright.llm import packing, simhash, toxicity, warc
 from millwright.llm.common import stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +48,9 @@ from p left join g on p.payload_digest = g.payload_digest and p.payload_bytes >=
 @query
 def op4_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, max_bits=2)
+
+
+@query
+def op5_packing(spark, sf_dir):
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer, capacity=2048, end=0)
