@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millwright.llm import packing, simhash, toxicity, warc
+from millwright.llm import mixing, packing, simhash, toxicity, warc
 from millwright.llm.common import stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,56 @@ def op4_simhash(spark, sf_dir):
 def op5_packing(spark, sf_dir):
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer, capacity=2048, end=0)
+
+
+@query
+def op6_mixing(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op6_mixing"] = """
+with d as (
+    select doc_id, source, md5('mix:' || doc_id) as ord,
+           coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::bigint as size
+    from documents
+), s as (
+    select source, sum(size)::bigint as source_size,
+           (row_number() over (order by source nulls last) - 1) % 3 as turn
+    from d group by source
+), w as (
+    select *, case turn when 0 then 3.0::double when 1 then 1.0::double else 2.0::double end as weight,
+           case turn when 0 then 4.0::double when 1 then 1.0::double else 1.5::double end as first,
+           case turn when 0 then 2.0::double when 1 then 1.0::double else 2.5::double end as last
+    from s
+), r as (
+    select *, 1.5::double * sum(source_size) over ()
+              - coalesce(sum(2 * source_size) over (order by source_size / weight, source nulls last
+                    rows between unbounded preceding and 1 preceding), 0)::double as free,
+           sum(weight) over (order by source_size / weight, source nulls last
+                    rows between current row and unbounded following) as free_weight
+    from w
+), l as (
+    -- sources in the order in which caps are met; the first whose share is below its cap ends it
+    select free, free_weight from r where free * weight / free_weight <= 2 * source_size
+    order by source_size / weight, source nulls last limit 1
+), t as (
+    select w.*, case when l.free * weight / l.free_weight > 2 * source_size then 2.0::double * source_size
+                     else l.free * weight / l.free_weight end as target
+    from w, l
+), c as (
+    select doc_id, size, source_size, target, first, last,
+           coalesce(sum(size) over (partition by d.source order by ord
+                    rows between unbounded preceding and 1 preceding), 0)::bigint as c,
+           case when source_size > 0 then floor(target / source_size)::bigint else 0 end as passes
+    from d join t on d.source is not distinct from t.source
+), k as (
+    select *, case when size > 0 then passes + (c + size / 2.0::double <= target - passes * source_size)::int else 0 end
+              as copies
+    from c
+)
+select doc_id, size, source_size, target, (size * copies)::bigint as taken, copies::int as copies,
+       case when copies > 0 then 2 * (least(c / target, 1.0::double) * (first + last) / 2)
+            / (first + sqrt(first * first + 2 * (last - first) * (least(c / target, 1.0::double) * (first + last) / 2)))
+       end as position
+from k
+"""
