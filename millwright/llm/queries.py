@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millwright.llm import mixing, packing, simhash, toxicity, warc
+from millwright.llm import html, mixing, packing, simhash, toxicity, warc
 from millwright.llm.common import stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,11 @@ def query(fn):
     return fn
 
 
+@query
+def op1_html(spark, sf_dir):
+    return html.main_texts(table(spark, sf_dir, "pages"))
+
+
 @query
 def op2_toxicity(spark, sf_dir):
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
