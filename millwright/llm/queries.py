@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millwright.llm import html, mixing, packing, simhash, toxicity, warc
+from millwright.llm import html, licenses, mixing, packing, quality, simhash, toxicity, warc
 from millwright.llm.common import stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +112,13 @@ select doc_id, size, source_size, target, (size * copies)::bigint as taken, copi
        end as position
 from k
 """
+
+
+@query
+def op8_quality(spark, sf_dir):
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_licenses(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
