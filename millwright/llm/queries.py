@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millwright.llm import html, licenses, mixing, packing, quality, simhash, toxicity, warc
+from millwright.llm import ann, html, licenses, mixing, packing, quality, simhash, toxicity, warc
 from millwright.llm.common import stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +123,8 @@ def op8_quality(spark, sf_dir):
 @query
 def op9_licenses(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_nearest(spark, sf_dir):
+    return ann.nearest(table(spark, sf_dir, "embeddings"), asked=F.col("vec_id") % 50 == 0, k=5)
