@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millwright.llm import ann, html, licenses, mixing, packing, quality, simhash, toxicity, warc
+from millwright.llm import ann, html, licenses, lines, mixing, packing, quality, simhash, toxicity, warc
 from millwright.llm.common import stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,6 +115,11 @@ from k
 """
 
 
+@query
+def op7_lines(spark, sf_dir):
+    return lines.deduplicated(table(spark, sf_dir, "documents"), similarity=0.8)
+
+
 @query
 def op8_quality(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents"))
