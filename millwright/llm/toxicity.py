@@ -15,6 +15,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millwright.llm.common import slices, stored, take
+from millwright.llm.common import new_path, slices, stored, take
 
 #: Odd multipliers that tell the kinds of feature apart.
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)
@@ -110,15 +111,20 @@ def ftrl(rows, state: tuple[np.ndarray, np.ndarray], s: Settings) -> None:
 def _learner(start, s: Settings):
     """One round over a shard, from the broadcast state on; returns the shard's state."""
 
-    def learn(part: pa.Table) -> pa.Table:
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z, n = (x.copy() for x in start.value)
+        held = list(batches)
+        if not held:
+            return
+        part = pa.Table.from_batches(held)
         ids, labels = part["doc_id"].to_pylist(), part["toxic"].to_pylist()
         lists = part["index"].combine_chunks()
         at, values = lists.offsets.to_numpy(), lists.values.to_numpy()
         order = sorted(range(len(ids)), key=lambda i: (xxhash.xxh64_intdigest(str(ids[i]), 1), ids[i]))
         ftrl(((values[at[i] : at[i + 1]], float(labels[i] > 0)) for i in order), (z, n), s)
         size = np.full(len(z), len(ids) + 0.0)
-        return pa.table({"i": np.arange(len(z), dtype=np.int32), "z": z * size, "n": n * size})
+        columns = [pa.array(np.arange(len(z), dtype=np.int32)), pa.array(z * size), pa.array(n * size)]
+        yield pa.RecordBatch.from_arrays(columns, names=["i", "z", "n"])
 
     return learn
 
@@ -173,15 +179,20 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings | None = None)
             )
 
     rows = rows.mapInArrow(renumber, "doc_id long, toxic int, index array<int>, shard int")
-    dealt = stored(rows.repartition(s.shards, "shard"), "toxicity-shards")
+    # A folder for each shard, so that no round shuffles; a shard is a bounded part of the sample.
+    path = new_path(spark, "toxicity-shards")
+    rows.repartition(s.shards, "shard").write.partitionBy("shard").parquet(path)
+    schema = "doc_id long, toxic int, index array<int>, shard int"
+    shards = [spark.read.schema(schema).parquet(path).where(F.col("shard") == k).coalesce(1) for k in range(s.shards)]
     prior = math.log(toxic / (total - toxic))
     z, n = np.zeros(len(active) + 1), np.zeros(len(active) + 1)
     n[-1] = 1.0
     z[-1] = -prior * (s.beta + 1.0) / s.alpha
     for _ in range(min(max(-(-s.visits // total), s.rounds[0]), s.rounds[1])):
         start = spark.sparkContext.broadcast((z, n))  # 16 bytes for each of 2**bits coordinates at most
-        states = dealt.groupBy("shard").applyInArrow(_learner(start, s), "i int, z double, n double")
-        states = states.toArrow()  # a row for each shard and coordinate
+        learner = _learner(start, s)
+        states = [x.mapInArrow(learner, "i int, z double, n double") for x in shards]
+        states = reduce(DataFrame.union, states).toArrow()  # a row for each shard and coordinate
         i, z, n = (states[c].to_numpy() for c in ("i", "z", "n"))
         order = np.lexsort((n, z, i))  # so that sums come out the same again
         z, n = (np.bincount(i[order], x[order], len(active) + 1) / total for x in (z, n))
