@@ -48,6 +48,11 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """df, to be broadcast if it was counted to have few rows (of a few numbers each)."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def let(value: Column, body) -> Column:
     """body(value) with the value evaluated once per row, whatever body does with it."""
     return F.element_at(F.transform(F.array(value), body), 1)
