@@ -1,22 +1,31 @@
+import sys
+from pathlib import Path
+
+import duckdb
 import pytest
 
+sys.path.insert(0, str(Path(__file__).parent))
+
+SMALL = "/root/testdata/sf0.001"
+
 
 @pytest.fixture(scope="session")
-def shared(spark, tmp_path_factory):
-    """A checkpoint folder that only tests set."""
-    folder = str(tmp_path_factory.mktemp("shared"))
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+def rows_of():
+    """The rows of a test table, by SQL, without Spark."""
 
+    def read(name, columns, where="true"):
+        sql = f"select {columns} from '{SMALL}/{name}.parquet' where {where} order by 1"
+        return duckdb.connect().execute(sql).fetchall()
 
-@pytest.fixture
+    return read
+
+
+@pytest.fixture(scope="session")
 def documents(spark):
-    """Documents from (doc_id, text) or dicts, with columns whose names clash."""
+    """(doc_id, text[, source]) rows as documents with columns whose names clash."""
 
     def make(*rows):
-        rows = [r if isinstance(r, dict) else dict(zip(("doc_id", "text"), r, strict=True)) for r in rows]
-        full = [(r.get("doc_id"), r.get("text"), r.get("lang"), r.get("source"), r.get("n_chars")) for r in rows]
-        schema = "doc_id long, text string, lang string, source string, n_chars long"
-        return spark.createDataFrame(full, schema)
+        schema = "doc_id long, text string, source string, Text string, score double, fp long, size int"
+        return spark.createDataFrame([(*r, *(None,) * (3 - len(r)), "other", 9.0, 1, 1) for r in rows], schema)
 
     return make

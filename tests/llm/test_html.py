@@ -1,0 +1,72 @@
+import pytest
+
+from millwright.llm import html
+from millwright.llm.html import Page
+
+CASES = [
+    ("<article><h1>T &amp; U</h1><p>a  b\n c<p>d<br>e</article>", "T & U\na b c\nd e"),
+    ("<nav>menu</nav><p>text</p><footer>foot</footer>", "text"),
+    ("<div class='cookie-banner'>ok?</div><main><p>in</p></main><p>out</p>", "in"),
+    ("<article><p>one</p><section class=comments><p>me</p></section><aside>x</aside>two</article>", "one\ntwo"),
+    ("<script>if (a < b) '<p>no</p>'</script><style>p{}</style><p>x&lt;y &#233;&nbsp;z</p>", "x<y é z"),
+    ("<!-- <p>no</p> --><p title='a>b'>yes</p>", "yes"),
+    ("<ul><li>a<li>b<ul><li>c</ul></ul>", "a\nb\nc"),
+    ("<p><b>bold<p>next</b> more", "bold\nnext more"),
+    ("<table><tr><td>1<td>2<tr><td>3</table>", "1\n2\n3"),
+    ("plain text, no tags", "plain text, no tags"),
+    ("<p>cut <b off", "cut <b off"),
+    ("<p>a<script>never closed <p>b", "a"),
+    ("<div hidden>h</div><div style='display: none'>d</div><div aria-hidden=true>i</div>v", "v"),
+    ("<header>site</header><article><header><h1>Title</h1></header><p>t</p></article>", "Title\nt"),
+    ("<form><p>f</p></form><button>b</button><p>k</p>", "k"),
+    ("", ""),
+    ("<div class='adCard'>buy</div><p>load</p>", "load"),
+]
+
+
+@pytest.mark.parametrize("source, text", CASES)
+def test_text(source, text):
+    assert Page(source).main_text() == text
+
+
+def test_long_and_deep_pages():
+    assert Page("<div>" * 3000 + "x").main_text() == "x"
+    assert len(Page("<p>" + "word " * 200_000).main_text()) == 999_999
+    assert Page("<a title='" * 2000 + "x").main_text()
+
+
+def pages(spark, rows):
+    return spark.createDataFrame([(*r, "x", 1) for r in rows], "page_id long, url string, html string, TEXT string, host int")
+
+
+def test_templates_go_and_prose_of_articles_stays(spark):
+    site = [
+        (i, f"https://a.org/{i}", f"<div><p>Read more on our site</p></div><div><p>Story {i} is here</p></div>")
+        for i in range(10)
+    ]
+    marked = [
+        (100 + i, f"https://b.org/{i}", f"<div>We sell {i // 9}</div><article><p>The same quote</p><div>Like us</div><p>Own {i}</p></article>")
+        for i in range(10)
+    ]
+    few = [(200 + i, f"https://c.org/{i}", f"<p>Shared</p><p>Own {i}</p>") for i in range(4)]
+    copies = [(300 + i, "https://d.org/", "<div><p>A copied page</p></div>") for i in range(20)]
+    odd = [(400, None, None), (401, "no url", ""), (None, None, "<p>t</p>"), (402, "https://e.org", "<p>e</p>"), (402, "https://e.org", "<p>e</p>")]
+    got = html.main_texts(pages(spark, [*site, *marked, *few, *copies, *odd])).collect()
+    text = {r.page_id: r.text for r in got}
+    assert len(got) == 10 + 10 + 4 + 20 + 5 and all(r.n_chars == len(r.text) for r in got)
+    assert all(text[i] == f"Story {i} is here" for i in range(10))
+    assert all(text[100 + i] == f"The same quote\nOwn {i}" for i in range(10))
+    assert all(text[200 + i] == f"Shared\nOwn {i}" for i in range(4))
+    assert all(text[300 + i] == "A copied page" for i in range(20))
+    assert (text[400], text[401], text[None], text[402]) == ("", "", "t", "e")
+
+
+def test_both_ways_to_join_templates_agree(spark):
+    rows = [(i, f"https://a.org/{i}", f"<div>Same on all</div><p>Own {i}</p>") for i in range(12)]
+    a, b = (html.main_texts(pages(spark, rows), broadcast_nodes=n) for n in (1000, 0))
+    assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    assert {r.text for r in a.collect()} == {f"Own {i}" for i in range(12)}
+
+
+def test_empty_table(spark):
+    assert html.main_texts(pages(spark, [])).collect() == []

@@ -1,0 +1,100 @@
+import random
+from collections import defaultdict
+
+import numpy as np
+import pytest
+import xxhash
+from conftest_llm import ODD
+
+from millwright.llm import simhash
+from millwright.llm.common import table
+
+
+def plain_fingerprint(text):
+    words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    for c in "\t\n\x0b\x0c\r":
+        words = words.replace(c, " ")
+    words = [w for w in words.split(" ") if w]
+    shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+    ones = [0] * 64
+    for s in shingles:
+        h = xxhash.xxh64_intdigest(s.encode(), 42)
+        for b in range(64):
+            ones[b] += h >> b & 1
+    return sum(1 << b for b in range(64) if 2 * ones[b] > len(shingles))
+
+
+def plain_components(prints, bits=2):
+    """Smallest id reachable, by comparing all pairs."""
+    root = list(range(len(prints)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(prints)):
+        for j in range(i):
+            if bin(prints[i][1] ^ prints[j][1]).count("1") <= bits:
+                root[find(i)] = find(j)
+    groups = defaultdict(list)
+    for i, (doc_id, _) in enumerate(prints):
+        groups[find(i)].append(doc_id)
+    return [min((x for x in groups[find(i)] if x is not None), default=None) for i in range(len(prints))]
+
+
+def check(docs, rows):
+    prints = [(doc_id, plain_fingerprint(text)) for doc_id, text in rows]
+    want = [(d, f"{f:016x}", c) for (d, f), c in zip(prints, plain_components(prints), strict=True)]
+    got = [tuple(r) for r in simhash.near_duplicates(docs).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_against_brute_force(spark, rows_of):
+    check(table(spark, "/root/testdata/sf0.001", "documents"), rows_of("documents", "doc_id, text"))
+
+
+def test_odd_rows(documents):
+    check(documents(*ODD), [r[:2] for r in ODD])
+
+
+def test_empty_table(documents):
+    assert simhash.near_duplicates(documents()).collect() == []
+
+
+@pytest.mark.parametrize("paired", [1, 1000])
+@pytest.mark.parametrize("bits", [0, 1, 2])
+def test_links_of_a_dense_group(spark, paired, bits):
+    random.seed(paired)
+    centre = random.getrandbits(64)
+    prints = {centre} | {centre ^ (1 << random.randrange(64)) ^ (1 << random.randrange(64)) for _ in range(60)}
+    prints |= {random.getrandbits(64) for _ in range(40)}
+    signed = [(p - (1 << 64) if p >> 63 else p,) for p in prints]
+    df = spark.createDataFrame(signed, "fp long")
+    edges = {tuple(sorted(r)) for r in simhash.links(df, bits, paired).collect()}
+    rows = [(p, p % (1 << 64)) for (p,) in signed]
+    assert all(bin((a ^ b) % (1 << 64)).count("1") <= 2 for a, b in edges)
+    root = {p: p for p, _ in rows}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        root[max(find(a), find(b))] = min(find(a), find(b))
+    assert [find(p) for p, _ in rows] == plain_components(rows, bits)
+
+
+def test_golay_code_is_perfect():
+    words = np.arange(1 << 23, step=4099)
+    table_ = simhash.corrections()
+    index = simhash.codeword_index(words, table_)
+    codeword = words ^ table_[simhash.remainder(words)]
+    assert (simhash.remainder(codeword) == 0).all() and index.max() < 4096
+    assert len(np.unique(simhash.corrections())) == 2048
+
+
+def test_bits_beyond_the_guarantee_are_refused(spark):
+    with pytest.raises(ValueError):
+        simhash.links(spark.createDataFrame([(1,)], "fp long"), 3)

@@ -1,0 +1,92 @@
+import hashlib
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from millwright.llm import warc
+from millwright.llm.common import stored
+
+LONG = "<p>long enough to be stored once</p>" * 60
+PAGES = [
+    (1, "http://a/1", LONG),
+    (2, None, LONG),
+    (7, "http://a/7 space\n", LONG),
+    (7, "http://a/7", LONG),
+    (3, "http://a/3", "short"),
+    (4, "http://a/4", "short"),
+    (5, "http://a/5", None),
+    (6, "http://a/6", ""),
+    (None, None, LONG),
+    (None, None, LONG + "other"),
+    (None, "u", LONG + "other"),
+    (9, "http://a/9", "é\r\n\r\nx" * 400_000),
+]
+
+
+def pages(spark, rows):
+    return spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, HTML string")
+
+
+def test_round_trip(spark):
+    index = stored(warc.write(pages(spark, PAGES), frame_bytes=5000), "test")
+    got = {(r.page_id, r.payload_digest, r.record_type, r.refers_to, r.payload_bytes) for r in warc.read(index).collect()}
+    assert index.count() == len(PAGES)
+    want = set()
+    for page_id, _, html in PAGES:
+        data = (html or "").encode()
+        holders = [p for p, _, h in PAGES if h == html and p is not None]
+        holder = max(holders, default=None) if len(data) >= 1000 and sum(h == html for _, _, h in PAGES) > 1 else None
+        revisit = holder is not None and holder != page_id
+        kind = "revisit" if revisit else "response"
+        want.add((page_id, hashlib.sha1(data).hexdigest(), kind, holder if revisit else None, len(data)))
+    assert got == want
+
+
+def test_payloads_come_back_whole(spark):
+    index = stored(warc.write(pages(spark, PAGES), bundle_bytes=2000), "test")
+    back = {(r.page_id, bytes(r.payload)) for r in warc.read(index).collect() if r.record_type == "response"}
+    stored_ids = {p for p, _ in back}
+    assert {7, 3, 4, 5, 6, 9, None} == stored_ids
+    assert all((p, (h or "").encode()) in back for p, _, h in PAGES if p in (3, 4, 5, 6, 7, 9))
+
+
+def test_one_record_costs_one_frame_and_index_points_into_it(spark):
+    index = stored(warc.write(pages(spark, PAGES), frame_bytes=5000), "test")
+    row = index.where("page_id = 9").first()
+    store, path = warc.open_store(row.bundle)
+    with store.open_input_file(path) as file:
+        frames = warc.seek_table(file)
+        plain = warc.read_frame(file, frames[row.frame])
+    assert warc.parse(plain[row.offset : row.offset + row.length])["page_id"] == 9
+    one = warc.read(index.where("page_id = 3")).collect()
+    assert [bytes(r.payload) for r in one] == [b"short"]
+
+
+def test_frames_are_plain_zstandard_and_footer_is_skippable(spark):
+    import io
+
+    import zstandard
+
+    index = stored(warc.write(pages(spark, PAGES[:4])), "test")
+    path = index.first().bundle.removeprefix("file:")
+    data = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(open(path, "rb").read()), read_across_frames=True).read()
+    assert data.count(b"WARC/1.1\r\n") == index.where(F.col("bundle") == index.first().bundle).count()
+
+
+def test_damage_is_an_error(spark):
+    index = stored(warc.write(pages(spark, PAGES[:1])), "test")
+    path = index.first().bundle.removeprefix("file:")
+    data = bytearray(open(path, "rb").read())
+    data[len(data) // 3] ^= 255
+    checksum = os.path.join(os.path.dirname(path), f".{os.path.basename(path)}.crc")
+    assert not os.path.exists(checksum)
+    with open(path, "wb") as f:
+        f.write(data)
+    with pytest.raises(Exception, match="damaged|decompress|Corrupt|corrupt|frame"):
+        warc.read(index).collect()
+
+
+def test_empty_table(spark):
+    index = stored(warc.write(pages(spark, [])), "test")
+    assert warc.read(index).collect() == []
