@@ -1,0 +1,71 @@
+import re
+from collections import Counter
+
+from conftest_llm import ODD
+
+from millwright.llm import quality
+from millwright.llm.common import table
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def plain(text):
+    text = text or ""
+    words = WORD.findall(text)
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    seen = Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+    covered = {p for i in range(len(words) - 4) if seen[tuple(words[i : i + 5])] > 1 for p in range(i, i + 5)}
+    return (
+        len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered),
+        len(words) < 10 or 100 * len(covered) > 20 * len(words),
+    )
+
+
+def check(got, rows):
+    have = [(r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in got]
+    assert sorted(have, key=str) == sorted([(d, *plain(t)) for d, t in rows], key=str)
+    assert not any(r.kept and r.base_failed for r in got)
+
+
+def test_counts_against_brute_force(spark, rows_of):
+    got = quality.judge(table(spark, "/root/testdata/sf0.001", "documents")).collect()
+    check(got, rows_of("documents", "doc_id, text"))
+    junk = {r[0] for r in rows_of("labels", "doc_id, quality", "quality = 0")}
+    good = {r[0] for r in rows_of("labels", "doc_id, quality", "quality = 1")}
+    kept = {r.doc_id for r in got if r.kept}
+    assert len(junk & kept) <= 0.1 * len(junk)
+    fine = {r.doc_id for r in got if not r.base_failed} & good
+    assert len(fine & kept) >= 0.97 * len(fine)
+
+
+def test_odd_rows(documents):
+    rows = [
+        *ODD,
+        (20, "a b c d e a b c d e f"),
+        (21, "a a a a a a a"),
+        (22, "x\nx\n\n x\nx"),
+        (23, "a b c d e x a b c d e a b c d e"),
+        (24, "1 # * $ % & | < >"),
+        (25, "dup\r\ndup\r\ndup"),
+    ]
+    check(quality.judge(documents(*rows)).collect(), [r[:2] for r in rows])
+
+
+def test_empty_table(documents):
+    assert quality.judge(documents()).collect() == []
+
+
+def test_main_path_is_native(documents):
+    plan = quality.measured(documents(*ODD))._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_estimation_finds_the_accurate_rule():
+    good = [((1, 1, 1), 700), ((1, 1, -1), 150), ((1, 0, 1), 50)]
+    bad = [((-1, -1, 1), 40), ((-1, -1, -1), 50), ((-1, 1, -1), 10)]
+    model = quality.estimate([*good, *bad])
+    assert abs(model.prior - 0.9) < 0.02
+    first, last = model.votes[0], model.votes[2]
+    assert first[1][-1] > 0.9 and first[0][1] > 0.9
+    assert last[0][1] - last[1][1] < first[0][1] - first[1][1]
+    assert quality.estimate([]).votes == []
