@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -43,9 +44,55 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows written to shared storage and read back: lineage ends here."""
+    return _written(df, label)[0]
+
+
+def _written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+class Scratch:
+    """Stores like `stored`, and deletes what it stored at the end of its block.
+
+    Nothing that is still to be computed may read a table of a block that has ended.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *error) -> None:
+        for path in self.paths:
+            delete(self.spark, path)
+
+    def __call__(self, df: DataFrame, label: str) -> DataFrame:
+        out, path = _written(df, label)
+        self.paths.append(path)
+        return out
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def identified(docs: DataFrame, *names: str) -> DataFrame:
+    """These columns, and `file` and `at`: together one row's own, whenever they are read.
+
+    A Parquet table knows them; the rows of any other DataFrame are written to one.
+    """
+    try:
+        place = [F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at")]
+        rows = docs.select("*", *place)
+    except AnalysisException:
+        rows = stored(take(docs, *names), "rows")
+        rows = rows.select("*", *place)
+    columns = take(rows, *names, "_file", "_at")
+    return columns.withColumnsRenamed({"_file": "file", "_at": "at"})
 
 
 def small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
@@ -75,7 +122,7 @@ def bytes_of(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def ranked(df: DataFrame, by: str, tie: Iterable[str], label: str) -> DataFrame:
+def ranked(df: DataFrame, by: str, tie: Iterable[str], label: str, store=stored) -> DataFrame:
     """df with `rank`: from 0 within each value of `by`, in the order of `tie`.
 
     Rows are range-sorted by (by, tie), so a value held by a third of all rows is
@@ -96,7 +143,7 @@ def ranked(df: DataFrame, by: str, tie: Iterable[str], label: str) -> DataFrame:
                 [*batch.columns, pos], names=[*batch.schema.names, "_pos"]
             )
 
-    kept = stored(part.mapInArrow(number, schema.schema), label)
+    kept = store(part.mapInArrow(number, schema.schema), label)
     first = kept.groupBy(by, "_part").agg(F.min("_pos").alias("_first"), F.count("*").alias("_n"))
     # A range-sorted value fills neighbouring tasks: as many rows as values and tasks.
     before = Window.partitionBy(by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millwright.llm.common import stored
+from millwright.llm.common import Scratch, delete, stored
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -40,14 +40,22 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     allowed; null ends are no links. Only counts reach the driver; each round is
     written to shared storage. Rounds grow as the logarithm of the nodes.
     """
+    spark = edges.sparkSession
     edges = edges.toDF("src", "dst").where("src != dst").distinct()
-    edges = stored(edges, label)
-    mark = _mark(edges)
-    while mark[0]:
-        edges = stored(_small_star(_large_star(edges)), label)
-        before, mark = mark, _mark(edges)
-        if before == mark:
-            break
+    with Scratch(spark) as store:
+        edges = store(edges, label)
+        mark = _mark(edges)
+        while mark[0]:
+            edges = store(_small_star(_large_star(edges)), label)
+            before, mark = mark, _mark(edges)
+            if before == mark:
+                break
+            while len(store.paths) > 1:
+                delete(spark, store.paths.pop(0))
+        return stored(_rooted(edges), label)
+
+
+def _rooted(edges: DataFrame) -> DataFrame:
     children = edges.select(F.col("src").alias("node"), F.col("dst").alias("root"))
     roots = edges.select(F.col("dst").alias("node"), F.col("dst").alias("root")).distinct()
     return children.union(roots)

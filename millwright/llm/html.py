@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millwright.llm.common import slices, stored, take
+from millwright.llm.common import Scratch, slices, stored, take
 
 #: Elements by what they are in a page.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -211,10 +211,11 @@ def templates(pages: DataFrame, min_pages: int = 5, min_share: float = 0.1) -> D
     rows = take(pages, "url", "html").where("html is not null").select(_host().alias("host"), "html")
     rows = rows.mapInArrow(run, "host string, node long, page long")
     counts = rows.distinct().groupBy("host", "node").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
-    counts = stored(counts, "html-counts")
-    total = counts.where("node = 0").select("host", F.col("n").alias("pages"))
-    often = counts.where("node != 0").join(total, "host").where(F.col("n") >= min_share * F.col("pages"))
-    return stored(often.groupBy("host").agg(F.collect_list("node").alias("nodes")), "html-templates")
+    with Scratch(pages.sparkSession) as store:
+        counts = store(counts, "html-counts")
+        total = counts.where("node = 0").select("host", F.col("n").alias("pages"))
+        often = counts.where("node != 0").join(total, "host").where(F.col("n") >= min_share * F.col("pages"))
+        return stored(often.groupBy("host").agg(F.collect_list("node").alias("nodes")), "html-templates")
 
 
 def main_texts(pages: DataFrame, broadcast_nodes: int = 4_000_000, **limits) -> DataFrame:

@@ -15,7 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millwright.llm.common import WORD, ranked, stored, take
+from millwright.llm.common import WORD, Scratch, identified, ranked, small, stored, take
 
 #: Weights of the schedules that sources get in turn, at the start and at the end; the
 #: weight between is linear, and its integral the mean: 3, 1 and 2.
@@ -28,20 +28,20 @@ def words_of(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def _sources(sized: DataFrame, ramps: Sequence[tuple[float, float]], share: float, most: float) -> DataFrame:
+def _sources(sized: DataFrame, ramps: Sequence[tuple[float, float]], share: float, most: float, store) -> DataFrame:
     """(source, source_size, documents, first, last, target): one row for each source."""
     sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("documents"))
-    sums = stored(sums.withColumn("key", F.coalesce(F.hex("source"), F.lit("~"))), "mixing-sums")
+    sums = store(sums.withColumn("key", F.coalesce(F.hex("source"), F.lit("~"))), "mixing-sums")
     turn = F.pmod(F.col("rank"), F.lit(len(ramps))).cast("int")
     table = F.array(*[F.struct(F.lit(float(a)).alias("first"), F.lit(float(b)).alias("last")) for a, b in ramps])
     # Hexadecimal UTF-8 sorts as code points do, and "~" comes after all of it.
-    placed = ranked(sums.withColumn("all", F.lit(0)), "all", ["key"], "mixing-sources").drop("all", "key")
+    placed = ranked(sums.withColumn("all", F.lit(0)), "all", ["key"], "mixing-sources", store).drop("all", "key")
     placed = placed.withColumn("ramp", F.element_at(table, turn + 1)).select(
         "source", "source_size", "documents", "ramp.first", "ramp.last",
         ((F.col("ramp.first") + F.col("ramp.last")) / 2).alias("weight"),
         (most * F.col("source_size")).alias("cap"),
     )
-    placed = stored(placed, "mixing-weights")
+    placed = store(placed, "mixing-weights")
     total = share * (placed.agg(F.sum("source_size")).first()[0] or 0)
     # Shares by weight; those above their cap are held there, and the rest shared anew.
     held, free_weight, free_total = -1, 0.0, 0.0
@@ -91,17 +91,16 @@ def mix(
     source comes last. Sources without words have target 0 and take nothing.
     """
     carry = dict(carry or {})
-    sized = take(docs, "doc_id", "source", "text", *[c for c in carry.values() if c not in ("doc_id", "source", "text")])
-    sized = sized.select(
-        "doc_id", "source", words_of(F.col("text")).alias("size"), F.xxhash64("text").alias("text_key"),
-        *[F.col(old).alias(f"keep_{new}") for new, old in carry.items()],
-    )
-    if not carry:
-        sized = stored(sized, "mixing-sizes")
+    own = ["file", "at"] if carry else []
+    if carry:
+        whole = identified(docs, *dict.fromkeys(["doc_id", "source", "text", *carry.values()]))
+        whole = whole.select("*", *[F.col(old).alias(f"keep_{new}") for new, old in carry.items()])
     else:
-        whole = stored(sized.withColumn("row", F.monotonically_increasing_id()), "mixing-rows")
-        sized = whole.select("row", "doc_id", "source", "size", "text_key")
-    sources = stored(_sources(sized, ramps, share, most), "mixing-targets")
+        whole = take(docs, "doc_id", "source", "text")
+    size, text_key = words_of(F.col("text")).alias("size"), F.xxhash64("text").alias("text_key")
+    sized = stored(whole.select("doc_id", "source", size, text_key, *own), "mixing-sizes")
+    with Scratch(docs.sparkSession) as store:
+        sources = stored(_sources(sized, ramps, share, most, store), "mixing-targets")
     # Number the documents of each source: buckets of the order first, then within them.
     order = F.md5(F.concat_ws(":", F.lit("mix"), F.col("doc_id").cast("string")))
     largest = sources.agg(F.max("documents")).first()[0] or 0
@@ -128,7 +127,7 @@ def mix(
     position = F.when(F.col("copies") > 0, time_of(F.col("first"), F.col("last"), part))
     rows = rows.withColumn("position", position)
     result = rows.select(
-        *(["row"] if carry else []), "doc_id", "size", "source_size", "target",
+        *own, "doc_id", "size", "source_size", "target",
         (size * F.col("copies")).alias("taken"), "copies", "position", "c", "first", "last",
     )
     if not carry:
@@ -137,6 +136,8 @@ def mix(
     copy = result.where("copies > 0").select("*", F.posexplode(F.sequence(F.lit(1), F.col("copies"))).alias("pass", "nth"))
     start = F.col("c") + F.col("pass") * F.col("source_size")
     at = time_of(F.col("first"), F.col("last"), F.least(start / F.col("target"), F.lit(1.0)))
-    copy = copy.select("row", at.alias("position"), "pass")
-    out = copy.join(whole, "row").repartitionByRange("position", "row").sortWithinPartitions("position", "row", "pass")
+    copy = small(stored(copy.select(*own, at.alias("position"), "pass"), "mixing-copies"))
+    out = whole.select(*own, *[f"keep_{new}" for new in carry]).join(copy, own)
+    order = ["position", *own, "pass"]
+    out = out.repartitionByRange(*order).sortWithinPartitions(*order)
     return out.select(*[F.col(f"keep_{new}").alias(new) for new in carry])

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from millwright.llm.common import ranked, slices, stored, take
+from millwright.llm.common import Scratch, ranked, slices, stored, take
 
 #: Fixed value: how byte-level vocabularies of this family split a text before merging.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -121,7 +121,7 @@ def _sizes(df: DataFrame, column: str) -> dict[int, int]:
     return {r[0]: r[1] for r in df.groupBy(column).count().collect()}
 
 
-def assign(items: DataFrame, capacity: int) -> DataFrame:
+def assign(items: DataFrame, capacity: int, store=stored) -> DataFrame:
     """(size, rank, sequence_id, offset): a place for every ranked item.
 
     items: columns size, from 1 to capacity, and rank, from 0 within a size. Items of a
@@ -144,12 +144,12 @@ def assign(items: DataFrame, capacity: int) -> DataFrame:
                 rows.append((gap, first, first + n, size, each, start, start + count))
             schema = "p_gap int, p_first long, p_last long, size int, each int, start long, stop long"
             matched = F.broadcast(spark.createDataFrame(rows, schema))  # an entry for each pair of sizes that met
-            numbered = ranked(bins, "gap", ["bin"], "packing-gaps")
+            numbered = ranked(bins, "gap", ["bin"], "packing-gaps", store)
             on = (F.col("gap") == F.col("p_gap")) & (F.col("rank") >= F.col("p_first")) & (F.col("rank") < F.col("p_last"))
             met = numbered.join(matched, on, "left")
             at = F.col("start") + (F.col("rank") - F.col("p_first")) * F.col("each")
             met = met.withColumn("at", at).withColumn("n", F.least("each", F.col("stop") - F.col("at")))
-            met = stored(met.select("bin", "gap", "size", "at", F.coalesce("n", F.lit(0)).alias("n")), "packing-round")
+            met = store(met.select("bin", "gap", "size", "at", F.coalesce("n", F.lit(0)).alias("n")), "packing-round")
             k = F.explode(F.sequence(F.lit(0), (F.col("n") - 1).cast("int"))).alias("k")
             new = met.where("n > 0").select("size", "at", "bin", "gap", k)
             offset = F.lit(capacity) - F.col("gap") + F.col("k") * F.col("size")
@@ -167,7 +167,7 @@ def assign(items: DataFrame, capacity: int) -> DataFrame:
                     break
             starts = F.broadcast(spark.createDataFrame(rows, "o_size int, o_first long, o_last long, shift long"))
             on = (F.col("size") == F.col("o_size")) & (F.col("rank") >= F.col("o_first")) & (F.col("rank") < F.col("o_last"))
-            new = stored(items.join(starts, on).select("size", "rank", (F.col("rank") + F.col("shift")).alias("bin")), "packing-open")
+            new = store(items.join(starts, on).select("size", "rank", (F.col("rank") + F.col("shift")).alias("bin")), "packing-open")
             placed.append(new.withColumn("offset", F.lit(0)))
             fresh = new.select("bin", (F.lit(capacity) - F.col("size")).cast("int").alias("gap"))
             bins = fresh if bins is None else bins.union(fresh)
@@ -193,10 +193,11 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end: int = 0) ->
     cuts = pieces(docs, tokenizer, capacity, end).withColumn("uid", F.monotonically_increasing_id())
     cuts = stored(cuts, "packing-pieces")
     part = cuts.where(F.col("length") < capacity).select("uid", F.col("length").cast("int").alias("size"))
-    items = stored(ranked(part, "size", ["uid"], "packing-items"), "packing-ranks")
-    places = assign(items.select("size", "rank"), capacity)
-    placed = items.join(places, ["size", "rank"]).select("uid", F.col("sequence_id") * 2, "offset")
-    placed = placed.toDF("uid", "sequence_id", "offset")
+    with Scratch(docs.sparkSession) as store:
+        items = store(ranked(part, "size", ["uid"], "packing-items", store), "packing-ranks")
+        places = assign(items.select("size", "rank"), capacity, store)
+        placed = items.join(places, ["size", "rank"]).select("uid", F.col("sequence_id") * 2, "offset")
+        placed = stored(placed.toDF("uid", "sequence_id", "offset"), "packing-places")
     whole = cuts.where(F.col("length") == capacity).select(
         *cuts.columns, (F.col("uid") * 2 + 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     )

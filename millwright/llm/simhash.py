@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millwright.llm.common import bytes_of, stored, take
+from millwright.llm.common import Scratch, bytes_of, stored, take
 from millwright.llm.components import components
 
 #: Places of the segments: first bit and number of bits.
@@ -50,16 +50,17 @@ def fingerprint(text: bytes, size: int = 3) -> int:
     return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long; a null text counts as empty."""
+def fingerprints(docs: DataFrame, size: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, fp and columns to keep: the fingerprint is a signed long; null counts as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [fingerprint(t, size) for t in bytes_of(batch.column(1))]
+            values = [fingerprint(t, size) for t in bytes_of(batch.column(0))]
             fp = pa.array(np.array(values, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), fp], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], fp], names=[*batch.schema.names[1:], "fp"])
 
-    return take(docs, "doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    rows = take(docs, "text", "doc_id", *keep)
+    return rows.mapInArrow(run, rows.drop("text").withColumn("fp", F.lit(0).cast("long")).schema)
 
 
 def remainder(words: np.ndarray) -> np.ndarray:
@@ -117,7 +118,7 @@ def _neighbours(fps: DataFrame) -> DataFrame:
     return fps.select("fp", F.explode(flips).alias("flip")).select(F.col("fp").bitwiseXOR(F.col("flip")).alias("near"), "fp")
 
 
-def links(fps: DataFrame, max_bits: int = 2, paired: int = PAIRED) -> DataFrame:
+def links(fps: DataFrame, max_bits: int = 2, paired: int = PAIRED, store=stored) -> DataFrame:
     """Edges (src, dst) that connect exactly the fingerprints that differ in few bits.
 
     fps: distinct `fp`. Buckets of up to `paired` fingerprints are compared pair by
@@ -127,41 +128,42 @@ def links(fps: DataFrame, max_bits: int = 2, paired: int = PAIRED) -> DataFrame:
     """
     if not 0 <= max_bits <= 2:
         raise ValueError("the segments guarantee distances up to 2 bits")
-    keyed = stored(_keyed(fps), "simhash-keys")
+    keyed = store(_keyed(fps), "simhash-keys")
     sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    held = stored(keyed.join(sizes, "key"), "simhash-buckets")
+    held = store(keyed.join(sizes, "key"), "simhash-buckets")
     small = held.where(F.col("n") <= paired).select("key", "fp")
     other = small.select("key", F.col("fp").alias("other"))
     near = F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= max_bits
     pairs = small.join(other, "key").where((F.col("fp") < F.col("other")) & near).select("fp", "other")
-    if max_bits < 2:
-        large = held.where(F.col("n") > paired).select("fp").distinct()
-        if max_bits == 0:
-            return pairs.toDF("src", "dst")
-        hub = _neighbours(large).where("fp != near").select(F.col("fp").alias("src"), F.col("near").alias("dst"))
-        return pairs.toDF("src", "dst").union(hub.join(large.withColumnRenamed("fp", "dst"), "dst").select("src", "dst"))
+    pairs = pairs.toDF("src", "dst")
     large = held.where(F.col("n") > paired).select("fp").distinct()
+    if max_bits == 0:
+        return pairs
+    if max_bits == 1:
+        hubs = _neighbours(large).where("fp != near").toDF("dst", "src")
+        return pairs.union(hubs.join(large.toDF("dst"), "dst", "left_semi").select("src", "dst"))
     stars = _neighbours(large).groupBy("near").agg(F.collect_set("fp").alias("all")).where(F.size("all") > 1)
     stars = stars.select(F.explode("all").alias("src"), F.array_min("all").alias("dst")).where("src != dst")
-    return pairs.toDF("src", "dst").union(stars)
+    return pairs.union(stars)
 
 
-def near_duplicates(docs: DataFrame, size: int = 3, max_bits: int = 2) -> DataFrame:
-    """(doc_id, fingerprint, component_id) for every row of docs.
+def near_duplicates(docs: DataFrame, size: int = 3, max_bits: int = 2, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, fingerprint, component_id, group and columns to keep, for every row of docs.
 
-    component_id: the smallest doc_id that links reach, itself included. Null and
-    empty texts have fingerprint zero and link like any other; repeated rows stay
-    rows; null doc_ids are carried, and count for component_id only if no other is
-    there. An empty table gives no rows. Copies meet once per fingerprint before any
-    comparison, so a group of any size costs as much as one document there.
+    component_id: the smallest doc_id that links reach, itself included. group: one of
+    the component's fingerprints, as a number. Null and empty texts have fingerprint zero
+    and link like any other; repeated rows stay rows; null doc_ids are carried, and count
+    for component_id only if no other is there. An empty table gives no rows. Copies meet
+    once per fingerprint before any comparison, so a group of any size costs as much as
+    one document there.
     """
-    rows = stored(fingerprints(docs, size), "simhash")
-    distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    distinct = stored(distinct, "simhash-distinct")
-    roots = components(links(distinct.select("fp"), max_bits), "simhash-components")
-    roots = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-    roots = roots.select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = roots.groupBy("root").agg(F.min("least").alias("component_id"))
-    ids = stored(roots.join(least, "root").select("fp", "component_id"), "simhash-ids")
+    rows = stored(fingerprints(docs, size, keep), "simhash")
+    with Scratch(docs.sparkSession) as store:
+        distinct = store(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
+        roots = components(links(distinct.select("fp"), max_bits, store=store), "simhash-components")
+        roots = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+        roots = roots.select("fp", "least", F.coalesce("root", "fp").alias("group"))
+        least = roots.groupBy("group").agg(F.min("least").alias("component_id"))
+        ids = stored(roots.join(least, "group").select("fp", "component_id", "group"), "simhash-ids")
     text = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return rows.join(ids, "fp").select("doc_id", text.alias("fingerprint"), "component_id")
+    return rows.join(ids, "fp").select("doc_id", text.alias("fingerprint"), "component_id", "group", *keep)

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millwright.llm.common import new_path, slices, stored, take
+from millwright.llm.common import Scratch, new_path, slices, take
 
 #: Odd multipliers that tell the kinds of feature apart.
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)
@@ -135,12 +135,16 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings | None = None)
     Rows without an id, a label or a text are not learnt from; of repeated labels the
     largest counts. Without any row of either class the model says "not toxic" always.
     """
-    s = settings or Settings()
+    with Scratch(docs.sparkSession) as store:
+        return _trained(docs, labels, settings or Settings(), store)
+
+
+def _trained(docs: DataFrame, labels: DataFrame, s: Settings, store: Scratch) -> Model:
     known = take(labels, "doc_id", "toxic").dropna().groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = F.xxhash64("doc_id")
     chosen = known.orderBy(order, "doc_id").limit(s.sample)
     texts = take(docs, "doc_id", "text").where("text is not null")
-    sampled = stored(texts.join(F.broadcast(chosen), "doc_id"), "toxicity-sample")  # s.sample ids at most
+    sampled = store(texts.join(F.broadcast(chosen), "doc_id"), "toxicity-sample")  # s.sample ids at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -181,6 +185,7 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings | None = None)
     rows = rows.mapInArrow(renumber, "doc_id long, toxic int, index array<int>, shard int")
     # A folder for each shard, so that no round shuffles; a shard is a bounded part of the sample.
     path = new_path(spark, "toxicity-shards")
+    store.paths.append(path)
     rows.repartition(s.shards, "shard").write.partitionBy("shard").parquet(path)
     schema = "doc_id long, toxic int, index array<int>, shard int"
     shards = [spark.read.schema(schema).parquet(path).where(F.col("shard") == k).coalesce(1) for k in range(s.shards)]

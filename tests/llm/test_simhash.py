@@ -46,7 +46,7 @@ def plain_components(prints, bits=2):
 def check(docs, rows):
     prints = [(doc_id, plain_fingerprint(text)) for doc_id, text in rows]
     want = [(d, f"{f:016x}", c) for (d, f), c in zip(prints, plain_components(prints), strict=True)]
-    got = [tuple(r) for r in simhash.near_duplicates(docs).collect()]
+    got = [tuple(r)[:3] for r in simhash.near_duplicates(docs).collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
