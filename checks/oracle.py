@@ -83,6 +83,14 @@ def utc(c: str) -> str:
 
 PARTS = "nullif([trim(x) FOR x IN string_split(parts_used, ',') IF trim(x) <> ''], [])"
 CENTS = "CAST(round(cost_eur * 100) AS BIGINT)"
+# Amounts as they are written, summed as decimals and read as the nearest double.
+EXACT = "CAST(CAST(cost_eur AS VARCHAR) AS DECIMAL(30,10))"
+
+
+def exact_total(rows: str = "") -> str:
+    return f"CAST(CAST(sum({EXACT}) {rows} AS VARCHAR) AS DOUBLE)"
+
+
 
 
 def clean(source: str) -> str:
@@ -155,8 +163,8 @@ def summary(keys: str) -> str:
   SELECT {keys}, count(*) AS event_count,
          CAST(sum(downtime_min) AS BIGINT) AS total_downtime_min,
          avg(downtime_min) AS avg_downtime_min,
-         CAST(sum({CENTS}) AS DOUBLE) / 100 AS total_cost_eur,
-         CAST(sum({CENTS}) AS DOUBLE) / CAST(count(cost_eur) AS DOUBLE) / 100 AS avg_cost_eur,
+         {exact_total()} AS total_cost_eur,
+         {exact_total()} / CAST(count(cost_eur) AS DOUBLE) AS avg_cost_eur,
          count(*) FILTER (WHERE is_unplanned_breakdown) AS unplanned_count,
          {pct} AS unplanned_pct
   FROM F GROUP BY {keys}"""
@@ -169,7 +177,7 @@ FLAT_FACT = f"SELECT * REPLACE (array_to_string(parts_list, ',') AS parts_list,
 
 def kpi_cost(t: str) -> str:
     return f"""
-  SELECT CAST(sum({CENTS}) AS DOUBLE) / 100 AS total_maintenance_cost,
+  SELECT {exact_total()} AS total_maintenance_cost,
          count(*) AS event_count,
          {half_up(f"sum({CENTS})", "100 * count(*)", 2)} AS avg_cost_per_event,
          min(cost_eur) AS min_cost, max(cost_eur) AS max_cost
@@ -184,7 +192,7 @@ def kpi_unplanned(t: str) -> str:
          CAST(sum(downtime_min) {hit} AS BIGINT) AS total_unplanned_downtime_min,
          {half_up(f"sum(downtime_min) {hit}", f"count(downtime_min) {hit}", 2)}
            AS avg_unplanned_downtime_min,
-         CAST(sum({CENTS}) {hit} AS DOUBLE) / 100 AS total_unplanned_cost_eur,
+         {exact_total(hit)} AS total_unplanned_cost_eur,
          {half_up(f"sum({CENTS}) {hit}", f"100 * count(cost_eur) {hit}", 2)}
            AS avg_unplanned_cost_eur
   FROM {t}"""
@@ -251,8 +259,9 @@ def nulls(t: str, *columns: str) -> list[tuple[str, str, str]]:
 EVENT_RULES = [
     ("row_count", "fatal", outside("D", "count(*)", 90, 100)),
     ("duplicate_event_id", "error", repeated("D", "event_id")),
-    ("end_before_start", "error", bad_rows("D", "end_time < start_time")),
+    ("end_before_start", "error", bad_rows("D", f"{utc('end_time')} < {utc('start_time')}")),
     ("negative_cost", "warn", bad_rows("D", "cost_eur < 0")),
+    ("cost_not_finite", "error", bad_rows("D", "isnan(cost_eur) OR isinf(cost_eur)")),
     ("negative_downtime", "warn", bad_rows("D", "downtime_min < 0")),
     *nulls("D", "event_id", "start_time", "end_time", "downtime_min"),
 ]
@@ -384,6 +393,12 @@ ORACLE: dict[str, str] = {
          min({UNIT_COST}) AS min_cost_per_downtime_min,
          max({UNIT_COST}) AS max_cost_per_downtime_min
   FROM L WHERE downtime_min > 0 AND cost_eur IS NOT NULL""",
+    "costs_unrounded": """
+  WITH V AS (SELECT CAST(CAST(value / 7 AS VARCHAR) AS DECIMAL(30,10)) AS c, event_type FROM events)
+  SELECT event_type AS maintenance_type, count(*) AS event_count,
+         CAST(CAST(sum(c) AS VARCHAR) AS DOUBLE) AS total_cost_eur,
+         CAST(CAST(sum(c) AS VARCHAR) AS DOUBLE) / CAST(count(c) AS DOUBLE) AS avg_cost_eur
+  FROM V GROUP BY 1""",
     "kpi_report": f"""{with_(L)}, A AS ({kpi_cost("L")}), B AS ({kpi_unplanned("L")})
   SELECT a.total_maintenance_cost AS cost_total_maintenance_cost,
          a.event_count AS cost_event_count, a.avg_cost_per_event AS cost_avg_cost_per_event,
@@ -478,7 +493,7 @@ ORACLE: dict[str, str] = {
                    CASE WHEN downtime_min > 240 THEN 'high_downtime' END) AS alert_reasons
   FROM E WHERE cost_eur > 5000 OR downtime_min > 240""",
     "breakdown_alerts": f"""{E_FACT}, S AS ({summary(DAY_KEYS)})
-  SELECT {DAY_KEYS}, unplanned_count, unplanned_pct FROM S WHERE unplanned_pct > 30""",
+  SELECT {DAY_KEYS}, unplanned_count, unplanned_pct FROM S WHERE 100 * unplanned_count > 30 * event_count""",
     "top_events_presented": f"""{with_(L)}
   SELECT event_id, start_time, technician_id, parts_used, round(cost_eur, 2) AS cost_eur,
          downtime_min
@@ -504,6 +519,15 @@ ORACLE: dict[str, str] = {
          CAST(sum(CASE WHEN downtime_min % 9 <> 0 THEN downtime_min END) AS DOUBLE) AS downtime_min,
          count(next_due_date) AS dated
   FROM E GROUP BY 1""",
+    **dict.fromkeys(
+        ("read_csv_reordered", "read_csv_extra_columns"),
+        f"{with_(E)} SELECT * REPLACE (nullif(parts_used, '') AS parts_used, {DUE}) FROM E",
+    ),
+    "read_csv_malformed": f"""{with_(E)}
+  SELECT CASE WHEN CAST(substr(event_id, 4) AS BIGINT) % 5 < 2 THEN 'malformed row' ELSE '' END
+           AS unreadable_columns, count(*) AS "rows"
+  FROM E GROUP BY 1""",
+    "pipeline_rerun_month": f"{E_FACT} {FLAT_FACT}",
     "parquet_roundtrip": f"{E_FACT} {FLAT_FACT}",
     "parquet_append": f"{E_FACT} SELECT line_id, 2 * count(*) AS count FROM F GROUP BY 1",
     "pipeline_summary": L_FACT + summary(DAY_KEYS),

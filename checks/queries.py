@@ -9,7 +9,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, DecimalType, TimestampNTZType
+from pyspark.sql.types import DateType, DecimalType, StructType, TimestampNTZType
 
 from checks.adapters import (
     defective_events,
@@ -324,6 +324,20 @@ def kpi_efficiency(spark, sf):
     return kpis.efficiency(lineitem_as_maintenance(spark, sf))
 
 
+@query
+def costs_unrounded(spark, sf):
+    """Costs with fractions of a cent, summed as they are."""
+    e = table(spark, sf, "events").select(
+        (F.col("value") / 7).alias("cost_eur"),
+        F.col("event_type").alias("maintenance_type"),
+        F.lit(1).alias("downtime_min"),
+        F.lit(False).alias("is_unplanned_breakdown"),
+    )
+    return summary.rollup_metrics(e, ["maintenance_type"]).select(
+        "maintenance_type", "event_count", "total_cost_eur", "avg_cost_eur"
+    )
+
+
 @query
 def kpi_report(spark, sf):
     """Several figures from one pass, flattened as figure_metric."""
@@ -483,7 +497,7 @@ def top_events_presented(spark, sf):
 @query
 def top_groups_presented(spark, sf):
     order = ["-total_cost_eur", *SUMMARY_KEYS]
-    return export.present(summary_lineitem(spark, sf), order, 1000, PARAMS.precision)
+    return export.present(summary_lineitem(spark, sf), order, 1000, PARAMS.precision, narrow=False)
 
 
 # --- sources and sinks -------------------------------------------------------
@@ -516,6 +530,65 @@ def read_csv_checked_values(spark, sf):
     )
 
 
+def _shuffled_csv(spark, sf, *more: Column) -> str:
+    """The events as CSV, columns from last to first, and more of them in front."""
+    path = scratch(spark, "events")
+    events = events_as_maintenance(spark, sf)
+    export.write(events.select(*more, *reversed(events.columns)), path, "csv")
+    return path
+
+
+@query
+def read_csv_reordered(spark, sf):
+    read = read_csv_checked(spark, _shuffled_csv(spark, sf), EVENTS)
+    return read.drop("unreadable_columns")
+
+
+@query
+def read_csv_extra_columns(spark, sf):
+    more = [F.lit("x").alias("plant code"), F.lit(1.5).alias("weight")]
+    read = read_csv_checked(spark, _shuffled_csv(spark, sf, *more), EVENTS)
+    return read.drop("unreadable_columns")
+
+
+@query
+def read_csv_malformed(spark, sf):
+    """A fifth of the rows lack fields, another has too many."""
+    path = scratch(spark, "events")
+    names = ["event_id", "line_id", "downtime_min", "cost_eur"]
+    events = events_as_maintenance(spark, sf).select(*names)
+    n = F.substring("event_id", 4, 20).cast("bigint") % 5
+    line = F.concat_ws(",", *names[:3])
+    line = F.when(n == 0, F.concat_ws(",", *names[:2])).when(n == 1, F.concat(line, F.lit(",1.5,9"))).otherwise(
+        F.concat(line, F.lit(",2.5"))
+    )
+    # One file, so that the header comes first; the row order follows the number in the id.
+    head = spark.range(1).select(F.lit(-1).cast("bigint").alias("n"), F.lit(",".join(names)).alias("value"))
+    rows = events.select(F.substring("event_id", 4, 20).cast("bigint").alias("n"), line.alias("value"))
+    head.union(rows).repartitionByRange(1, "n").sortWithinPartitions("n").select("value").write.text(path)
+    schema = StructType([EVENTS[c] for c in names])
+    read = read_csv_checked(spark, path, schema)
+    return read.groupBy("unreadable_columns").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def pipeline_rerun_month(spark, sf):
+    """One month stored, then a later file with a late event of that month and one across its end."""
+    out = scratch(spark, "run")
+    events = events_as_maintenance(spark, sf)
+    n = F.substring("event_id", 4, 20).cast("bigint")
+    first = F.substring("start_time", 9, 2) <= "15"
+    roster = suppliers_as_roster(spark, sf)
+    for part in (events.where(first), events.where(~first | (n % 10 == 0))):
+        tables = {"events": part, "roster": roster}
+        pipeline.run(
+            spark, tables, out, PARAMS, formats=("parquet",),
+            partition_by=("event_year_month",), replace_partitions_only=True,
+        )
+    stored = read_table(spark, f"{out}/fact_maintenance_events.parquet", FACT)
+    return flat_fact(stored.select(*FACT.fieldNames()))
+
+
 @query
 def parquet_roundtrip(spark, sf):
     path = scratch(spark, "fact")

@@ -8,7 +8,12 @@ from pyspark.sql import functions as F
 
 def column(name: str) -> Column:
     """A column by its exact name, whatever characters it has."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted(name))
+
+
+def quoted(name: str) -> str:
+    """A column name as SQL text, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
 
 
 def split_list(text: Column, sep: str = ",") -> Column:

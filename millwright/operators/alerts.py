@@ -19,5 +19,12 @@ def event_alerts(events: DataFrame, limits: AlertLimits = AlertLimits()) -> Data
 
 
 def breakdown_rate(metrics: DataFrame, limits: AlertLimits = AlertLimits()) -> DataFrame:
-    """Metric groups whose breakdown share is strictly above the limit."""
-    return metrics.where(F.col("unplanned_pct") > limits.breakdown_pct)
+    """Metric groups whose breakdown share is strictly above the limit.
+
+    Compared before rounding where the metrics have the counts, else as rounded.
+    """
+    if not {"unplanned_count", "event_count"} <= set(metrics.columns):
+        return metrics.where(F.col("unplanned_pct") > limits.breakdown_pct)
+    share = F.col("unplanned_count") * F.lit(100).cast("decimal(3,0)")
+    limit = F.lit(limits.breakdown_pct).cast("decimal(9,4)")
+    return metrics.where(share > limit * F.col("event_count"))

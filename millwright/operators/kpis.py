@@ -13,7 +13,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millwright.functions.money import cents, from_cents, half_up, unit_cost
+from millwright.functions.money import (
+    LARGEST,
+    exact_sum,
+    half_up,
+    rest_sum,
+    rounded_mean,
+    total,
+    unit_cost,
+)
 from millwright.params import Labels
 
 
@@ -21,10 +29,6 @@ def _mean(total: Column, n: Column, scale: int = 2) -> Column:
     return half_up(total, n, scale).cast("double")
 
 
-def _mean_eur(total_cents: Column, n: Column) -> Column:
-    return half_up(total_cents, n * 100, 2).cast("double")
-
-
 @dataclass(frozen=True)
 class _Figure:
     """Aggregates over the rows where ``rows`` holds (all rows if None)."""
@@ -40,13 +44,13 @@ class _Figure:
 def _cost() -> _Figure:
     rows = F.col("cost_eur").isNotNull() & (F.col("cost_eur") >= 0)
     cost = F.when(rows, F.col("cost_eur"))
-    total, n = F.sum(cents(cost)), F.count(cost)
+    parts, n = (exact_sum(cost), rest_sum(cost)), F.count(cost)
     return _Figure(
         rows,
         {
-            "total_maintenance_cost": from_cents(total),
+            "total_maintenance_cost": total(*parts),
             "event_count": n,
-            "avg_cost_per_event": _mean_eur(total, n),
+            "avg_cost_per_event": rounded_mean(*parts, n),
             "min_cost": F.min(cost),
             "max_cost": F.max(cost),
         },
@@ -73,7 +77,8 @@ def _downtime() -> _Figure:
 def _unplanned(labels: Labels) -> _Figure:
     hit = F.col("reason") == labels.unplanned_reason
     d = F.when(hit, F.col("downtime_min"))
-    c = F.when(hit, cents(F.col("cost_eur")))
+    c = F.when(hit, F.col("cost_eur"))
+    parts = (exact_sum(c), rest_sum(c))
     return _Figure(
         None,  # the percentage needs every row, so there is no second scan for it
         {
@@ -83,8 +88,8 @@ def _unplanned(labels: Labels) -> _Figure:
             ).cast("double"),
             "total_unplanned_downtime_min": F.sum(d),
             "avg_unplanned_downtime_min": _mean(F.sum(d), F.count(d)),
-            "total_unplanned_cost_eur": from_cents(F.sum(c)),
-            "avg_unplanned_cost_eur": _mean_eur(F.sum(c), F.count(c)),
+            "total_unplanned_cost_eur": total(*parts),
+            "avg_unplanned_cost_eur": rounded_mean(*parts, F.count(c)),
         },
     )
 
@@ -109,13 +114,13 @@ def _distribution() -> _Figure:
 def _efficiency() -> _Figure:
     d = F.col("downtime_min")
     rows = (d > 0) & F.col("cost_eur").isNotNull()
-    kept_cents = F.when(rows, cents(F.col("cost_eur")))
+    kept = F.when(rows, F.col("cost_eur"))
     per_min = F.when(rows, unit_cost(F.col("cost_eur"), d))
     return _Figure(
         rows,
         {
-            "costed_events": F.count(kept_cents),
-            "cost_per_downtime_min": _mean_eur(F.sum(kept_cents), F.sum(F.when(rows, d))),
+            "costed_events": F.count(kept),
+            "cost_per_downtime_min": rounded_mean(exact_sum(kept), rest_sum(kept), F.sum(F.when(rows, d))),
             "min_cost_per_downtime_min": F.min(per_min),
             "max_cost_per_downtime_min": F.max(per_min),
         },
@@ -202,20 +207,31 @@ def share_of_total(events: DataFrame, by: str = "reason") -> DataFrame:
     Totals come from the grouped rows as scalar subqueries: no window over the
     whole result, and no second pass over the events.
     """
+    cost = F.col("cost_eur")
     sums = {
         "events": F.count(F.lit(1)),
         "downtime": F.coalesce(F.sum("downtime_min"), F.lit(0)),
-        "cost": F.coalesce(F.sum(cents(F.col("cost_eur"))), F.lit(0)),
+        "exact": F.coalesce(exact_sum(cost), F.lit(0).cast("decimal(38,10)")),
+        "rest": rest_sum(cost),
     }
     grouped = events.groupBy(by).agg(*[s.alias(f"__{n}") for n, s in sums.items()])
-    totals = {n: grouped.agg(F.sum(f"__{n}")).scalar() for n in sums}
+    all_of = {n: grouped.agg(F.sum(f"__{n}")).scalar() for n in sums}
+
+    def share(n: str) -> Column:
+        return half_up(F.col(f"__{n}") * 100, all_of[n], 2).cast("double").alias(f"{n}_pct")
+
+    # Costs are shares of decimals, or of doubles if some cost has no decimal.
+    whole = F.nullif(all_of["exact"].cast("decimal(38,6)"), F.lit(0))
+    decimal_pct = F.round(F.col("__exact").cast("decimal(38,6)") * 100 / whole, 2).cast("double")
+    double_pct = F.round(
+        total(F.col("__exact"), F.col("__rest")) * 100 / total(all_of["exact"], all_of["rest"]), 2
+    )
     return grouped.select(
         by,
         F.col("__events").alias("event_count"),
-        *[
-            half_up(F.col(f"__{n}") * 100, totals[n], 2).cast("double").alias(f"{n}_pct")
-            for n in sums
-        ],
+        share("events"),
+        share("downtime"),
+        F.when(all_of["rest"].isNull(), decimal_pct).otherwise(double_pct).alias("cost_pct"),
     )
 
 
@@ -247,14 +263,17 @@ def report(
 # The same figures as SQL over any events DataFrame.
 SQL = {
     "cost": """
-        SELECT sum(c) / 100D AS total_maintenance_cost,
-               count(cost_eur) AS event_count,
-               CAST(round(CAST(sum(c) AS DECIMAL(20,0))
-                    / CAST(nullif(count(cost_eur), 0) * 100 AS DECIMAL(18,0)), 2) AS DOUBLE)
+        SELECT coalesce(CAST(x AS DOUBLE) + r, CAST(x AS DOUBLE), r) AS total_maintenance_cost,
+               n AS event_count,
+               CASE WHEN r IS NULL
+                    THEN CAST(round(x / CAST(nullif(n, 0) AS DECIMAL(18,0)), 2) AS DOUBLE)
+                    ELSE round((coalesce(CAST(x AS DOUBLE), 0) + r) / n, 2) END
                  AS avg_cost_per_event,
-               min(cost_eur) AS min_cost,
-               max(cost_eur) AS max_cost
-        FROM (SELECT cost_eur, try_cast(rint(cost_eur * 100) AS BIGINT) AS c
+               min_cost, max_cost
+        FROM (SELECT sum(CASE WHEN abs(cost_eur) < :largest
+                              THEN CAST(cost_eur AS DECIMAL(30,10)) END) AS x,
+                     sum(CASE WHEN NOT abs(cost_eur) < :largest THEN cost_eur END) AS r,
+                     count(cost_eur) AS n, min(cost_eur) AS min_cost, max(cost_eur) AS max_cost
               FROM {events} WHERE cost_eur >= 0)
     """,
     "downtime": """
@@ -268,12 +287,16 @@ SQL = {
         FROM {events} WHERE downtime_min IS NOT NULL
     """,
     "composition": """
-        SELECT count(*) AS total_events,
-               count(DISTINCT event_id) AS unique_events,
+        WITH labels AS (
+          SELECT factory_id, line_id, maintenance_type, count(*) AS n
+          FROM {events} GROUP BY ALL),
+        keys AS (SELECT count(DISTINCT event_id) AS unique_events FROM {events})
+        SELECT coalesce(sum(n), 0) AS total_events,
+               max(unique_events) AS unique_events,
                count(DISTINCT factory_id) AS factory_count,
                count(DISTINCT line_id) AS line_count,
                count(DISTINCT maintenance_type) AS maintenance_type_count
-        FROM {events}
+        FROM keys LEFT JOIN labels ON true
     """,
     "unplanned": """
         SELECT count_if(hit) AS unplanned_breakdowns,
@@ -284,12 +307,18 @@ SQL = {
                CAST(round(CAST(sum(downtime_min) FILTER (WHERE hit) AS DECIMAL(20,0))
                     / CAST(nullif(count(downtime_min) FILTER (WHERE hit), 0)
                            AS DECIMAL(18,0)), 2) AS DOUBLE) AS avg_unplanned_downtime_min,
-               sum(c) FILTER (WHERE hit) / 100D AS total_unplanned_cost_eur,
-               CAST(round(CAST(sum(c) FILTER (WHERE hit) AS DECIMAL(20,0))
-                    / CAST(nullif(count(c) FILTER (WHERE hit), 0) * 100
-                           AS DECIMAL(18,0)), 2) AS DOUBLE) AS avg_unplanned_cost_eur
+               coalesce(CAST(sum(x) AS DOUBLE) + sum(r), CAST(sum(x) AS DOUBLE), sum(r))
+                 AS total_unplanned_cost_eur,
+               CASE WHEN sum(r) IS NULL
+                    THEN CAST(round(sum(x) / CAST(nullif(count(x), 0) AS DECIMAL(18,0)), 2)
+                              AS DOUBLE)
+                    ELSE round((coalesce(CAST(sum(x) AS DOUBLE), 0) + sum(r))
+                               / (count(x) + count(r)), 2) END AS avg_unplanned_cost_eur
         FROM (SELECT reason = :unplanned_reason AS hit, downtime_min,
-                     try_cast(rint(cost_eur * 100) AS BIGINT) AS c FROM {events})
+                     CASE WHEN reason = :unplanned_reason AND abs(cost_eur) < :largest
+                          THEN CAST(cost_eur AS DECIMAL(30,10)) END AS x,
+                     CASE WHEN reason = :unplanned_reason AND NOT abs(cost_eur) < :largest
+                          THEN cost_eur END AS r FROM {events})
     """,
     "distribution": """
         SELECT count(*) AS total_events,
@@ -314,5 +343,5 @@ def sql(
 ) -> DataFrame:
     """A figure of ``SQL`` run over ``events``."""
     return spark.sql(
-        SQL[name], args={"unplanned_reason": labels.unplanned_reason}, events=events
+        SQL[name], args={"unplanned_reason": labels.unplanned_reason, "largest": LARGEST}, events=events
     )

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from millwright.functions.text import quoted
 from millwright.functions.times import TIME_LAYOUT
 from millwright.operators.joins import left_lookup
 from millwright.params import ExpectedRows
@@ -72,7 +73,7 @@ Rule = Check | Unique | RowCount | Metric
 
 
 def not_null(*columns: str, severity: str = ERROR) -> list[Rule]:
-    return [Check(f"null_{c}", f"{c} IS NULL", severity) for c in columns]
+    return [Check(f"null_{c}", f"{quoted(c)} IS NULL", severity) for c in columns]
 
 
 def required_columns(df: DataFrame, columns: Sequence[str]) -> list[Rule]:
@@ -86,12 +87,19 @@ def row_count_rules(name: str, bounds: tuple[int, int] | None) -> list[Rule]:
     return [RowCount(name, *bounds)] if bounds else []
 
 
+def _time(name: str) -> str:
+    """A time column as a timestamp, whether it is one or still text; NULL if unreadable."""
+    text = f"trim(CAST({name} AS STRING))"
+    return f"CASE WHEN {text} RLIKE r'{TIME_LAYOUT}' THEN try_cast({text} AS timestamp_ntz) END"
+
+
 def event_rules(expected: ExpectedRows = ExpectedRows()) -> list[Rule]:
     return [
         *row_count_rules("row_count", expected.events),
         Unique("duplicate_event_id", ("event_id",)),
-        Check("end_before_start", "end_time < start_time"),
+        Check("end_before_start", f"{_time('end_time')} < {_time('start_time')}"),
         Check("negative_cost", "cost_eur < 0", WARN),
+        Check("cost_not_finite", "isnan(cost_eur) OR abs(cost_eur) = double('Infinity')"),
         Check("negative_downtime", "downtime_min < 0", WARN),
         *not_null("event_id", "start_time", "end_time", "downtime_min"),
     ]
@@ -110,8 +118,8 @@ def time_text_rules(df: DataFrame, columns: Sequence[str] = ("start_time", "end_
     return [
         Check(
             f"unparseable_{c}",
-            f"{c} IS NOT NULL AND NOT (trim({c}) RLIKE r'{TIME_LAYOUT}'"
-            f" AND try_cast(trim({c}) AS timestamp_ntz) IS NOT NULL)",
+            f"{quoted(c)} IS NOT NULL AND NOT (trim({quoted(c)}) RLIKE r'{TIME_LAYOUT}'"
+            f" AND try_cast(trim({quoted(c)}) AS timestamp_ntz) IS NOT NULL)",
         )
         for c in columns
         if isinstance(df.schema[c].dataType, StringType)
@@ -295,7 +303,8 @@ def violations(
             key_counts=repeated,
         )
         flags.append(F.col(f"__dup{i}"))
-    broken = reduce(lambda a, b: a | b, [f.isNotNull() for f in flags])
+    # Row-count and metric rules speak of no row in particular.
+    broken = reduce(lambda a, b: a | b, [f.isNotNull() for f in flags], F.lit(False))
     return df.where(broken).select(
-        *columns, F.array_compact(F.array(*flags)).alias("failed_rules")
+        *columns, F.array_compact(F.array(*flags).cast("array<string>")).alias("failed_rules")
     )

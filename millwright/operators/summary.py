@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millwright.functions.money import cents, from_cents, half_up, mean_from_cents
+from millwright.functions.money import exact_sum, half_up, mean, rest_sum, total
 from millwright.schemas import SUMMARY_KEYS
 
 
@@ -17,16 +17,17 @@ def rollup_metrics(fact: DataFrame, keys: Sequence[str] = SUMMARY_KEYS) -> DataF
     One hash aggregate: every partial is a count or a sum, so a group holding a
     large share of the rows is combined before the shuffle.
     """
-    cost_cents = cents(F.col("cost_eur"))
-    total, unplanned = F.col("event_count"), F.col("unplanned_count")
+    cost, parts = F.col("cost_eur"), (F.col("__exact"), F.col("__rest"))
+    events, unplanned = F.col("event_count"), F.col("unplanned_count")
     return (
         fact.groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("event_count"),
             F.sum("downtime_min").alias("total_downtime_min"),
             F.avg("downtime_min").alias("avg_downtime_min"),
-            F.sum(cost_cents).alias("__cents"),
-            F.count(cost_cents).alias("__costed"),
+            exact_sum(cost).alias("__exact"),
+            rest_sum(cost).alias("__rest"),
+            F.count(cost).alias("__costed"),
             F.count_if("is_unplanned_breakdown").alias("unplanned_count"),
         )
         .select(
@@ -34,9 +35,9 @@ def rollup_metrics(fact: DataFrame, keys: Sequence[str] = SUMMARY_KEYS) -> DataF
             "event_count",
             "total_downtime_min",
             "avg_downtime_min",
-            from_cents(F.col("__cents")).alias("total_cost_eur"),
-            mean_from_cents(F.col("__cents"), F.col("__costed")).alias("avg_cost_eur"),
+            total(*parts).alias("total_cost_eur"),
+            mean(*parts, F.col("__costed")).alias("avg_cost_eur"),
             "unplanned_count",
-            half_up(unplanned * 100, total, 2).cast("decimal(5,2)").alias("unplanned_pct"),
+            half_up(unplanned * 100, events, 2).cast("decimal(5,2)").alias("unplanned_pct"),
         )
     )

@@ -79,7 +79,7 @@ FACT = _table(
     downtime_category=TEXT,
     downtime_min=INT,
     cost_eur=DOUBLE,
-    cost_per_downtime_min=DecimalType(18, 2),
+    cost_per_downtime_min=DecimalType(32, 2),
     severity_level=TEXT,
     technician_id=TEXT,
     operator_skill_level=TEXT,

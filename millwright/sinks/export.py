@@ -11,6 +11,7 @@ from pyspark.sql.types import (
     DecimalType,
     FractionalType,
     MapType,
+    NumericType,
     StructField,
     StructType,
     TimestampNTZType,
@@ -59,7 +60,7 @@ def write(
         raise ValueError(f"unsupported format: {fmt}")
     out = csv_safe(df) if fmt == "csv" else df
     if num_files is not None:
-        out = out.coalesce(num_files)
+        out = out.repartition(num_files)  # a coalesce would narrow the work upstream too
     elif partition_by and rebalance:
         out = out.hint("rebalance", *partition_by)
     writer = out.write.mode(mode).format(fmt)
@@ -79,14 +80,14 @@ def present(
     order_by: Sequence[str],
     limit: int = 10_000,
     precision: int = 2,
-    narrow: bool = False,
+    narrow: bool = True,
 ) -> DataFrame:
     """The first ``limit`` rows in order, with fractional columns rounded for display.
 
     A name in ``order_by`` with a leading ``-`` sorts descending; NULLs come last
-    either way. Every task hands its own best ``limit`` rows to one merging task,
-    which is fine for grouped results. For a table of very many partitions,
-    ``narrow`` first leaves out the rows that cannot be in the result.
+    either way. Every task hands its own best ``limit`` rows to one merging task;
+    ``narrow`` first leaves out the rows that cannot be in the result, at the price
+    of a second pass that a small grouped result does not need.
     """
     top = _contenders(df, order_by, limit) if narrow else df
     top = top.orderBy(*[_order(c) for c in order_by]).limit(limit)
@@ -109,16 +110,31 @@ def _order(name: str) -> Column:
 def _contenders(df: DataFrame, order_by: Sequence[str], limit: int) -> DataFrame:
     """All rows that may be among the first ``limit``, and few others.
 
-    Rows are hashed into four times ``limit`` groups. Once ``limit`` groups have
-    a best value at or before some bound, so have at least ``limit`` rows: no row
-    behind the bound can be in the result. Few more rows than ``limit`` pass.
+    Rows are hashed into four times ``limit`` groups, each with its best row in the
+    whole order. Once ``limit`` groups have their best at or before some bound, so
+    have at least ``limit`` rows: no row behind the bound can be in the result. Ties
+    in the leading column do not weaken the bound; rows equal in the whole order do.
     """
     names = [c.removeprefix("-") for c in order_by]
-    lead, down = F.col(names[0]), order_by[0].startswith("-")
-    best = df.groupBy(F.pmod(F.xxhash64(*names), F.lit(4 * limit)).alias("__group")).agg(
-        (F.max(lead) if down else F.min(lead)).alias("__best")
-    )
-    first = best.where("__best is not null").orderBy(_order("-__best" if down else "__best"))
-    last = F.min("__best") if down else F.max("__best")
-    bound = first.limit(limit).agg(F.when(F.count(F.lit(1)) == limit, last)).scalar()
-    return df.where(bound.isNull() | (lead >= bound if down else lead <= bound))
+    groups = F.pmod(F.xxhash64(*[column(n) for n in names]), F.lit(4 * limit))
+    best = df.groupBy(groups.alias("__group")).agg(F.min(_rank(df, order_by)).alias("__best"))
+    first = best.orderBy("__best").limit(limit)
+    bound = first.agg(F.when(F.count(F.lit(1)) == limit, F.max("__best"))).scalar()
+    return df.where(bound.isNull() | (_rank(df, order_by) <= bound))
+
+
+def _rank(df: DataFrame, order_by: Sequence[str]) -> Column:
+    """The order as one value that sorts upwards: numbers turned round where it descends."""
+    parts = []
+    for i, c in enumerate(order_by):
+        name = c.removeprefix("-")
+        value = column(name)
+        parts.append(value.isNull().alias(f"n{i}"))
+        if not c.startswith("-"):
+            parts.append(value.alias(f"v{i}"))
+        elif isinstance(df.schema[name].dataType, NumericType):
+            parts.append((-value).alias(f"v{i}"))
+        else:
+            # What cannot be turned round bounds no further: equal here, told apart later.
+            break
+    return F.struct(*parts)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from millwright.functions.text import flag_text
+from millwright.functions.text import column, flag_text
 
 
 def csv_options() -> dict[str, object]:
@@ -37,6 +37,32 @@ def read_table(
     return reader.format(fmt).load(path)
 
 
+MALFORMED = "__malformed"
+
+
+def csv_header(spark: SparkSession, path: str) -> list[str]:
+    """The column names in a CSV's header; every file under the path has the same."""
+    return spark.read.options(**csv_options()).csv(path).columns
+
+
+def read_csv_text(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The declared columns of a CSV, found by name in its header, all as text.
+
+    Columns may stand in any order, and undeclared ones are left out; an absent one
+    is an error. A row with too few or too many fields has ``__malformed`` set.
+    """
+    header = csv_header(spark, path)
+    absent = [f.name for f in schema.fields if f.name not in header]
+    if absent:
+        raise ValueError(f"{path} lacks the columns {absent}")
+    text = StructType([StructField(c, StringType()) for c in [*header, MALFORMED]])
+    reader = spark.read.options(**csv_options(), columnNameOfCorruptRecord=MALFORMED)
+    # Each file's header must be this one, so that no file is read in another order; and
+    # all fields are parsed, as a row cannot be seen to be malformed otherwise.
+    rows = reader.options(enforceSchema=False, columnPruning=False).schema(text).csv(path)
+    return rows.select(*[column(f.name) for f in schema.fields], F.col(MALFORMED).isNotNull().alias(MALFORMED))
+
+
 def read_csv_checked(
     spark: SparkSession, path: str, schema: StructType, unreadable: str = "unreadable_columns"
 ) -> DataFrame:
@@ -44,17 +70,22 @@ def read_csv_checked(
 
     A plain typed read turns such values into NULL unseen. Here the text is
     converted by expressions, so a rule on ``unreadable`` (names joined by '|',
-    '' when all converted) finds them whichever columns a query uses.
+    '' when all converted) finds them whichever columns a query uses. A row with too
+    few or too many fields is named ``malformed row`` there.
     """
-    text = StructType([StructField(f.name, StringType()) for f in schema.fields])
-    raw = read_table(spark, path, text, "csv")
-    typed = {
-        f.name: F.col(f.name).try_cast(f.dataType)
+    raw = read_csv_text(spark, path, schema)
+    return typed(raw, schema, unreadable, (F.col(MALFORMED), "malformed row"))
+
+
+def typed(raw: DataFrame, schema: StructType, unreadable: str, *more) -> DataFrame:
+    """Text columns converted to their declared types, and which of them did not convert."""
+    values = {
+        f.name: column(f.name).try_cast(f.dataType)
         for f in schema.fields
         if not isinstance(f.dataType, StringType)
     }
-    lost = [(F.col(c).isNotNull() & v.isNull(), c) for c, v in typed.items()]
+    lost = [(column(c).isNotNull() & v.isNull(), c) for c, v in values.items()]
     return raw.select(
-        *[typed.get(c, F.col(c)).alias(c) for c in raw.columns],
-        flag_text(*lost).alias(unreadable),
+        *[values.get(c, column(c)).alias(c) for c in schema.fieldNames()],
+        flag_text(*lost, *more).alias(unreadable),
     )

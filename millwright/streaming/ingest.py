@@ -30,12 +30,15 @@ def ingest_new_files(
 ) -> StreamingQuery:
     """Append the events of files not seen before to the fact, then stop.
 
+    A CSV's header must name the columns in their declared order; another one is an
+    error, and so is a value that does not convert.
+
     The roster is read afresh by each run; facts already stored keep the
     attributes they were written with.
     """
     reader = spark.readStream.schema(EVENTS).format(fmt)
     if fmt == "csv":
-        reader = reader.options(**csv_options())
+        reader = reader.options(**csv_options(), enforceSchema=False, mode="FAILFAST")
     fact = fact_of(reader.load(input_dir), roster, params)
     return (
         fact.writeStream.format("parquet")

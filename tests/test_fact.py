@@ -5,7 +5,7 @@ from decimal import ROUND_HALF_UP, Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from millwright.functions.money import cents, half_up, unit_cost
+from millwright.functions.money import exact_sum, half_up, rest_sum, rounded_mean, total, unit_cost
 from millwright.operators.fact import severity
 from millwright.params import Params
 from millwright.plans.pipeline import fact_of
@@ -104,6 +104,8 @@ def test_severity(spark, cost, downtime, level):
         (None, 0, "0.00"),
         (10.005, 1, "10.01"),
         (5e9, 1, "5000000000.00"),
+        (1e15, 1, "1000000000000000.00"),
+        (0.00496, 1, "0.00"),
         (float("nan"), 5, None),
     ],
 )
@@ -124,11 +126,33 @@ def test_ratios_match_exact_arithmetic(spark):
         assert q == Decimal(sign * ((2 * scaled + d) // (2 * d))).scaleb(-2), (n, d)
 
 
-def test_cents(spark):
-    df = spark.createDataFrame([(1.15,), (0.29,), (-3.005,), (None,), (float("inf"),)], "x double")
-    got = [r[0] for r in df.select(cents(F.col("x"))).collect()]
-    assert got[:2] == [115, 29] and got[3:] == [None, None]
-    assert got[2] in (-300, -301)
+@pytest.mark.parametrize(
+    "costs, want, mean",
+    [
+        ([0.004] * 1000, 4.0, 0.0),
+        ([1.15, 0.29, -3.005, None], -1.565, -0.52),
+        ([10.0, 1e17], 1e17 + 10, 5e16 + 5),
+        ([10.0, 1e25, None], 1e25, 5e24),
+        ([10.0, float("inf")], float("inf"), float("inf")),
+        ([None, None], None, None),
+        ([0.1] * 10, 1.0, 0.1),
+    ],
+)
+def test_no_amount_leaves_a_total(spark, costs, want, mean):
+    df = spark.createDataFrame([(c,) for c in costs], "c double")
+    c = F.col("c")
+    parts = df.agg(exact_sum(c).alias("x"), rest_sum(c).alias("r"), F.count(c).alias("n"))
+    row = parts.select(
+        total(F.col("x"), F.col("r")).alias("t"),
+        rounded_mean(F.col("x"), F.col("r"), F.col("n")).alias("m"),
+    ).first()
+    assert (row["t"], row["m"]) == (want, mean)
+
+
+def test_nan_shows_in_a_total(spark):
+    df = spark.createDataFrame([(10.0,), (float("nan"),)], "c double")
+    row = df.agg(total(exact_sum(F.col("c")), rest_sum(F.col("c"))).alias("t")).first()
+    assert row["t"] != row["t"]
 
 
 def test_decimal_helper_agrees_with_python(spark):

@@ -164,3 +164,35 @@ def test_timestamps_read_back_unchanged(spark, fact, tmp_path, zone):
     zone("America/New_York")
     first = read_table(spark, str(tmp_path / "f"), FACT).orderBy("maint_event_id").first()
     assert first["start_timestamp"] == datetime(2025, 1, 10, 9, 0)
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text("extra,b,a\nx,2,one\ny,two,deux\n")
+    schema = "a string, b int"
+    df = read_csv_checked(spark, str(path), spark.createDataFrame([], schema).schema)
+    assert [tuple(r) for r in df.collect()] == [("one", 2, ""), ("deux", None, "b")]
+    with pytest.raises(ValueError, match="lacks"):
+        read_csv_checked(spark, str(path), spark.createDataFrame([], "a string, c int").schema)
+
+
+def test_malformed_rows_are_reported(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text("a,b,c\n1,2,3\n1,2\n1,2,3,4\n\"x,y\",2,3\n")
+    df = read_csv_checked(spark, str(path), spark.createDataFrame([], "a string, c int").schema)
+    assert [r["unreadable_columns"] for r in df.select("unreadable_columns").collect()] == [
+        "", "malformed row", "malformed row", "",
+    ]
+
+
+def test_files_whose_header_differs_are_an_error(spark, tmp_path):
+    (tmp_path / "1.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "2.csv").write_text("b,a\n1,2\n")
+    with pytest.raises(Exception):  # noqa: B017
+        read_csv_checked(spark, str(tmp_path), spark.createDataFrame([], "a string, b int").schema).collect()
+
+
+def test_ties_in_the_leading_column_are_narrowed_too(spark):
+    df = spark.range(5000).selectExpr("1 AS lead", "id")
+    assert _contenders(df, ["lead", "-id"], 10).count() < 200
+    assert present(df, ["lead", "-id"], 3).collect() == present(df, ["lead", "-id"], 3, narrow=False).collect()

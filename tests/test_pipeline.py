@@ -150,3 +150,41 @@ def test_new_files_are_ingested_once(spark, events, roster, tmp_path):
     batch = pipeline.fact_of(read_table(spark, source, EVENTS, "csv"), people)
     columns = [c for c in FACT.fieldNames() if c != "load_timestamp"]
     assert stored.select(columns).exceptAll(batch.select(columns)).isEmpty()
+
+
+def test_a_rerun_keeps_the_neighbours(spark, tables, events, tmp_path):
+    by_month = {"partition_by": ("event_year_month",), "replace_partitions_only": True, "formats": ("parquet",)}
+
+    def run(*rows):
+        tables["events"] = events(*rows)
+        report = pipeline.run(spark, tables, str(tmp_path), **by_month)
+        assert report.validations["fact"]["passed"]
+        return {r[0]: r[1] for r in read_table(spark, report.outputs["fact_parquet"], FACT).select("maint_event_id", "cost_eur").collect()}
+
+    february = [{"event_id": f"F{i}", "start_time": f"2025-02-1{i} 10:00:00", "end_time": f"2025-02-1{i} 11:00:00"} for i in range(5)]
+    assert len(run(*february)) == 5
+    # The first hour of March in Paris is still February in UTC; F1 is given anew.
+    march = [
+        {"event_id": "M1", "start_time": "2025-03-01 00:30:00", "end_time": "2025-03-01 02:30:00"},
+        {"event_id": "M2", "start_time": "2025-03-05 10:00:00", "end_time": "2025-03-05 11:00:00"},
+        {**february[1], "cost_eur": 7.0},
+    ]
+    stored = run(*march)
+    assert set(stored) == {"F0", "F1", "F2", "F3", "F4", "M1", "M2"} and stored["F1"] == 7.0
+
+
+def test_ids_that_differ_by_blanks_are_one(spark, tables, events, roster, tmp_path):
+    tables["events"] = events({"event_id": "E1"}, {"event_id": "E1 ", "technician_id": "T9 "})
+    tables["roster"] = roster(("T9 ", "Senior", 90.0), ("T8", "Junior", 50.0), (" T8", "Junior", 50.0))
+    report = pipeline.run(spark, tables, str(tmp_path))
+    assert report.validations["events"]["issues"]["duplicate_event_id"] == 1
+    assert report.validations["roster"]["issues"]["duplicate_operator_id"] == 1
+    assert read_table(spark, report.outputs["fact_parquet"], FACT).where("technician_in_roster").count() == 1
+
+
+def test_unknown_formats_are_refused_at_once(spark, tables, tmp_path):
+    with pytest.raises(ValueError):
+        pipeline.run(spark, tables, str(tmp_path), formats=("orc",))
+    with pytest.raises(ValueError):
+        pipeline.run(spark, tables, str(tmp_path), replace_partitions_only=True)
+    assert not list(tmp_path.iterdir())

@@ -26,6 +26,7 @@ EXPECTED = {
     "duplicate_event_id": 2,  # the keys A and NULL
     "end_before_start": 1,
     "negative_cost": 1,
+    "cost_not_finite": 0,
     "negative_downtime": 1,
     "null_event_id": 2,
     "null_start_time": 1,
@@ -187,3 +188,27 @@ def test_duplicate_keys_over_several_columns(spark):
 def test_no_rules(events):
     with pytest.raises(ValueError):
         q.evaluate(events({}), "events", [])
+
+
+def test_times_are_compared_as_times(events):
+    df = events(
+        {"end_time": " 2025-01-10 10:30:00"},
+        {"start_time": "2025-01-10 10:00:00", "end_time": "10/01/2025 10:30"},
+        {"start_time": "2025-01-10 10:00:00", "end_time": "2025-01-10 09:59:59 "},
+    )
+    assert counts(q.evaluate(df, "events", q.event_rules()))["end_before_start"] == 1
+
+
+def test_infinite_costs_fail_the_table(events):
+    df = events({"cost_eur": float("nan")}, {"cost_eur": float("inf")}, {"cost_eur": -1.0}, {"cost_eur": None})
+    assert counts(q.evaluate(df, "events", q.event_rules()))["cost_not_finite"] == 2
+
+
+def test_names_are_quoted(spark):
+    df = spark.createDataFrame([(None,), (1,)], "`cost eur` int")
+    assert counts(q.evaluate(df, "t", q.not_null("cost eur"))) == {"null_cost eur": 1}
+
+
+def test_rules_about_no_row_give_no_rows(events):
+    out = q.violations(events({}), [q.RowCount("rows", 5, 9)])
+    assert out.collect() == [] and out.dtypes[-1] == ("failed_rules", "array<string>")

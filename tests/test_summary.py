@@ -30,7 +30,7 @@ def test_metrics_per_group(fact):
     assert out.dtypes == [(f.name, f.dataType.simpleString()) for f in SUMMARY]
     rows = {(r["line_id"], r["event_date"]): tuple(r)[4:] for r in out.collect()}
     assert rows == {
-        ("L1", "2025-01-10"): (4, 35, 35 / 3, 31.3, 3130 / 3 / 100, 1, Decimal("25.00")),
+        ("L1", "2025-01-10"): (4, 35, 35 / 3, 31.3, 31.3 / 3, 1, Decimal("25.00")),
         ("L2", "2025-01-10"): (1, 5, 5.0, 1.0, 1.0, 1, Decimal("100.00")),
         ("L1", None): (1, 30, 30.0, 100.0, 100.0, 0, Decimal("0.00")),
     }
@@ -59,6 +59,14 @@ def test_breakdown_alert_is_strict(spark):
     assert [r[0] for r in breakdown_rate(df).collect()] == [Decimal("30.01")]
 
 
+def test_breakdown_alert_compares_before_rounding(spark):
+    df = spark.sql(
+        "SELECT bigint(x) AS unplanned_count, bigint(100000) AS event_count, decimal(30) AS unplanned_pct "
+        "FROM VALUES 29999, 30000, 30001 t(x)"
+    )
+    assert [r[0] for r in breakdown_rate(df).collect()] == [30001]
+
+
 def test_event_alerts(events):
     e = events(
         {"cost_eur": 5000.0, "downtime_min": 240},
