@@ -226,6 +226,14 @@ KPI_DISTRIBUTION = f"""
   FROM D WHERE downtime_min IS NOT NULL"""
 
 
+KPI_EFFICIENCY = f"""
+  SELECT count(*) AS costed_events,
+         {half_up(f"sum({CENTS})", "100 * sum(downtime_min)", 2)} AS cost_per_downtime_min,
+         min({UNIT_COST}) AS min_cost_per_downtime_min,
+         max({UNIT_COST}) AS max_cost_per_downtime_min
+  FROM L WHERE downtime_min > 0 AND cost_eur IS NOT NULL"""
+
+
 def rule_report(name: str, cte: str, t: str, rules: list[tuple[str, str, str]]) -> str:
     """``rules``: (name, severity, scalar SQL over ``t`` giving the violations)."""
     rows = " UNION ALL ".join(
@@ -342,6 +350,11 @@ ORACLE: dict[str, str] = {
   SELECT event_id, reason, is_unplanned, {MINUTES}, downtime_category FROM C""",
     "quality_flags": f"""{with_(E, clean('E'))}
   SELECT event_id, cost_eur, data_quality_flags FROM C""",
+    "cost_quality_labels": f"""{with_(E)}
+  SELECT CASE WHEN c IS NULL THEN 'pending_cost' WHEN c = 0 THEN 'free_or_in_house'
+              ELSE 'confirmed' END AS cost_data_quality, count(*) AS count
+  FROM (SELECT CASE WHEN CAST(substr(event_id, 4) AS BIGINT) % 7 = 3 THEN 0 ELSE cost_eur END AS c
+        FROM E) GROUP BY 1""",
     "cost_quality": f"""{with_(E)}
   SELECT CASE WHEN cost_eur IS NULL THEN 'pending_cost' WHEN cost_eur = 0 THEN 'free_or_in_house'
               ELSE 'confirmed' END AS cost_data_quality, count(*) AS count
@@ -352,7 +365,11 @@ ORACLE: dict[str, str] = {
   SELECT event_id, start_time, {MINUTES},
          CAST(CASE WHEN downtime_min < 0 THEN 0 ELSE downtime_min END AS DOUBLE) AS clamped FROM D""",
     "enrich_operators": ENRICH,
-    "enrich_operators_spread": ENRICH,
+    "enrich_operators_spread": f"""{with_(E)}, H AS (
+  SELECT * REPLACE (CASE WHEN n % 3 = 0 THEN '1' WHEN n % 10 = 1 THEN NULL ELSE technician_id END
+                      AS technician_id)
+  FROM (SELECT *, CAST(substr(event_id, 4) AS BIGINT) AS n FROM E)),{R},{clean('H')},{ENRICHED}
+  SELECT {ENRICHED_COLUMNS} FROM N""",
     "enrich_operators_by_suffix": f"""{with_(E, R, clean('E'), ENRICHED)}
   SELECT {ENRICHED_COLUMNS.replace('technician_id', "'TECH-00' || technician_id AS technician_id", 1)}
   FROM N""",
@@ -387,12 +404,7 @@ ORACLE: dict[str, str] = {
     "kpi_composition_sql": with_(D) + KPI_COMPOSITION,
     "kpi_unplanned_sql": with_(D) + kpi_unplanned("D"),
     "kpi_distribution_sql": with_(D) + KPI_DISTRIBUTION,
-    "kpi_efficiency": f"""{with_(L)}
-  SELECT count(*) AS costed_events,
-         {half_up(f"sum({CENTS})", "100 * sum(downtime_min)", 2)} AS cost_per_downtime_min,
-         min({UNIT_COST}) AS min_cost_per_downtime_min,
-         max({UNIT_COST}) AS max_cost_per_downtime_min
-  FROM L WHERE downtime_min > 0 AND cost_eur IS NOT NULL""",
+    "kpi_efficiency": with_(L) + KPI_EFFICIENCY,
     "costs_unrounded": """
   WITH V AS (SELECT CAST(CAST(value / 7 AS VARCHAR) AS DECIMAL(30,10)) AS c, event_type FROM events)
   SELECT event_type AS maintenance_type, count(*) AS event_count,
@@ -410,6 +422,26 @@ ORACLE: dict[str, str] = {
          b.total_unplanned_cost_eur AS breakdown_total_unplanned_cost_eur,
          b.avg_unplanned_cost_eur AS breakdown_avg_unplanned_cost_eur
   FROM A a, B b""",
+    "kpi_report_others": f"""{with_(L)}, A AS ({KPI_DOWNTIME.replace("FROM D", "FROM L")}),
+  B AS ({KPI_EFFICIENCY}), C AS ({KPI_DISTRIBUTION.replace("FROM D", "FROM L")})
+  SELECT a.total_downtime_minutes AS downtime_total_downtime_minutes,
+         a.total_productive_downtime_min AS downtime_total_productive_downtime_min,
+         a.total_events AS downtime_total_events,
+         a.events_with_downtime AS downtime_events_with_downtime,
+         a.monitoring_only_events AS downtime_monitoring_only_events,
+         a.total_hours AS downtime_total_hours,
+         b.costed_events AS efficiency_costed_events,
+         b.cost_per_downtime_min AS efficiency_cost_per_downtime_min,
+         b.min_cost_per_downtime_min AS efficiency_min_cost_per_downtime_min,
+         b.max_cost_per_downtime_min AS efficiency_max_cost_per_downtime_min,
+         c.total_events AS distribution_total_events,
+         c.events_with_downtime AS distribution_events_with_downtime,
+         c.mean_downtime_min AS distribution_mean_downtime_min,
+         c.mean_downtime_excluding_zeros AS distribution_mean_downtime_excluding_zeros,
+         c.min_downtime_min AS distribution_min_downtime_min,
+         c.max_downtime_min AS distribution_max_downtime_min,
+         c.stddev_downtime_min AS distribution_stddev_downtime_min
+  FROM A a, B b, C c""",
     "share_of_total": f"""{with_(L)}, G AS (
   SELECT reason, count(*) AS n, sum(downtime_min) AS d, sum({CENTS}) AS c FROM L GROUP BY 1)
   SELECT reason, n AS event_count,
@@ -452,7 +484,7 @@ ORACLE: dict[str, str] = {
   SELECT l_orderkey, l_linenumber, count(*) AS "rows" FROM lineitem
   GROUP BY 1, 2 HAVING count(*) > 1""",
     "rule_violations": with_(D) + broken_rules("D"),
-    "rule_violations_spread": with_(L) + broken_rules("L"),
+    "rule_violations_spread": with_(D) + broken_rules("D"),
     "quality_gate": "WITH Q AS ("
     + " UNION ALL ".join(f"SELECT * FROM ({sql})" for sql in REPORTS.values())
     + """)
@@ -482,6 +514,21 @@ ORACLE: dict[str, str] = {
             ("total_cost", "error", outside("F", "sum(cost_eur)", 169000, 170000)),
         ]
     ),
+    "metric_inside_band": report_of_fact(
+        [
+            ("row_count", "fatal", outside("F", "count(*)", 1, 10**12)),
+            ("negative_cost", "error", bad_rows("F", "cost_eur < 0")),
+            *nulls("F", "maint_event_id"),
+            ("total_cost", "error", outside("F", "sum(cost_eur)", 0, 10**15)),
+        ]
+    ),
+    "gate_verdict": "WITH Q AS ("
+    + " UNION ALL ".join(f"SELECT * FROM ({sql})" for sql in REPORTS.values())
+    + """)
+  SELECT "table", CASE WHEN bool_or(NOT passed AND severity = 'fatal') THEN 'stopped'
+                       WHEN bool_or(NOT passed AND severity = 'error') THEN 'failed'
+                       ELSE 'passed' END AS verdict, max(total_rows) AS total_rows
+  FROM Q GROUP BY 1""",
     "event_alerts": f"""{with_(L)}
   SELECT event_id, cost_eur, downtime_min,
          concat_ws('|', CASE WHEN cost_eur > 5000 THEN 'high_cost' END,
@@ -531,6 +578,16 @@ ORACLE: dict[str, str] = {
     "parquet_roundtrip": f"{E_FACT} {FLAT_FACT}",
     "parquet_append": f"{E_FACT} SELECT line_id, 2 * count(*) AS count FROM F GROUP BY 1",
     "pipeline_summary": L_FACT + summary(DAY_KEYS),
+    "pipeline_summary_csv": L_FACT + summary(DAY_KEYS),
+    "pipeline_row_counts": """
+  SELECT 'events_raw' AS name, count(*) AS row_count FROM events
+  UNION ALL SELECT 'fact', count(*) FROM events
+  UNION ALL SELECT 'production_raw', count(*) FROM lineitem
+  UNION ALL SELECT 'roster_raw', count(*) FROM supplier""",
+    "pipeline_plant_rows": """
+  SELECT 'failed' AS status, 'events' AS "table", count(*) NOT BETWEEN 90 AND 100 AS outside FROM events
+  UNION ALL SELECT 'failed', 'production', count(*) NOT BETWEEN 2000 AND 2100 FROM lineitem
+  UNION ALL SELECT 'failed', 'roster', count(*) NOT BETWEEN 18 AND 22 FROM supplier""",
     "pipeline_fact_csv": f"""{E_FACT}
   SELECT maint_event_id, strftime(start_timestamp, '%Y-%m-%d %H:%M:%S') AS start_timestamp,
          CAST(CAST(cost_per_downtime_min AS DECIMAL(18,2)) AS VARCHAR) AS cost_per_downtime_min,

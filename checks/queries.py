@@ -21,7 +21,7 @@ from checks.adapters import (
 )
 from millwright.functions.times import day_text, local_to_utc, month_text
 from millwright.operators import alerts, clean, enrich, fact, joins, kpis, quality, summary
-from millwright.params import AlertLimits, ExpectedRows, Params
+from millwright.params import PLANT_ROWS, AlertLimits, ExpectedRows, JoinLimits, Params
 from millwright.plans import pipeline
 from millwright.schemas import EVENTS, FACT, SUMMARY, SUMMARY_KEYS
 from millwright.sinks import export
@@ -186,6 +186,15 @@ def clamp_downtime(spark, sf):
     return both.select("event_id", "start_time", minutes(), minutes("clamped"))
 
 
+@query
+def cost_quality_labels(spark, sf):
+    """All three labels: some events were free, some are not billed yet."""
+    n = F.substring("event_id", 4, 20).cast("bigint")
+    cost = F.when(n % 7 == 3, 0.0).otherwise(F.col("cost_eur"))
+    e = events_as_maintenance(spark, sf).withColumn("cost_eur", cost)
+    return e.groupBy(clean.cost_quality(F.col("cost_eur")).alias("cost_data_quality")).count()
+
+
 # --- enrich ----------------------------------------------------------------
 
 
@@ -209,9 +218,22 @@ def enrich_operators(spark, sf):
     return _enriched(spark, sf).select(*_ENRICHED)
 
 
+SPREAD = Params(run_ts=PARAMS.run_ts, joins=JoinLimits(rows_per_task=100))
+
+
+def hot_technicians(spark: SparkSession, sf: str) -> DataFrame:
+    """Events of which a third have one technician, and a tenth none."""
+    n = F.substring("event_id", 4, 20).cast("bigint")
+    hot = F.when(n % 3 == 0, "1").when(n % 10 == 1, None).otherwise(F.col("technician_id"))
+    return events_as_maintenance(spark, sf).withColumn("technician_id", hot)
+
+
 @query
 def enrich_operators_spread(spark, sf):
-    return _enriched(spark, sf, "spread").select(*_ENRICHED)
+    """The hot technician's rows are split over many tasks, as a test asserts."""
+    return enrich.enrich_events(
+        hot_technicians(spark, sf), suppliers_as_roster(spark, sf), SPREAD, strategy="spread"
+    ).select(*_ENRICHED)
 
 
 @query
@@ -340,8 +362,17 @@ def costs_unrounded(spark, sf):
 
 @query
 def kpi_report(spark, sf):
+    return _flat_report(spark, sf, ["cost", "breakdown"])
+
+
+@query
+def kpi_report_others(spark, sf):
+    return _flat_report(spark, sf, ["downtime", "efficiency", "distribution"])
+
+
+def _flat_report(spark, sf, which):
     """Several figures from one pass, flattened as figure_metric."""
-    row = kpis.report(lineitem_as_maintenance(spark, sf), ["cost", "breakdown"])
+    row = kpis.report(lineitem_as_maintenance(spark, sf), which)
     return row.select(
         *[
             F.col(f"{f.name}.{m}").alias(f"{f.name}_{m}")
@@ -418,8 +449,9 @@ def rule_violations(spark, sf):
 
 @query
 def rule_violations_spread(spark, sf):
+    """Repeated and missing ids have more rows than a task takes here."""
     bad = quality.violations(
-        lineitem_as_maintenance(spark, sf), quality.event_rules(), "spread", rows_per_task=1000
+        defective_events(spark, sf), quality.event_rules(), "spread", rows_per_task=5
     )
     return bad.select(
         "event_id",
@@ -435,6 +467,20 @@ def quality_gate(spark, sf):
     return quality.gate_status(reduce(DataFrame.unionByName, reports))
 
 
+@query
+def gate_verdict(spark, sf):
+    """What the gate says of each table alone: it warns of errors and goes on."""
+    found = []
+    for report in (_event_report, _production_report, _roster_report):
+        for name, checked in quality.summaries(report(spark, sf)).items():
+            try:
+                verdict = "passed" if quality.gate([checked]) else "failed"
+            except quality.QualityError:
+                verdict = "stopped"
+            found.append((name, verdict, checked["total_rows"]))
+    return spark.createDataFrame(found, "`table` string, verdict string, total_rows bigint")
+
+
 @query
 def required_columns(spark, sf):
     df = defective_events(spark, sf).drop("factory_id")
@@ -455,6 +501,12 @@ def metric_bands(spark, sf):
     return quality.evaluate(_events_fact(spark, sf), "fact", rules)
 
 
+@query
+def metric_inside_band(spark, sf):
+    rules = quality.fact_rules(rows=(1, 10**12), total_cost=(0, 10**15))
+    return quality.evaluate(_events_fact(spark, sf), "fact", rules)
+
+
 # --- alerts and presentation -------------------------------------------------
 
 
@@ -631,3 +683,38 @@ def pipeline_fact_csv(spark, sf):
         "maint_event_id", "start_timestamp", "cost_per_downtime_min", "parts_list",
         "data_quality_flags", "technician_in_roster", "load_timestamp",
     )
+
+
+@query
+def pipeline_summary_csv(spark, sf):
+    """The whole run with its writes; the stored summary CSV read back."""
+    out = scratch(spark, "run")
+    tables = {"events": lineitem_as_maintenance(spark, sf), "roster": suppliers_as_roster(spark, sf)}
+    report = pipeline.run(spark, tables, out, PARAMS)
+    return read_csv_checked(spark, report.outputs["summary_csv"], SUMMARY).drop("unreadable_columns")
+
+
+@query
+def pipeline_row_counts(spark, sf):
+    """How many rows the run read and stored."""
+    tables = {
+        "events": events_as_maintenance(spark, sf),
+        "production": lineitem_as_production(spark, sf),
+        "roster": suppliers_as_roster(spark, sf),
+    }
+    report = pipeline.run(spark, tables, scratch(spark, "run"), PARAMS, formats=("parquet",))
+    return spark.createDataFrame(sorted(report.row_counts.items()), "name string, row_count bigint")
+
+
+@query
+def pipeline_plant_rows(spark, sf):
+    """The plant's own row ranges stop a run over other tables, and name what is outside."""
+    params = Params(run_ts=PARAMS.run_ts, expected_rows=PLANT_ROWS)
+    tables = {
+        "events": events_as_maintenance(spark, sf),
+        "production": lineitem_as_production(spark, sf),
+        "roster": suppliers_as_roster(spark, sf),
+    }
+    report = pipeline.run(spark, tables, scratch(spark, "run"), params, raise_errors=False)
+    outside = [(report.status, n, "row_count" in v["issues"]) for n, v in report.validations.items()]
+    return spark.createDataFrame(outside, "status string, `table` string, outside boolean")

@@ -63,11 +63,11 @@ def test_roster_columns_do_not_clash(events, spark):
 
 def test_normalised_keys(events, roster):
     df = enrich.enrich_events(
-        events({"technician_id": "TECH-010"}, {"technician_id": "TECH-011"}),
-        roster(("OP-010", "Senior", 90.0)),
+        events({"technician_id": "S-41"}, {"technician_id": "S-42"}),
+        roster(("P-41", "Senior", 90.0)),
         normalise=lambda c: F.regexp_extract(c, r"(\d+)$", 1),
     )
-    assert [a[:2] for a in attributes(df)] == [("TECH-010", True), ("TECH-011", False)]
+    assert [a[:2] for a in attributes(df)] == [("S-41", True), ("S-42", False)]
 
 
 def skewed(spark, n=30_000):
@@ -153,3 +153,16 @@ def test_match_rate_and_unmatched_keys(events, roster):
 def test_match_rate_of_nothing(events, roster):
     empty = enrich.enrich_events(events({}).where("false"), roster(("T1", "Senior", 90.0)))
     assert enrich.match_rate(empty).first()["match_pct"] is None
+
+
+def test_registered_spread_queries_do_split(spark):
+    from checks.adapters import defective_events
+    from checks.queries import SPREAD, hot_technicians
+    from millwright.operators.joins import _hot_keys
+
+    events = hot_technicians(spark, "/root/testdata/sf0.001")
+    hot = _hot_keys(events, [F.col("technician_id")], ["operator_id"], SPREAD.joins.rows_per_task, None)
+    assert {r[0] for r in hot.collect()} >= {"1"}
+    ids = defective_events(spark, "/root/testdata/sf0.001")
+    repeated = _hot_keys(ids, [F.col("event_id")], ["event_id"], 5, None)
+    assert {r[0] for r in repeated.collect()} >= {None, "EV-COPY"}
