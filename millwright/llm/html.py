@@ -47,10 +47,13 @@ KEEP_P = set("caption dd dt html body legend li summary tbody td tfoot th thead
 #: Roles, and words of class names and ids, of what is not the article.
 ROLES = set("alert alertdialog banner complementary contentinfo dialog menu menubar navigation search toolbar".split())
 NAMES = set(
-    "ad ads adsense advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie "
-    "cookies disqus footer gdpr login masthead menu modal nav navbar navigation newsletter notice notification "
-    "overlay pager pagination paywall popup promo promoted recommended related replies responses share sharing "
-    "sidebar signup sitemap skip social sponsor sponsored subscribe toolbar widget widgets".split()
+    "ad ads adbox adcontainer adslot adsense adunit advert advertisement advertisements advertising adverts alert "
+    "announcement announcements banner banners breadcrumb breadcrumbs comment commentlist comments consent cookie "
+    "cookies disqus footer gdpr interstitial login masthead menu menus modal nav navbar navigation navmenu newsletter "
+    "notice notices notification notifications overlay pager pagination paywall popup popups promo promos promoted "
+    "promotion recommended related replies reply responses share sharing sidebar sidebars sidenav signin signup "
+    "sitemap skip social sponsor sponsored sponsors subnav subscribe subscription teaser teasers toolbar topbar topnav "
+    "widget widgets".split()
 )
 TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
