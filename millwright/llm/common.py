@@ -86,13 +86,15 @@ def identified(docs: DataFrame, *names: str) -> DataFrame:
     A Parquet table knows them; the rows of any other DataFrame are written to one.
     """
     try:
-        place = [F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at")]
+        place = [F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at")]
         rows = docs.select("*", *place)
     except AnalysisException:
         rows = stored(take(docs, *names), "rows")
         rows = rows.select("*", *place)
-    columns = take(rows, *names, "_file", "_at")
-    return columns.withColumnsRenamed({"_file": "file", "_at": "at"})
+    have = rows.columns  # the place is last, whatever the others are called
+    numbered = rows.toDF(*[f"_{i}" for i in range(len(have))])
+    own = [F.col(f"_{len(have) - 2}").alias("file"), F.col(f"_{len(have) - 1}").alias("at")]
+    return numbered.select(*[F.col(f"_{have.index(n)}").alias(n) for n in names], *own)
 
 
 def small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
