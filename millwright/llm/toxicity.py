@@ -123,8 +123,7 @@ def _learner(start, s: Settings):
         order = sorted(range(len(ids)), key=lambda i: (xxhash.xxh64_intdigest(str(ids[i]), 1), ids[i]))
         ftrl(((values[at[i] : at[i + 1]], float(labels[i] > 0)) for i in order), (z, n), s)
         size = np.full(len(z), len(ids) + 0.0)
-        columns = [pa.array(np.arange(len(z), dtype=np.int32)), pa.array(z * size), pa.array(n * size)]
-        yield pa.RecordBatch.from_arrays(columns, names=["i", "z", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(z * size), pa.array(n * size)], names=["z", "n"])
 
     return learn
 
@@ -196,11 +195,11 @@ def _trained(docs: DataFrame, labels: DataFrame, s: Settings, store: Scratch) ->
     for _ in range(min(max(-(-s.visits // total), s.rounds[0]), s.rounds[1])):
         start = spark.sparkContext.broadcast((z, n))  # 16 bytes for each of 2**bits coordinates at most
         learner = _learner(start, s)
-        states = [x.mapInArrow(learner, "i int, z double, n double") for x in shards]
-        states = reduce(DataFrame.union, states).toArrow()  # a row for each shard and coordinate
-        i, z, n = (states[c].to_numpy() for c in ("i", "z", "n"))
-        order = np.lexsort((n, z, i))  # so that sums come out the same again
-        z, n = (np.bincount(i[order], x[order], len(active) + 1) / total for x in (z, n))
+        states = [x.mapInArrow(learner, "z double, n double") for x in shards]
+        states = reduce(DataFrame.union, states).toArrow()
+        # All coordinates of one shard after the other, in the order of the union.
+        z, n = (states[c].to_numpy().reshape(-1, len(active) + 1).sum(axis=0) / total for c in ("z", "n"))
+        del states
     weight = -np.sign(z) * np.maximum(np.abs(z) - s.l1, 0) / ((s.beta + np.sqrt(n)) / s.alpha + s.l2)
     bias = float(-z[-1] / ((s.beta + math.sqrt(n[-1])) / s.alpha))
     at = np.flatnonzero(weight[:-1])
