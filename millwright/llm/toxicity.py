@@ -45,9 +45,7 @@ class Settings:
     visits: int = 60_000
     shards: int = 2
     sample: int = 12_000
-    #: Features in more than this part of the sampled texts tell nothing and are left out,
-    common: float = 0.25
-    #: as are those in fewer texts than this.
+    #: Features in fewer texts than this are left out.
     rare: int = 3
 
 
@@ -159,7 +157,7 @@ def _trained(docs: DataFrame, labels: DataFrame, s: Settings, store: Scratch) ->
     if not total or not toxic or toxic == total:
         return none
     often = rows.select(F.explode("index").alias("i")).groupBy("i").count()
-    often = often.where(F.col("count").between(s.rare, max(s.rare, s.common * total)))
+    often = often.where(F.col("count") >= s.rare)
     active = np.sort(often.select("i").toArrow()["i"].to_numpy().astype(np.int64))  # of 2**bits
     if not len(active):
         return none

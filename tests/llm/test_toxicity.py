@@ -65,6 +65,15 @@ def test_long_texts_are_scored_whole():
     assert toxicity.scores(pa.array([text, text + "rotter"]), model).round().tolist() == [0, 1]
 
 
+def test_a_toxic_group_of_copies_is_learnt(spark, documents):
+    copy = "one same message that was sent to every list there is"
+    rows = [(i, copy if i % 3 == 0 else sentence(i, False)) for i in range(300)] + [(300, "")]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)], "doc_id long, toxic int")
+    got = {r.doc_id: r.predicted for r in toxicity.classify(documents(*rows), labels).collect()}
+    assert [got[i] for i in range(300)] == [int(i % 3 == 0) for i in range(300)]
+    assert got[300] == 0
+
+
 def _weight_of(word, weight):
     import numpy as np
 
