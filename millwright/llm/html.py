@@ -55,12 +55,16 @@ NAMES = set(
     "sitemap skip social sponsor sponsored sponsors subnav subscribe subscription teaser teasers toolbar topbar topnav "
     "widget widgets".split()
 )
-TOKEN = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"|<(/?)([A-Za-z][^\s/>]*)((?:[^\"'>]|\"[^\"]{0,4000}\"|'[^']{0,4000}')*+)>"
-    r"|<(/?)([A-Za-z][^\s/>]*)[^>]*>",
-    re.S,
-)
+_SKIPPED = r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
+_NAME = r"<(/?)([A-Za-z][^\s/>]*)"
+_QUOTED = r"(?:[^\"'>]|\"[^\"]*+\"|'[^']*+')*+"
+#: A tag ends at the first > outside quotes, or, where a quote never closes, at the first >.
+TOKEN = re.compile(rf"{_SKIPPED}|{_NAME}({_QUOTED})>|{_NAME}([^>]*)>", re.S)
+#: The same for tags that begin before a quote that never closes,
+CHEAP = re.compile(rf"{_SKIPPED}|{_NAME}([^>]*)>", re.S)
+#: and behind the page's last >.
+LAST = re.compile(r"<!--.*|<!\[CDATA\[.*()()()", re.S)
+QUOTED = re.compile(_QUOTED, re.S)
 ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 HUMP = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 #: Bytes of pages parsed at a time.
@@ -101,22 +105,27 @@ class Page:
         self.stack: list[tuple[str, bool, int, int, int]] = [("", False, 0, 0, 0)]
         at = 0
         lower = None
-        while (m := TOKEN.search(html, at)) is not None:
+        unclosed, last = 0, html.rfind(">")
+        while (m := (LAST if at > last else CHEAP if at < unclosed else TOKEN).search(html, at)) is not None:
             if m.start() > at:
                 self.text(html[at : m.start()])
             at = m.end()
-            tag = (m[2] or m[5] or "").lower()
+            if m.re is TOKEN and m[5]:
+                # Behind it no such quote follows, so that a page is scanned in vain twice at most.
+                unclosed = QUOTED.match(html, m.end(5)).end()
+            slash, tag, attributes = m.groups()[:3] if m[2] else m.groups()[-3:]
+            tag = (tag or "").lower()
             if not tag:
                 if m[0].startswith("<![CDATA["):
                     self.text(m[0][9:].removesuffix("]]>"), decode=False)
-            elif m[1] or m[4]:
+            elif slash:
                 self.end(tag)
             elif tag in RAW:
                 lower = html.lower() if lower is None or len(lower) != len(html) else lower
                 close = (lower if len(lower) == len(html) else html).find(f"</{tag}", at)
                 at = len(html) if close < 0 else html.find(">", close) + 1 or len(html)
             else:
-                self.start(tag, m[3] or "")
+                self.start(tag, attributes)
         self.text(html[at:])
         while len(self.stack) > 1:
             self.pop()

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from millwright.llm import html
@@ -35,6 +37,20 @@ def test_long_and_deep_pages():
     assert Page("<a title='" * 2000 + "x").main_text()
 
 
+def test_long_attribute_values():
+    value = "x" * 4010 + "<b>y</b>"
+    for quote in "\"'":
+        assert Page(f"<div class='sidebar' data-x={quote}{value}{quote}>junk</div><p>k</p>").main_text() == "k"
+    assert Page("<p>a</p><div class=sidebar title='never closed>junk</div><p title=\"x>y\">k</p>").main_text() == "a\nk"
+
+
+def test_quotes_that_never_close_take_linear_time():
+    start = time.process_time()
+    Page("<a x='>' y=z " * 20_000 + '"')
+    Page("<p>a</p>" + "<a title='" * 20_001)
+    assert time.process_time() - start < 5
+
+
 def pages(spark, rows):
     return spark.createDataFrame([(*r, "x", 1) for r in rows], "page_id long, url string, html string, TEXT string, host int")
 
