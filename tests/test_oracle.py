@@ -1,11 +1,15 @@
 """Every registered query against its SQL oracle, exact in types and values."""
 
+import importlib
+import sys
 from pathlib import Path
 
 import pytest
 
 import __spark_entry__ as contract
 from checks.compare import connect, differences
+from checks.oracle import ORACLE
+from checks.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="test tables not present")
@@ -17,14 +21,25 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLE) <= set(contract.oracle_sql())
 
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, con, name):
-    got = contract.queries()[name](spark, SF)
-    assert differences(got, con, contract.oracle_sql()[name]) == []
+    assert differences(QUERIES[name](spark, SF), con, ORACLE[name]) == []
+
+
+def test_entry_without_a_library_of_the_optional_part(monkeypatch):
+    """The core queries stay when the optional subpackage cannot be imported."""
+    for name in [m for m in sys.modules if m.startswith("millwright.llm") or m == "corpus_pipeline"]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "millwright.llm.queries", None)
+    monkeypatch.delitem(sys.modules, "__spark_entry__")
+    again = importlib.import_module("__spark_entry__")
+    assert set(again.queries()) == set(QUERIES)
+    monkeypatch.setitem(sys.modules, "__spark_entry__", contract)
