@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millwright.llm import ann, html, licenses, lines, mixing, packing, quality, simhash, toxicity, warc
+from millwright.llm import ann, html, licenses, lines, merkle, mixing, packing, quality, simhash, toxicity, warc
 from millwright.llm.common import stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,3 +133,83 @@ def op9_licenses(spark, sf_dir):
 @query
 def op10_nearest(spark, sf_dir):
     return ann.nearest(table(spark, sf_dir, "embeddings"), asked=F.col("vec_id") % 50 == 0, k=5)
+
+
+@query
+def op11_merkle(spark, sf_dir):
+    return merkle.audit(table(spark, sf_dir, "documents"), presented=merkle.without_breaks())
+
+
+ORACLE["op11_merkle"] = """
+with recursive d as (
+    select doc_id, '=' || source as named, text, lang, source, n_chars from documents
+), f as (
+    select *, case when text is not null and list_reduce(
+               list_transform(range(length(doc_id::varchar)), lambda i: ascii(substr(doc_id::varchar, (i + 1)::int, 1))::bigint),
+               lambda c, b: list_reduce(range(8), lambda x, i: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end,
+                                     xor(c, b)), 4294967295::bigint) & 1 = 1
+            then replace(text, chr(10), '') else text end as shown
+    from d
+), leaf as (
+    select doc_id, coalesce(named, '') as key,
+           sha256(head || coalesce(strlen(text) || ':' || text, '-')) as leaf,
+           sha256(head || coalesce(strlen(shown) || ':' || shown, '-')) as shown
+    from (select *, coalesce(strlen(doc_id::varchar) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                    || coalesce(strlen(lang) || ':' || lang, '-')
+                    || coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') as head from f)
+), placed as (
+    select *, row_number() over (partition by key order by doc_id nulls first, leaf) - 1 as pos from leaf
+), tree as (
+    select key, 0 as level, pos, leaf as node, count(*) over (partition by key) as n from placed
+    union all
+    select key, level + 1, pos // 3, sha256(string_agg(node, '' order by pos)), (n + 2) // 3
+    from tree where n > 1 group by key, level, pos // 3, n
+), tops as (
+    select key, node, row_number() over (order by key) - 1 as pos, count(*) over () as n from tree where n = 1
+), above as (
+    select 0 as level, pos, node, n from tops
+    union all
+    select level + 1, pos // 3, sha256(string_agg(node, '' order by pos)), (n + 2) // 3
+    from above where n > 1 group by level, pos // 3, n
+), height as (
+    select key, max(level) as height from tree group by key
+), beside as (
+    select key, level, pos, n from tree where n > 1
+), steps as (
+    -- for every node below a root: what stands left and right of it in its run
+    select b.key, b.level, b.pos,
+           coalesce(string_agg(t.node, '' order by t.pos) filter (where t.pos < b.pos), '') as l,
+           coalesce(string_agg(t.node, '' order by t.pos) filter (where t.pos > b.pos), '') as r
+    from beside b join tree t on t.key = b.key and t.level = b.level and t.pos // 3 = b.pos // 3
+    group by b.key, b.level, b.pos
+), outer_steps as (
+    select b.level, b.pos,
+           coalesce(string_agg(t.node, '' order by t.pos) filter (where t.pos < b.pos), '') as l,
+           coalesce(string_agg(t.node, '' order by t.pos) filter (where t.pos > b.pos), '') as r
+    from above b join above t on t.level = b.level and t.pos // 3 = b.pos // 3
+    where b.n > 1 group by b.level, b.pos
+), way as (
+    select p.key, p.pos, s.level as step, s.l, s.r
+    from placed p join steps s on s.key = p.key and s.pos = p.pos // (3 ** s.level)::bigint
+    union all
+    select p.key, p.pos, h.height + s.level, s.l, s.r
+    from placed p join height h on h.key = p.key join tops t on t.key = p.key
+    join outer_steps s on s.pos = t.pos // (3 ** s.level)::bigint
+), proof as (
+    select key, pos, sha256(string_agg(l || r, '' order by step)) as proof_sha256, count(*) as n from way group by key, pos
+), folded as (
+    select key, pos, shown as node, 0 as step from placed
+    union all
+    select f.key, f.pos, sha256(w.l || f.node || w.r), f.step + 1
+    from folded f join way w on w.key = f.key and w.pos = f.pos and w.step = f.step
+), ends as (
+    select key, pos, arg_max(node, step) as folded_root from folded group by key, pos
+), root as (
+    select node as root from above where n = 1
+)
+select p.doc_id, p.leaf, t.node as subroot, root.root, coalesce(proof.proof_sha256, sha256('')) as proof_sha256,
+       ends.folded_root, ends.folded_root = root.root as verified
+from placed p join tops t on t.key = p.key cross join root
+join ends on ends.key = p.key and ends.pos = p.pos
+left join proof on proof.key = p.key and proof.pos = p.pos
+"""
