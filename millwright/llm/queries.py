@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millwright.llm import ann, html, licenses, lines, merkle, mixing, packing, quality, simhash, toxicity, warc
+from millwright.llm import ann, exact, html, licenses, lines, merkle, mixing, packing, quality, simhash, toxicity, warc
 from millwright.llm.common import stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -213,3 +213,18 @@ from placed p join tops t on t.key = p.key cross join root
 join ends on ends.key = p.key and ends.pos = p.pos
 left join proof on proof.key = p.key and proof.pos = p.pos
 """
+
+
+@query
+def op12_exact(spark, sf_dir):
+    return exact.copies(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_exact"] = """
+with d as (
+    select doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') as text from documents
+), g as (
+    select text, min(doc_id) as keep_id, count(*) as group_size from d group by text
+)
+select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(d.text) as text_sha256 from d join g on d.text = g.text
+"""
