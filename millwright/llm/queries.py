@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millwright.llm import ann, exact, html, licenses, lines, merkle, mixing, packing, quality, simhash, toxicity, warc
+from millwright.llm import (
+    ann,
+    centroids,
+    exact,
+    html,
+    licenses,
+    lines,
+    merkle,
+    mixing,
+    packing,
+    quality,
+    simhash,
+    toxicity,
+    warc,
+)
 from millwright.llm.common import stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -228,3 +242,45 @@ with d as (
 )
 select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(d.text) as text_sha256 from d join g on d.text = g.text
 """
+
+
+@query
+def op13_centroids(spark, sf_dir):
+    return centroids.clustered(table(spark, sf_dir, "embeddings"))
+
+
+def _round(n: int) -> str:
+    """SQL: the vectors' nearest centroids of c{n}, as a{n}, and the means that follow, as c{n+1}."""
+    return f"""
+d{n} as (
+    select v.r, c.c, sum((v.x - c.x) * (v.x - c.x))::bigint as d
+    from parts v join c{n} c on v.j = c.j group by v.r, c.c
+), a{n} as (
+    select r, first(c order by d, c) as c, min(d) as d from d{n} group by r
+), m{n} as (
+    select a.c, p.j, sum(p.x)::bigint as s, count(*) as n from a{n} a join parts p on p.r = a.r group by a.c, p.j
+), c{n + 1} as (
+    select o.c, o.j, case when m.n is null then o.x else (m.s - ((m.s % m.n) + m.n) % m.n) // m.n end as x
+    from c{n} o left join m{n} m on m.c = o.c and m.j = o.j
+)"""
+
+
+ORACLE["op13_centroids"] = f"""
+with kept as (
+    select vec_id, row_number() over (order by sha256('1:' || vec_id)) - 1 as r,
+           list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as q
+    from embeddings
+    where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = 64
+), parts as (
+    select r, unnest(range(64)) as j, unnest(q) as x from kept
+), c0 as (
+    select r as c, j, x from parts where r < 16
+), {",".join(_round(n) for n in range(4))}, sums as (
+    select c, sum(d)::bigint as s from a3 group by c
+), shas as (
+    select c, sha256(string_agg(x::varchar, ',' order by j)) as h from c3 group by c
+)
+select k.vec_id, a.c::int as cluster, a.d as distance, sums.s as cluster_inertia,
+       (select sum(s) from sums)::bigint as inertia, shas.h as centroid_sha256
+from a3 a join kept k on k.r = a.r join sums on sums.c = a.c join shas on shas.c = a.c
+"""
