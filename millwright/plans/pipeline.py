@@ -4,22 +4,23 @@ from __future__ import annotations
 
 import logging
 import time
-import uuid
 from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millwright.operators import quality
 from millwright.operators.clean import clean_events, trim_strings
 from millwright.operators.enrich import enrich_events
 from millwright.operators.fact import build_fact
 from millwright.operators.joins import pick_strategy
-from millwright.operators.summary import rollup_metrics
+from millwright.operators.summary import merged, metrics, partial_metrics, rollup_metrics
 from millwright.params import Params
-from millwright.schemas import EVENTS, FACT, PRODUCTION, ROSTER, SUMMARY
+from millwright.schemas import EVENTS, FACT, PRODUCTION, ROSTER, SUMMARY, SUMMARY_KEYS
 from millwright.sinks.export import write
-from millwright.sinks.scratch import scratch_dir
+from millwright.sinks.scratch import delete, exists, touch
+from millwright.sinks.store import FactStore, Staged, drop_partitions, within
 from millwright.sources.tables import read_csv_checked, read_table
 
 log = logging.getLogger(__name__)
@@ -86,33 +87,76 @@ def check_inputs(tables: dict[str, DataFrame], params: Params) -> dict[str, dict
     return quality.summaries(reduce(DataFrame.unionByName, reports))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+#: Columns that hold one value for all events of a day, so that no summary row spans two of their partitions.
+PERIODS = (*SUMMARY_KEYS, "event_year_month")
 
 
-def _partitions(stored: DataFrame, batch: DataFrame, partition_by: tuple[str, ...]) -> DataFrame:
-    """The stored rows of the partitions that the batch has rows for."""
-    touched = batch.select(*partition_by).distinct()
-    return stored.join(touched, list(partition_by), "left_semi").select(*stored.columns)
+class _Periods:
+    """The outputs of a table that is run again period by period.
 
-
-def _merged(
-    spark: SparkSession, fact: DataFrame, path: str, partition_by: tuple[str, ...]
-) -> tuple[DataFrame, int]:
-    """New facts and the stored ones of their partitions that they do not replace, and how many.
-
-    Staged in the shared folder, as the stored partitions are about to be overwritten.
+    Beside the fact lie its partial aggregates, partitioned alike. A re-run computes those
+    of the partitions it touched, and from them the summary's and the CSV copies' files of
+    the same partitions. A marker says that all of them fit the fact: it goes before the
+    fact is changed and returns at the end, and without it every partition is done.
     """
-    stage = f"{scratch_dir(spark).rstrip('/')}/merge-{uuid.uuid4().hex}"
-    write(fact, f"{stage}/new")
-    new = read_table(spark, f"{stage}/new", FACT)
-    ids = new.select("maint_event_id")
-    kept = _partitions(read_table(spark, path, FACT), new, partition_by)
-    kept = kept.join(ids, "maint_event_id", "left_anti").select(*FACT.fieldNames())
-    write(new.select(*FACT.fieldNames()).unionByName(kept), f"{stage}/all")
-    merged = read_table(spark, f"{stage}/all", FACT)
-    return merged, merged.count()
+
+    def __init__(self, spark: SparkSession, output_dir: str, partition_by: tuple[str, ...]):
+        self.spark, self.by = spark, partition_by
+        self.fact = f"{output_dir}/fact_maintenance_events.parquet"
+        self.summary = f"{output_dir}/summary_maintenance_metrics.parquet"
+        self.partials = f"{output_dir}/partial_maintenance_metrics.parquet"
+        self.marker = f"{self.partials}/_complete"
+        self.store = FactStore(spark, self.fact, partition_by)
+        self.keys = [*SUMMARY_KEYS, *[c for c in partition_by if c not in SUMMARY_KEYS]]
+        self.touched: list | None = None
+        self.emptied: list = []
+
+    def start_over(self) -> None:
+        """Before a run that replaces everything: what described the old table goes."""
+        self.store.forget()
+        delete(self.spark, self.partials)
+
+    def merge(self, staged: Staged) -> None:
+        if exists(self.spark, self.marker):
+            self.touched = staged.touched
+        delete(self.spark, self.marker)
+        self.emptied = self.store.commit(staged)
+
+    def _replace(self, df: DataFrame, path: str, fmt: str = "parquet") -> None:
+        """The touched partitions of an output, or all of them."""
+        some = self.touched is not None
+        write(df, path, fmt, partition_by=self.by, replace_partitions_only=some)
+        if some:
+            drop_partitions(self.spark, path, self.by, self.emptied)
+
+    def _partials(self, touched: list | None) -> DataFrame:
+        stored = self.spark.read.parquet(self.partials)
+        return stored if touched is None else stored.where(within(self.by, touched))
+
+    def update(self, formats: tuple[str, ...]) -> dict[str, str]:
+        """All other outputs, for what the fact's change concerns; their paths."""
+        facts = self.store.rows(self.touched)
+        self._replace(partial_metrics(facts, self.keys), self.partials)
+        if set(self.by) <= set(PERIODS):
+            self._replace(metrics(self._partials(self.touched), self.keys), self.summary)
+        else:
+            write(metrics(merged(self._partials(None))), self.summary)
+        outputs = {"summary_parquet": self.summary}
+        if "csv" in formats:
+            outputs["fact_csv"] = self.fact.removesuffix(".parquet") + ".csv"
+            outputs["summary_csv"] = self.summary.removesuffix(".parquet") + ".csv"
+            self._replace(facts.select(*FACT.fieldNames()), outputs["fact_csv"], "csv")
+            summary = self.spark.read.parquet(self.summary)
+            if set(self.by) <= set(PERIODS):
+                summary = summary if self.touched is None else summary.where(within(self.by, self.touched))
+                self._replace(summary.select(*SUMMARY_KEYS, *[c for c in summary.columns if c not in SUMMARY_KEYS]), outputs["summary_csv"], "csv")
+            else:
+                write(summary, outputs["summary_csv"], "csv")
+        touch(self.spark, self.marker)
+        return outputs
+
+    def row_count(self) -> int:
+        return self._partials(None).agg(F.coalesce(F.sum("events"), F.lit(0))).first()[0]
 
 
 def run(
@@ -127,12 +171,16 @@ def run(
 ) -> RunReport:
     """Run the flow over ``events``, ``roster`` and optionally ``production``.
 
-    The fact is computed once, as the Parquet write. The summary and the CSV
-    copies read that table back, which also cuts the lineage: losing an executor
-    later on costs a re-read, not the join. With ``replace_partitions_only`` the
-    events given are merged into their own partitions of the stored fact: a stored
-    event stays unless the same id is given anew. The summary covers all of it. The
-    session stays the caller's.
+    The fact is computed once, as the Parquet write, which also counts its rows. The
+    summary and the CSV copies read that table back, which also cuts the lineage: losing
+    an executor later on costs a re-read, not the join.
+
+    With ``replace_partitions_only`` the events given are merged into the stored fact: an
+    event that is given anew replaces the stored one, in whatever partition that lies,
+    and all others stay. The merged partitions are checked before they replace the stored
+    ones, and all outputs, which are then partitioned alike, change in these partitions
+    only. An event without an id is the same as one that says the same. The session
+    stays the caller's.
     """
     unknown = set(formats) - {"parquet", "csv"}
     if unknown:
@@ -160,42 +208,48 @@ def run(
         strategy = pick_strategy(lookup, params.joins.broadcast_bytes)
         log.info("roster join: %s", strategy)
 
-        fact_path = f"{output_dir}/fact_maintenance_events.parquet"
-        fact, merged = fact_of(events, roster, params, strategy), None
-        if replace_partitions_only and _exists(spark, fact_path):
-            fact, merged = _merged(spark, fact, fact_path, partition_by)
-        write(
-            fact,
-            fact_path,
-            partition_by=partition_by,
-            replace_partitions_only=replace_partitions_only,
-        )
-        report.outputs["fact_parquet"] = fact_path
-        stored = read_table(spark, fact_path, FACT)
-        written = stored if merged is None else _partitions(stored, fact, partition_by)
-        lap("fact")
-
-        # Checked on what was stored, so the count is exact whatever tasks were re-run.
-        # After a merge that is what the touched partitions hold, no more and no less.
+        periods = _Periods(spark, output_dir, partition_by)
+        fact_path = periods.fact
+        fact = fact_of(events, roster, params, strategy)
         at_least = report.row_counts["events_raw"]
-        expected = (at_least, MAX_ROWS) if merged is None else (merged, merged)
-        checked = quality.evaluate(
-            written,
-            "fact",
-            quality.fact_rules(params.expected_rows.fact or expected, params.expected_total_cost),
-        )
-        report.validations.update(quality.summaries(checked))
-        checked_rows = report.validations["fact"]["total_rows"]
-        report.row_counts["fact"] = checked_rows if merged is None else stored.count()
-        quality.gate([report.validations["fact"]], params.on_fail)
-        lap("check")
-
-        summary_path = f"{output_dir}/summary_maintenance_metrics.parquet"
-        write(rollup_metrics(stored), summary_path)
-        report.outputs["summary_parquet"] = summary_path
-        lap("summary")
+        rules = quality.fact_rules(params.expected_rows.fact or (at_least, MAX_ROWS), params.expected_total_cost)
+
+        def check(rows: DataFrame) -> None:
+            report.validations.update(quality.summaries(quality.evaluate(rows, "fact", rules)))
+            quality.gate([report.validations["fact"]], params.on_fail)
+
+        if replace_partitions_only and exists(spark, fact_path):
+            staged = periods.store.stage(fact)
+            lap("fact")
+            try:
+                check(staged.rows)
+            except quality.QualityError:
+                periods.store.discard(staged)
+                raise
+            lap("check")
+            periods.merge(staged)
+            lap("merge")
+        else:
+            periods.start_over()
+            report.row_counts["fact"] = write(fact, fact_path, partition_by=partition_by)
+            lap("fact")
+            check(read_table(spark, fact_path, FACT))
+            lap("check")
+            if replace_partitions_only:
+                periods.store.locate_all()
+        report.outputs["fact_parquet"] = fact_path
 
-        if "csv" in formats:
+        if replace_partitions_only:
+            report.outputs.update(periods.update(formats))
+            report.row_counts["fact"] = periods.row_count()
+            lap("summary")
+        else:
+            stored = read_table(spark, fact_path, FACT)
+            summary_path = periods.summary
+            write(rollup_metrics(stored), summary_path)
+            report.outputs["summary_parquet"] = summary_path
+            lap("summary")
+        if "csv" in formats and not replace_partitions_only:
             stored_summary = read_table(spark, summary_path, SUMMARY)
             for key, df, path in (
                 ("fact_csv", stored.select(*FACT.fieldNames()), fact_path),

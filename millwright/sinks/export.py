@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
@@ -20,6 +20,7 @@ from pyspark.sql.types import (
 
 from millwright.functions.text import column
 from millwright.functions.times import clock_text
+from millwright.sinks.scratch import exists
 from millwright.sources.tables import csv_options
 
 
@@ -46,8 +47,10 @@ def write(
     rows_per_file: int | None = None,
     replace_partitions_only: bool = False,
     rebalance: bool = True,
-) -> None:
-    """Write Parquet or CSV in parallel.
+    cluster_by: Sequence[str] = (),
+    bloom: Sequence[str] = (),
+) -> int:
+    """Write Parquet or CSV in parallel; the number of rows that the write committed.
 
     ``partition_by`` lays the files out by column; ``rebalance`` gathers a
     partition's rows into few files and splits a partition that is too large
@@ -55,15 +58,30 @@ def write(
     arrives by partition. ``replace_partitions_only`` limits an overwrite to the
     partitions present in ``df``, so a re-run replaces just its own days.
     ``num_files`` is for small extracts that must arrive as a fixed file count.
+    ``cluster_by`` sorts rows into files by ranges of these columns, within their
+    partitions, and ``bloom`` adds Bloom filters on columns to Parquet files: a reader
+    that looks for few values then skips most files and row groups.
+
+    The count is a metric of the write itself, taken in its last stage, where a task that
+    is run again counts once; with mode "ignore" on an existing table it is 0.
     """
     if fmt not in ("parquet", "csv"):
         raise ValueError(f"unsupported format: {fmt}")
     out = csv_safe(df) if fmt == "csv" else df
     if num_files is not None:
         out = out.repartition(num_files)  # a coalesce would narrow the work upstream too
+    elif cluster_by:
+        keys = [*partition_by, *cluster_by]
+        out = out.repartitionByRange(*keys).sortWithinPartitions(*keys)
     elif partition_by and rebalance:
         out = out.hint("rebalance", *partition_by)
+    if mode == "ignore" and exists(df.sparkSession, path):
+        return 0
+    committed = Observation()
+    out = out.observe(committed, F.count(F.lit(1)).alias("rows"))
     writer = out.write.mode(mode).format(fmt)
+    for name in bloom:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{name}", True)
     if fmt == "csv":
         writer = writer.options(**csv_options(), quoteAll=True)
     if partition_by:
@@ -73,6 +91,7 @@ def write(
     if replace_partitions_only:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.save(path)
+    return committed.get["rows"]
 
 
 def present(

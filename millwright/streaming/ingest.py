@@ -1,21 +1,28 @@
 """Incremental runs of the same flow over files that keep arriving.
 
-No operator of its own: the batch functions work on a streaming DataFrame
-unchanged, the roster joins as a static side, and the checkpoint remembers which
-files were taken, so a re-run adds only the new ones.
+The batch functions work on a streaming DataFrame unchanged, the roster joins as a static
+side, and the checkpoint remembers which files were taken. Each micro-batch is held
+against the events stored before, through the locator beside the fact: an event that is
+sent again is reported, and not stored twice.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
 
+from millwright.functions.text import column
 from millwright.params import Params
 from millwright.plans.pipeline import fact_of
-from millwright.schemas import EVENTS
-from millwright.sources.tables import csv_options
+from millwright.schemas import EVENTS, FACT
+from millwright.sinks.export import write
+from millwright.sinks.scratch import delete, exists, new_path
+from millwright.sinks.store import FactStore, identities, key_hash, not_among, partitions_of
+from millwright.sources.tables import csv_options, read_table
 
 
 def ingest_new_files(
@@ -33,6 +40,11 @@ def ingest_new_files(
     A CSV's header must name the columns in their declared order; another one is an
     error, and so is a value that does not convert.
 
+    An event whose id is stored already, by an earlier batch or earlier in its own, goes
+    to a table beside the fact instead, see ``read_repeats``; of repeats within a batch
+    the first by start time and content is stored. Events without an id repeat each other
+    when they say the same.
+
     The roster is read afresh by each run; facts already stored keep the
     attributes they were written with.
     """
@@ -40,11 +52,63 @@ def ingest_new_files(
     if fmt == "csv":
         reader = reader.options(**csv_options(), enforceSchema=False, mode="FAILFAST")
     fact = fact_of(reader.load(input_dir), roster, params)
+    store = FactStore(spark, fact_path, tuple(partition_by))
+
+    def load(batch: DataFrame, number: int) -> None:
+        add_batch(store, batch, str(number))
+
     return (
-        fact.writeStream.format("parquet")
-        .option("path", fact_path)
-        .option("checkpointLocation", checkpoint_dir)
-        .partitionBy(*partition_by)
+        fact.writeStream.option("checkpointLocation", checkpoint_dir)
+        .foreachBatch(load)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def repeats_of(fact_path: str) -> str:
+    return fact_path.rstrip("/") + ".repeats"
+
+
+def read_repeats(spark: SparkSession, fact_path: str) -> DataFrame:
+    """The events that were sent again, what they repeat, and the load that sent them."""
+    schema = StructType([*FACT.fields, StructField("repeats", StringType()), StructField("load", StringType())])
+    return read_table(spark, repeats_of(fact_path), schema, "parquet")
+
+
+def add_batch(store: FactStore, batch: DataFrame, load: str) -> None:
+    """Append the events that are not stored yet; report the others under ``load``.
+
+    A batch may be given again after a failure, whatever of it was stored: what is there
+    is not stored twice, and what was there before the batch is reported all the same.
+    """
+    spark = store.spark
+    stage = new_path(spark, "batch")
+    write(batch.select(*FACT.fieldNames()), f"{stage}/given")
+    given = read_table(spark, f"{stage}/given", FACT)
+    # One of each event, the same one whenever the batch is given again; a window over
+    # an event's own rows only, which a re-sent file repeats a few times.
+    order = [F.col("start_timestamp"), *[F.to_json(F.struct(column(c))) for c in FACT.fieldNames() if c != "load_timestamp"]]
+    turn = F.row_number().over(Window.partitionBy(*identities()).orderBy(*order))
+    write(given.withColumn("turn", turn), f"{stage}/numbered")
+    numbered = spark.read.parquet(f"{stage}/numbered")
+    first, again = (numbered.where(c).select(*FACT.fieldNames()) for c in ("turn = 1", "turn > 1"))
+
+    write(store.located(given), f"{stage}/located")
+    located = read_table(spark, f"{stage}/located", store._locator_schema())
+    # The locator may name partitions that held an event once, and its hashes may collide:
+    # what counts is what the partitions hold.
+    there = first.limit(0)
+    if exists(spark, store.path):
+        stored = store.rows(partitions_of(located, store.partition_by))
+        write(stored.select(*FACT.fieldNames()).transform(lambda rows: not_among(rows, first, "left_semi")), f"{stage}/there")
+        there = read_table(spark, f"{stage}/there", FACT)
+    fresh = not_among(first, there)
+    # What an earlier try of this batch stored is no repeat of it.
+    before = located.where(F.col("load") != load).select("h").distinct()
+    told = not_among(first, there, "left_semi").withColumn("h", key_hash()).join(before, "h", "left_semi").drop("h")
+    reported = told.withColumn("repeats", F.lit("a stored event")).unionByName(again.withColumn("repeats", F.lit("its own load")))
+    reported = reported.withColumn("load", F.lit(load))
+    write(reported, repeats_of(store.path), partition_by=["load"], replace_partitions_only=True)
+    store.record(fresh, located, load)
+    write(fresh, store.path, mode="append", partition_by=store.partition_by)
+    delete(spark, stage)

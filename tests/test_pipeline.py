@@ -53,7 +53,7 @@ def test_one_month_can_be_run_again(spark, tables, events, roster, tmp_path):
         {"start_time": "2025-01-10 10:00:00"}, {"start_time": "2025-02-10 10:00:00"}
     )
     pipeline.run(spark, tables, str(tmp_path), **options)
-    tables["events"] = events({}, {}, start_time="2025-02-11 10:00:00")
+    tables["events"] = events({"event_id": "E2"}, {}, start_time="2025-02-11 10:00:00")
     report = pipeline.run(spark, tables, str(tmp_path), **options)
     assert report.row_counts["fact"] == 3
     summary = read_table(spark, report.outputs["summary_parquet"], SUMMARY)
@@ -143,7 +143,7 @@ def test_new_files_are_ingested_once(spark, events, roster, tmp_path):
     write(events({}, {}), source, "csv", mode="append")
     assert ingest().count() == 2
     assert ingest().count() == 2
-    write(events({"technician_id": "T9"}), source, "csv", mode="append")
+    write(events({"event_id": "E2", "technician_id": "T9"}), source, "csv", mode="append")
     stored = ingest()
     assert stored.count() == 3
     assert stored.where("technician_in_roster").count() == 2
