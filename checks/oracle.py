@@ -325,6 +325,29 @@ ENRICH = f"{with_(E, R, clean('E'), ENRICHED)} SELECT {ENRICHED_COLUMNS} FROM N"
 
 MINUTES = "CAST(downtime_min AS DOUBLE) AS downtime_min"
 
+VARIATION = f"""{with_(E)}
+  SELECT round(avg(downtime_min), 4) AS mean_downtime_min,
+         round(stddev_pop(downtime_min), 4) AS stddev_downtime_min,
+         round(stddev_pop(downtime_min) / avg(downtime_min) * 100, 2) AS variation_pct FROM E"""
+
+
+def late(which: str) -> str:
+    """E with times 31 days later where the condition on the id's number holds."""
+    times = ", ".join(
+        f"CASE WHEN {which} THEN strftime(strptime({c}, '%Y-%m-%d %H:%M:%S') + INTERVAL 31 DAY, '%Y-%m-%d %H:%M:%S')"
+        f" ELSE {c} END AS {c}"
+        for c in ("start_time", "end_time")
+    )
+    return f"""{E}, M AS (
+  SELECT * EXCLUDE (n) REPLACE ({times}) FROM (SELECT *, CAST(substr(event_id, 4) AS BIGINT) AS n FROM E))"""
+
+
+GAPS = f"""{E}, M AS (
+  SELECT * EXCLUDE (n) REPLACE (reason || ' ' || event_id AS reason,
+         CASE WHEN n % 5 = 0 THEN 'unknown' ELSE start_time END AS start_time,
+         CASE WHEN n % 4 = 0 THEN NULL ELSE event_id END AS event_id)
+  FROM (SELECT *, CAST(substr(event_id, 4) AS BIGINT) AS n FROM E))"""
+
 ORACLE: dict[str, str] = {
     "maintenance_summary": E_FACT + summary(DAY_KEYS),
     "fact_maintenance": f"{E_FACT} {FLAT_FACT}",
@@ -449,10 +472,22 @@ ORACLE: dict[str, str] = {
          {half_up("100 * d", "(SELECT sum(d) FROM G)", 2)} AS downtime_pct,
          {half_up("100 * c", "(SELECT sum(c) FROM G)", 2)} AS cost_pct
   FROM G""",
-    "downtime_variation": f"""{with_(E)}
-  SELECT round(avg(downtime_min), 4) AS mean_downtime_min,
-         round(stddev_pop(downtime_min), 4) AS stddev_downtime_min,
-         round(stddev_pop(downtime_min) / avg(downtime_min) * 100, 2) AS variation_pct FROM E""",
+    "composition_merged": with_(D) + """
+  SELECT count(*) AS total_events, true AS unique_events, true AS factory_count, true AS line_count,
+         true AS maintenance_type_count FROM D""",
+    "quality_fractions": """
+  SELECT t AS "table", 'end_before_start' AS rule, 'error' AS severity,
+         count(*) FILTER (WHERE event_id % 3 = 0) AS violations, count(*) AS total_rows,
+         count(*) FILTER (WHERE event_id % 3 = 0) = 0 AS passed
+  FROM events, (VALUES ('stamps'), ('texts')) v(t) GROUP BY t""",
+    "metric_exact_band": """
+  SELECT 'fact' AS "table", 'total_cost' AS rule, 'error' AS severity, 0::BIGINT AS violations,
+         3 * count(*) AS total_rows, true AS passed FROM events""",
+    "top_events_narrowed": f"""{with_(L)}
+  SELECT event_id, round(cost_eur, 2) AS cost_eur, downtime_min
+  FROM L ORDER BY cost_eur DESC NULLS LAST, event_id, downtime_min LIMIT 10000""",
+    "downtime_variation_merged": VARIATION,
+    "downtime_variation": VARIATION,
     **REPORTS,
     "quality_times": rule_report(
         "events",
@@ -575,6 +610,24 @@ ORACLE: dict[str, str] = {
            AS unreadable_columns, count(*) AS "rows"
   FROM E GROUP BY 1""",
     "pipeline_rerun_month": f"{E_FACT} {FLAT_FACT}",
+    "pipeline_rerun_moved": f"{fact(late('n % 7 = 0'), 'M')} {FLAT_FACT}",
+    "pipeline_rerun_gaps": f"{fact(GAPS, 'M')} {FLAT_FACT}",
+    "pipeline_rerun_summary": E_FACT + summary(DAY_KEYS),
+    "ingest_repeats": f"""{E_FACT}
+  SELECT 'stored' AS outcome, maint_event_id, start_timestamp FROM F
+  UNION ALL SELECT 'a stored event', maint_event_id,
+         (start_timestamp AT TIME ZONE 'UTC' AT TIME ZONE 'Europe/Paris' + INTERVAL 31 DAY)
+           AT TIME ZONE 'Europe/Paris' AT TIME ZONE 'UTC'
+  FROM F WHERE CAST(substr(maint_event_id, 4) AS BIGINT) % 6 = 0""",
+    "parquet_lookup": f"""{E_FACT} {FLAT_FACT}
+  WHERE maint_event_id IN ('EV-0', 'EV-7', 'EV-77', 'EV-777', 'EV-1000000000')""",
+    "csv_texts_roundtrip": """
+  SELECT doc_id, sha256(' \\"' || text || chr(13) || chr(10) || ',"\\') AS text, n_chars,
+         '' AS unreadable_columns FROM documents""",
+    "write_formats": """
+  SELECT format, CASE WHEN refused THEN 0 ELSE (SELECT count(*) FROM events) END AS "rows", refused
+  FROM (VALUES ('parquet', false), ('csv', false), ('orc', true), ('json', true), ('PARQUET', true), ('', true))
+    v(format, refused)""",
     "parquet_roundtrip": f"{E_FACT} {FLAT_FACT}",
     "parquet_append": f"{E_FACT} SELECT line_id, 2 * count(*) AS count FROM F GROUP BY 1",
     "pipeline_summary": L_FACT + summary(DAY_KEYS),

@@ -19,14 +19,15 @@ from checks.adapters import (
     suppliers_as_roster,
     table,
 )
-from millwright.functions.times import day_text, local_to_utc, month_text
+from millwright.functions.times import clock_text, day_text, local_to_utc, month_text
 from millwright.operators import alerts, clean, enrich, fact, joins, kpis, quality, summary
 from millwright.params import PLANT_ROWS, AlertLimits, ExpectedRows, JoinLimits, Params
 from millwright.plans import pipeline
 from millwright.schemas import EVENTS, FACT, SUMMARY, SUMMARY_KEYS
 from millwright.sinks import export
-from millwright.sinks.scratch import scratch_dir
-from millwright.sources.tables import read_csv_checked, read_table
+from millwright.sinks.scratch import exists, scratch_dir
+from millwright.sources.tables import read_csv_checked, read_table, rows_with
+from millwright.streaming.ingest import ingest_new_files, read_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 PARAMS = Params(run_ts=datetime(2024, 2, 1))
@@ -387,6 +388,25 @@ def share_of_total(spark, sf):
     return kpis.share_of_total(lineitem_as_maintenance(spark, sf))
 
 
+@query
+def downtime_variation_merged(spark, sf):
+    """From the moments of each line and month, added up without the events."""
+    events = events_as_maintenance(spark, sf).withColumn("month", F.substring("start_time", 1, 7))
+    return kpis.variation_of(kpis.downtime_moments(events, ["line_id", "month"]))
+
+
+@query
+def composition_merged(spark, sf):
+    """Stored sketches of each month, merged: estimates within 2% of the exact counts."""
+    path = scratch(spark, "sketches")
+    events = defective_events(spark, sf).withColumn("month", F.substring("start_time", 1, 7))
+    export.write(kpis.composition_sketches(events, ["month"]), path)
+    got = kpis.composition_of(spark.read.parquet(path))
+    exact = kpis.composition(events).toDF("all", *[f"exact_{c}" for c in got.columns[1:]])
+    near = [(F.abs(F.col(c) - F.col(f"exact_{c}")) <= 0.02 * F.col(f"exact_{c}")).alias(c) for c in got.columns[1:]]
+    return got.join(exact, F.col("total_events") == F.col("all")).select("total_events", *near)
+
+
 @query
 def downtime_variation(spark, sf):
     return kpis.downtime_variation(events_as_maintenance(spark, sf))
@@ -507,6 +527,34 @@ def metric_inside_band(spark, sf):
     return quality.evaluate(_events_fact(spark, sf), "fact", rules)
 
 
+def _fine_events(spark, sf, text: bool):
+    """Every third event ends a quarter of a second early; as timestamps or as text."""
+    early = F.substring("event_id", 4, 20).cast("bigint") % 3 == 0
+    start = F.col("start_time").cast("timestamp_ntz") + F.expr("interval '0.5' second")
+    end = start - F.expr("interval '0.25' second")
+    events = events_as_maintenance(spark, sf)
+    times = {"start_time": start, "end_time": F.when(early, end).otherwise(start)}
+    return events.withColumns({c: t.cast("string") if text else t for c, t in times.items()})
+
+
+@query
+def quality_fractions(spark, sf):
+    """Ends before starts by a fraction of a second are found in timestamps and in text."""
+    rules = [r for r in quality.event_rules() if r.name == "end_before_start"]
+    parts = [quality.evaluate(_fine_events(spark, sf, t), n, rules) for n, t in (("stamps", False), ("texts", True))]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def metric_exact_band(spark, sf):
+    """Each event with two large costs that cancel: the total is the number of events, to the cent."""
+    costs = F.explode(F.array(F.lit(1e16), F.lit(1.0), F.lit(-1e16))).alias("cost_eur")
+    events = events_as_maintenance(spark, sf).select("event_id", costs)
+    n = table(spark, sf, "events").count()
+    rules = [quality.Metric("total_cost", quality.exact_total("cost_eur"), n, n)]
+    return quality.evaluate(events, "fact", rules)
+
+
 # --- alerts and presentation -------------------------------------------------
 
 
@@ -543,7 +591,14 @@ def top_events_presented(spark, sf):
         "event_id", "start_time", "technician_id", "parts_used", "cost_eur", "downtime_min"
     )
     order = ["-cost_eur", *[c for c in df.columns if c != "cost_eur"]]
-    return export.present(df, order, PARAMS.result_limit, PARAMS.precision, narrow=True)
+    return export.present(df, order, PARAMS.result_limit, PARAMS.precision)
+
+
+@query
+def top_events_narrowed(spark, sf):
+    """The same report, with the rows that cannot be in it left out before the sort."""
+    df = lineitem_as_maintenance(spark, sf).select("event_id", "cost_eur", "downtime_min")
+    return export.present(df, ["-cost_eur", "event_id", "downtime_min"], PARAMS.result_limit, PARAMS.precision, narrow=True)
 
 
 @query
@@ -614,10 +669,11 @@ def read_csv_malformed(spark, sf):
     line = F.when(n == 0, F.concat_ws(",", *names[:2])).when(n == 1, F.concat(line, F.lit(",1.5,9"))).otherwise(
         F.concat(line, F.lit(",2.5"))
     )
-    # One file, so that the header comes first; the row order follows the number in the id.
-    head = spark.range(1).select(F.lit(-1).cast("bigint").alias("n"), F.lit(",".join(names)).alias("value"))
-    rows = events.select(F.substring("event_id", 4, 20).cast("bigint").alias("n"), line.alias("value"))
-    head.union(rows).repartitionByRange(1, "n").sortWithinPartitions("n").select("value").write.text(path)
+    # The low 33 bits of the id that Spark gives a row are its place in its task, so each
+    # file begins with the header.
+    begins = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    rows = events.select(line.alias("value")).repartition("value")
+    rows.select(F.when(begins, F.concat(F.lit(",".join(names) + "\n"), "value")).otherwise(F.col("value"))).write.text(path)
     schema = StructType([EVENTS[c] for c in names])
     read = read_csv_checked(spark, path, schema)
     return read.groupBy("unreadable_columns").agg(F.count(F.lit(1)).alias("rows"))
@@ -641,6 +697,110 @@ def pipeline_rerun_month(spark, sf):
     return flat_fact(stored.select(*FACT.fieldNames()))
 
 
+def _runs(spark, sf, *parts, **options) -> str:
+    """The fact after several loads into one table, period by period."""
+    out = scratch(spark, "run")
+    for part in parts:
+        tables = {"events": part, "roster": suppliers_as_roster(spark, sf)}
+        pipeline.run(
+            spark, tables, out, PARAMS,
+            **{"formats": ("parquet",), "partition_by": ("event_year_month",), "replace_partitions_only": True, **options},
+        )
+    return out
+
+
+def _stored_fact(spark, out: str) -> DataFrame:
+    return flat_fact(read_table(spark, f"{out}/fact_maintenance_events.parquet", FACT).select(*FACT.fieldNames()))
+
+
+def _later_by_a_month(events: DataFrame, which: Column) -> DataFrame:
+    """Events whose times are 31 days later where the condition holds."""
+    late = lambda c: clock_text(F.col(c).cast("timestamp_ntz") + F.expr("interval 31 days"))
+    return events.withColumns({c: F.when(which, late(c)).otherwise(F.col(c)) for c in ("start_time", "end_time")})
+
+
+@query
+def pipeline_rerun_moved(spark, sf):
+    """All events stored, then a seventh of them sent again with a month's delay: each is there once."""
+    events = events_as_maintenance(spark, sf)
+    seventh = F.substring("event_id", 4, 20).cast("bigint") % 7 == 0
+    moved = _later_by_a_month(events, F.lit(True)).where(seventh)
+    return _stored_fact(spark, _runs(spark, sf, events, moved))
+
+
+@query
+def pipeline_rerun_gaps(spark, sf):
+    """Events without id and with unreadable times, sent in two loads of which one comes twice."""
+    n = F.substring("event_id", 4, 20).cast("bigint")
+    events = events_as_maintenance(spark, sf)
+    events = events.withColumns({
+        "reason": F.concat("reason", F.lit(" "), "event_id"),
+        "start_time": F.when(n % 5 == 0, "unknown").otherwise(F.col("start_time")),
+        "event_id": F.when(n % 4 == 0, None).otherwise(F.col("event_id")),
+    })
+    second = events.where(F.substring_index("reason", "-", -1).cast("bigint") % 3 == 0)
+    return _stored_fact(spark, _runs(spark, sf, events, second, second))
+
+
+@query
+def pipeline_rerun_summary(spark, sf):
+    """The summary after two loads, kept up from stored partial aggregates."""
+    events = events_as_maintenance(spark, sf)
+    late = F.substring("event_id", 4, 20).cast("bigint") % 5 == 0
+    out = _runs(spark, sf, events.where(~late), events.where(late))
+    return spark.read.parquet(f"{out}/summary_maintenance_metrics.parquet").select(*SUMMARY.fieldNames())
+
+
+@query
+def ingest_repeats(spark, sf):
+    """A file, then one that sends a third of its events again: what is stored, and what is reported."""
+    folder, path = scratch(spark, "in"), scratch(spark, "fact")
+    checkpoint = scratch(spark, "checkpoint")
+    events = events_as_maintenance(spark, sf)
+    n = F.substring("event_id", 4, 20).cast("bigint")
+    for part in (events.where(n % 2 == 0), _later_by_a_month(events, n % 2 == 0).where((n % 2 == 1) | (n % 6 == 0))):
+        export.write(part, folder, mode="append")
+        ingest_new_files(spark, folder, suppliers_as_roster(spark, sf), path, checkpoint, PARAMS, "parquet").awaitTermination()
+    stored = read_table(spark, path, FACT, "parquet").withColumn("outcome", F.lit("stored"))
+    repeats = read_repeats(spark, path).withColumn("outcome", F.col("repeats"))
+    rows = [df.select("outcome", "maint_event_id", "start_timestamp") for df in (stored, repeats)]
+    return reduce(DataFrame.unionByName, rows)
+
+
+@query
+def parquet_lookup(spark, sf):
+    """A few ids found in files that are clustered by id and have Bloom filters."""
+    path = scratch(spark, "fact")
+    export.write(_events_fact(spark, sf), path, partition_by=["event_year_month"], cluster_by=["maint_event_id"], bloom=["maint_event_id"])
+    ids = [f"EV-{n}" for n in (0, 7, 77, 777, 10**9)]
+    return flat_fact(rows_with(spark, path, "maint_event_id", ids, FACT).select(*FACT.fieldNames()))
+
+
+@query
+def csv_texts_roundtrip(spark, sf):
+    """Texts with line breaks, quotes and backslashes, written as CSV and read again."""
+    path = scratch(spark, "texts")
+    text = F.concat(F.lit(' \\"'), "text", F.lit('\r\n,"\\'))
+    export.write(table(spark, sf, "documents").select("doc_id", text.alias("text"), "n_chars"), path, "csv")
+    schema = table(spark, sf, "documents").select("doc_id", "text", "n_chars").schema
+    read = read_csv_checked(spark, path, schema)
+    return read.select("doc_id", F.sha2("text", 256).alias("text"), "n_chars", "unreadable_columns")
+
+
+@query
+def write_formats(spark, sf):
+    """What becomes of a write in each format: the rows stored, or the refusal, which stores none."""
+    events = events_as_maintenance(spark, sf)
+    out = []
+    for fmt in ("parquet", "csv", "orc", "json", "PARQUET", ""):
+        path = scratch(spark, "formats")
+        try:
+            out.append((fmt, export.write(events, path, fmt), False))
+        except ValueError as e:
+            out.append((fmt, 0, "unsupported format" in str(e) and not exists(spark, path)))
+    return spark.createDataFrame(out, "format string, `rows` bigint, refused boolean")
+
+
 @query
 def parquet_roundtrip(spark, sf):
     path = scratch(spark, "fact")

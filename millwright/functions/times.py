@@ -6,6 +6,8 @@ from pyspark.sql.types import DataType, StringType
 
 # Fixed value: the accepted text layout, yyyy-MM-dd HH:mm:ss.
 TIME_LAYOUT = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
+# The same with a fraction of the second, where only the order of two times matters.
+FINE_LAYOUT = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(\.\d{1,9})?$"
 
 
 def _as_if_utc(value: Column, dtype: DataType) -> Column:

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millwright.functions.moments import deviation, mean, squares_of, sum_of
 from millwright.functions.money import (
     LARGEST,
     exact_sum,
@@ -106,7 +107,7 @@ def _distribution() -> _Figure:
             "mean_downtime_excluding_zeros": _mean(F.sum(positive), F.count(positive)),
             "min_downtime_min": F.min(d),
             "max_downtime_min": F.max(d),
-            "stddev_downtime_min": F.round(F.stddev_pop(d), 2),
+            "stddev_downtime_min": F.round(deviation(F.count(d), sum_of(d), squares_of(d)), 2),
         },
     )
 
@@ -152,16 +153,29 @@ def efficiency(events: DataFrame) -> DataFrame:
     return _efficiency().alone(events)
 
 
-def downtime_variation(events: DataFrame) -> DataFrame:
-    """Coefficient of variation of downtime, in percent."""
+def downtime_moments(events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Count, sum and sum of squares of downtime per group: what ``variation_of`` adds up."""
     d = F.col("downtime_min")
-    return events.where(d.isNotNull()).agg(
-        F.round(F.avg(d), 4).alias("mean_downtime_min"),
-        F.round(F.stddev_pop(d), 4).alias("stddev_downtime_min"),
-        F.round(F.stddev_pop(d) / F.nullif(F.avg(d), F.lit(0.0)) * 100, 2).alias("variation_pct"),
+    return events.groupBy(*by).agg(F.count(d).alias("n"), sum_of(d).alias("s1"), squares_of(d).alias("s2"))
+
+
+def variation_of(moments: DataFrame) -> DataFrame:
+    """Mean, population deviation and coefficient of variation, from the moments of any parts."""
+    whole = moments.agg(*[F.sum(c).cast(moments.schema[c].dataType).alias(c) for c in ("n", "s1", "s2")])
+    n, s1, s2 = F.col("n"), F.col("s1"), F.col("s2")
+    spread, middle = deviation(n, s1, s2), mean(n, s1)
+    return whole.select(
+        F.round(middle, 4).alias("mean_downtime_min"),
+        F.round(spread, 4).alias("stddev_downtime_min"),
+        F.round(spread / F.nullif(middle, F.lit(0.0)) * 100, 2).alias("variation_pct"),
     )
 
 
+def downtime_variation(events: DataFrame) -> DataFrame:
+    """Coefficient of variation of downtime, in percent."""
+    return variation_of(downtime_moments(events))
+
+
 def composition(
     events: DataFrame,
     key: str = "event_id",
@@ -201,11 +215,43 @@ def composition(
     return labels.unionByName(keys).agg(*[F.max(c).alias(c) for c in columns])
 
 
+#: Of a sketch's buckets, the binary logarithm: 2**14 of them err by 0.8% in the mean.
+SKETCH_BITS = 14
+_COMPOSED = ("factory_id", "line_id", "maintenance_type")
+
+
+def composition_sketches(
+    events: DataFrame, by: Sequence[str] = (), key: str = "event_id", parts: Sequence[str] = _COMPOSED
+) -> DataFrame:
+    """Events and one mergeable sketch per counted column and group.
+
+    A sketch has at most 2**SKETCH_BITS bytes however many rows it saw, so a period's can
+    be stored and added to others' later without its rows.
+    """
+    columns = [c for c in (key, *parts) if c not in by]
+    return events.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("events"),
+        *[F.hll_sketch_agg(c, SKETCH_BITS).alias(f"{c}_sketch") for c in columns],
+    )
+
+
+def composition_of(sketches: DataFrame, key: str = "event_id", parts: Sequence[str] = _COMPOSED) -> DataFrame:
+    """``composition`` from the sketches of any parts: counts of distinct values are estimates."""
+    names = {key: "unique_events", **{c: c.removesuffix("_id") + "_count" for c in parts}}
+    return sketches.agg(
+        F.coalesce(F.sum("events"), F.lit(0)).alias("total_events"),
+        *[
+            F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(f"{c}_sketch")), F.lit(0)).alias(n)
+            for c, n in names.items()
+        ],
+    )
+
+
 def share_of_total(events: DataFrame, by: str = "reason") -> DataFrame:
     """Each group's share of all events, downtime and cost, in percent.
 
-    Totals come from the grouped rows as scalar subqueries: no window over the
-    whole result, and no second pass over the events.
+    Totals come from the grouped rows as one scalar subquery, whose shuffle is the
+    groups' own: no window over the whole result, and no second pass over the events.
     """
     cost = F.col("cost_eur")
     sums = {
@@ -215,14 +261,17 @@ def share_of_total(events: DataFrame, by: str = "reason") -> DataFrame:
         "rest": rest_sum(cost),
     }
     grouped = events.groupBy(by).agg(*[s.alias(f"__{n}") for n, s in sums.items()])
-    all_of = {n: grouped.agg(F.sum(f"__{n}")).scalar() for n in sums}
+    # One struct, so that the subquery needs all the columns that the groups need: the
+    # same aggregate below it, which Spark then runs once.
+    whole = grouped.agg(F.struct(*[F.sum(f"__{n}").alias(n) for n in sums]).alias("all")).scalar()
+    all_of = {n: whole[n] for n in sums}
 
     def share(n: str) -> Column:
         return half_up(F.col(f"__{n}") * 100, all_of[n], 2).cast("double").alias(f"{n}_pct")
 
     # Costs are shares of decimals, or of doubles if some cost has no decimal.
-    whole = F.nullif(all_of["exact"].cast("decimal(38,6)"), F.lit(0))
-    decimal_pct = F.round(F.col("__exact").cast("decimal(38,6)") * 100 / whole, 2).cast("double")
+    cost_of_all = F.nullif(all_of["exact"].cast("decimal(38,6)"), F.lit(0))
+    decimal_pct = F.round(F.col("__exact").cast("decimal(38,6)") * 100 / cost_of_all, 2).cast("double")
     double_pct = F.round(
         total(F.col("__exact"), F.col("__rest")) * 100 / total(all_of["exact"], all_of["rest"]), 2
     )

@@ -9,7 +9,7 @@ is unknown and so never a violation.
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -17,8 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from millwright.functions.text import quoted
-from millwright.functions.times import TIME_LAYOUT
+from millwright.functions.text import column, quoted
+from millwright.functions.money import exact_sum, rest_sum, total
+from millwright.functions.times import FINE_LAYOUT, TIME_LAYOUT
 from millwright.operators.joins import left_lookup
 from millwright.params import ExpectedRows
 from millwright.sinks.scratch import checkpointed
@@ -60,10 +61,10 @@ class RowCount:
 
 @dataclass(frozen=True)
 class Metric:
-    """One violation if an SQL aggregate is NULL or outside ``[low, high]``."""
+    """One violation if an aggregate, as SQL or made by a function, is NULL or outside ``[low, high]``."""
 
     name: str
-    aggregate: str
+    aggregate: str | Callable[[], Column]
     low: float
     high: float
     severity: str = ERROR
@@ -88,9 +89,10 @@ def row_count_rules(name: str, bounds: tuple[int, int] | None) -> list[Rule]:
 
 
 def _time(name: str) -> str:
-    """A time column as a timestamp, whether it is one or still text; NULL if unreadable."""
+    """A time column as a timestamp: text of the layout, with a fraction or without, or as it is."""
     text = f"trim(CAST({name} AS STRING))"
-    return f"CASE WHEN {text} RLIKE r'{TIME_LAYOUT}' THEN try_cast({text} AS timestamp_ntz) END"
+    read = f"CASE WHEN {text} RLIKE r'{FINE_LAYOUT}' THEN try_cast({text} AS timestamp_ntz) END"
+    return f"CASE WHEN typeof({name}) = 'string' THEN {read} ELSE CAST({name} AS timestamp_ntz) END"
 
 
 def event_rules(expected: ExpectedRows = ExpectedRows()) -> list[Rule]:
@@ -162,10 +164,15 @@ def fact_rules(
         *row_count_rules("row_count", rows),
         Check("negative_cost", "cost_eur < 0"),
         *not_null("maint_event_id"),
-        *([Metric("total_cost", "sum(cost_eur)", *total_cost)] if total_cost else []),
+        *([Metric("total_cost", exact_total("cost_eur"), *total_cost)] if total_cost else []),
     ]
 
 
+def exact_total(name: str) -> Callable[[], Column]:
+    """The total of an amount that no order of rows changes, for a ``Metric``."""
+    return lambda: total(exact_sum(column(name)), rest_sum(column(name)))
+
+
 def _report_row(table: str, rule: Rule, violations: Column, total: Column) -> Column:
     return F.struct(
         F.lit(table).alias("table"),
@@ -178,16 +185,19 @@ def _report_row(table: str, rule: Rule, violations: Column, total: Column) -> Co
 
 
 def _one_pass(df: DataFrame, table: str, rules: Sequence[Rule]) -> DataFrame:
-    total = F.count(F.lit(1))
+    rows = F.count(F.lit(1))
 
     def violations(rule: Rule) -> Column:
         if isinstance(rule, Check):
             return F.count_if(F.expr(rule.violated))
-        value = total if isinstance(rule, RowCount) else F.expr(rule.aggregate)
+        if isinstance(rule, RowCount):
+            value = rows
+        else:
+            value = rule.aggregate() if callable(rule.aggregate) else F.expr(rule.aggregate)
         return F.when(value.between(rule.low, rule.high), F.lit(0)).otherwise(F.lit(1))
 
     counted = df.agg(
-        total.alias("__total"), *[violations(r).alias(f"__v{i}") for i, r in enumerate(rules)]
+        rows.alias("__total"), *[violations(r).alias(f"__v{i}") for i, r in enumerate(rules)]
     )
     return counted.select(
         F.inline(

@@ -37,6 +37,10 @@ def csv_safe(df: DataFrame) -> DataFrame:
     return df.select(*[flat(f) for f in df.schema.fields])
 
 
+#: Rows of a CSV file at most, unless told.
+CSV_ROWS = 1_000_000
+
+
 def write(
     df: DataFrame,
     path: str,
@@ -84,6 +88,7 @@ def write(
         writer = writer.option(f"parquet.bloom.filter.enabled#{name}", True)
     if fmt == "csv":
         writer = writer.options(**csv_options(), quoteAll=True)
+        rows_per_file = rows_per_file or CSV_ROWS  # a task reads a whole file
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if rows_per_file:
@@ -94,20 +99,33 @@ def write(
     return committed.get["rows"]
 
 
+#: Rows that one task merges in little time.
+MERGED_ROWS = 5_000_000
+
+
+def _tasks(df: DataFrame) -> int:
+    """About how many tasks read what a plan reads, from its estimated bytes."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size // (128 << 20) + 1
+
+
 def present(
     df: DataFrame,
     order_by: Sequence[str],
     limit: int = 10_000,
     precision: int = 2,
-    narrow: bool = True,
+    narrow: bool | None = None,
 ) -> DataFrame:
     """The first ``limit`` rows in order, with fractional columns rounded for display.
 
     A name in ``order_by`` with a leading ``-`` sorts descending; NULLs come last
     either way. Every task hands its own best ``limit`` rows to one merging task;
     ``narrow`` first leaves out the rows that cannot be in the result, at the price
-    of a second pass that a small grouped result does not need.
+    of a second pass; by default only when the merging task would get more than
+    MERGED_ROWS of them.
     """
+    if narrow is None:
+        narrow = limit * _tasks(df) > MERGED_ROWS
     top = _contenders(df, order_by, limit) if narrow else df
     top = top.orderBy(*[_order(c) for c in order_by]).limit(limit)
 

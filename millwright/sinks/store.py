@@ -154,7 +154,10 @@ class FactStore:
         names all partitions concerned. Until then the staged rows stay in their folder.
         """
         self.record(staged.new, staged.located)
-        n = write(staged.rows, self.path, partition_by=self.partition_by, replace_partitions_only=True)
+        n = write(
+            staged.rows, self.path, partition_by=self.partition_by, replace_partitions_only=True,
+            cluster_by=(ID,), bloom=(ID,),
+        )
         if n != staged.count:
             raise RuntimeError(f"{n} rows written of {staged.count}, which are kept in {staged.folder}")
         filled = set(partitions_of(staged.rows, self.partition_by))

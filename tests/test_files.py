@@ -196,3 +196,34 @@ def test_ties_in_the_leading_column_are_narrowed_too(spark):
     df = spark.range(5000).selectExpr("1 AS lead", "id")
     assert _contenders(df, ["lead", "-id"], 10).count() < 200
     assert present(df, ["lead", "-id"], 3).collect() == present(df, ["lead", "-id"], 3, narrow=False).collect()
+
+
+def test_csv_keeps_texts_as_they_are(spark, tmp_path):
+    odd = [
+        "one\ntwo", "one\r\ntwo", "a\rb", 'say "yes"', '"', '""', "\\", '\\"', "a,b", "  blanks  ", "\t", "tab\there",
+        "ends\n", "\nbegins", "é\U0001f600\n,\"\\n\"", "x" * 100_000 + "\ny", "null", "NULL", "#c", "-",
+    ]
+    df = spark.createDataFrame([(i, t, i * 0.5) for i, t in enumerate(odd)], "n int, t string, d double")
+    for i, out in enumerate((df.repartition(3), df.coalesce(1).select("t", "d", "n"))):
+        path = str(tmp_path / f"odd{i}.csv")
+        write(out, path, "csv")
+        checked = read_csv_checked(spark, path, df.schema)
+        assert checked.where("unreadable_columns <> ''").isEmpty()
+        for read in (checked, read_table(spark, path, out.schema, "csv")):
+            assert [r.t for r in read.orderBy("n").collect()] == odd
+
+
+def test_csv_files_are_bounded(spark, tmp_path, monkeypatch):
+    from millwright.sinks import export
+
+    monkeypatch.setattr(export, "CSV_ROWS", 10)
+    write(spark.range(95).coalesce(1), str(tmp_path / "a.csv"), "csv")
+    assert len(part_files(tmp_path / "a.csv", ".csv")) == 10
+
+
+def test_unclosed_lines_without_line_breaks(spark, tmp_path):
+    """Files whose values hold no line breaks can be read line by line, in parallel."""
+    (tmp_path / "a.csv").write_text('a,b\n1,"x\n2,y\n')
+    schema = spark.createDataFrame([], "a int, b string").schema
+    rows = read_csv_checked(spark, str(tmp_path / "a.csv"), schema, line_breaks=False).collect()
+    assert [r.a for r in rows] == [1, 2]

@@ -152,3 +152,55 @@ def test_money_sums_do_not_depend_on_row_order(spark, events):
     b = row(kpis.cost(df.orderBy(F.desc("cost_eur")).repartition(7)))
     assert a == b
     assert a["total_maintenance_cost"] == 20 * 1_000_001_235.16
+
+
+def test_deviation_has_the_same_bits_in_any_order(spark):
+    """Exact moments: whatever the partitions, and from parts as from the whole."""
+    from millwright.operators.kpis import downtime_distribution, downtime_moments, downtime_variation, variation_of
+
+    df = spark.range(5000).selectExpr("CAST(1000000 + (id * id) % 977 AS int) AS downtime_min", "id % 7 AS g")
+    one = downtime_variation(df.coalesce(1)).first()
+    for n in (3, 8):
+        assert downtime_variation(df.repartition(n, "downtime_min")).first() == one
+    assert variation_of(downtime_moments(df, ["g"])).first() == one
+    assert downtime_distribution(df).first()["stddev_downtime_min"] == round(one["stddev_downtime_min"], 2)
+    values = [1000000 + (i * i) % 977 for i in range(5000)]
+    middle = sum(values) / 5000
+    exact = (sum((v - middle) ** 2 for v in values) / 5000) ** 0.5
+    assert abs(one["stddev_downtime_min"] - exact) < 1e-4
+    none = downtime_variation(df.limit(0)).first()
+    assert none["stddev_downtime_min"] is None and none["variation_pct"] is None
+    huge = spark.sql("SELECT CAST(x AS int) AS downtime_min FROM VALUES (2147483647), (-2147483648), (NULL) AS t(x)")
+    assert abs(downtime_variation(huge).first()["stddev_downtime_min"] - 2147483647.5) < 1
+
+
+def test_sketches_merge_within_their_error(spark):
+    from millwright.operators.kpis import composition_of, composition_sketches
+
+    df = spark.range(300_000).selectExpr(
+        "concat('E', id % 200000) AS event_id", "id % 3 AS factory_id", "id % 900 AS line_id",
+        "CAST(NULL AS string) AS maintenance_type", "id % 12 AS month",
+    )
+    got = composition_of(composition_sketches(df, ["month"])).first()
+    assert got["total_events"] == 300_000 and got["factory_count"] == 3 and got["maintenance_type_count"] == 0
+    assert abs(got["unique_events"] - 200_000) < 0.02 * 200_000 and abs(got["line_count"] - 900) < 0.02 * 900
+    assert composition_of(composition_sketches(df.limit(0))).first()["unique_events"] == 0
+
+
+def test_shares_read_the_events_once(spark, tmp_path):
+    """Groups and totals come from one aggregate: the second is the first one's shuffle, used again."""
+    from contextlib import redirect_stdout
+    from io import StringIO
+
+    from millwright.operators.kpis import share_of_total
+
+    path = str(tmp_path / "events")
+    spark.range(1000).selectExpr("CAST(id % 5 AS string) AS reason", "CAST(id AS int) AS downtime_min", "id / 7 AS cost_eur").write.parquet(path)
+    shares = share_of_total(spark.read.parquet(path))
+    rows = shares.collect()
+    assert len(rows) == 5 and abs(sum(r["cost_pct"] for r in rows) - 100) < 0.05
+    text = StringIO()
+    with redirect_stdout(text):
+        shares.explain()
+    final = text.getvalue().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final or final.count("FileScan") == 1
