@@ -44,7 +44,7 @@ class Settings:
     rounds: tuple[int, int] = (5, 30)
     visits: int = 60_000
     shards: int = 2
-    sample: int = 12_000
+    sample: int = 24_000
     #: Features in fewer texts than this are left out.
     rare: int = 3
 
@@ -85,9 +85,13 @@ def features(texts: pa.Array, bits: int, skips: tuple[int, ...]) -> tuple[np.nda
     return np.concatenate(rows), (np.concatenate(found) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _coordinates(text: str, settings: Settings) -> list[int]:
-    _, index = features(pa.array([text]), settings.bits, settings.skips)
-    return np.unique(index).tolist()
+def coordinates(texts: pa.Array, s: Settings) -> pa.ListArray:
+    """The distinct coordinates of each text, ascending."""
+    row, index = features(texts, s.bits, s.skips)
+    pairs = np.unique(row << s.bits | index)
+    offsets = np.searchsorted(pairs, np.arange(len(texts) + 1) << s.bits)
+    values = (pairs & (1 << s.bits) - 1).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
 
 
 def ftrl(rows, state: tuple[np.ndarray, np.ndarray], s: Settings) -> None:
@@ -145,11 +149,11 @@ def _trained(docs: DataFrame, labels: DataFrame, s: Settings, store: Scratch) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [_coordinates(t, s) for t in batch.column("text").to_pylist()]
-            index = pa.array(found, pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("toxic"), index], names=["doc_id", "toxic", "index"]
-            )
+            for part in slices(batch, pc.binary_length(batch.column("text")), PART):
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("toxic"), coordinates(part.column("text"), s)],
+                    names=["doc_id", "toxic", "index"],
+                )
 
     rows = sampled.mapInArrow(run, "doc_id long, toxic int, index array<int>")
     total, toxic = sampled.agg(F.count("*"), F.sum(F.expr("int(toxic > 0)"))).first()
@@ -184,6 +188,7 @@ def _trained(docs: DataFrame, labels: DataFrame, s: Settings, store: Scratch) ->
     path = new_path(spark, "toxicity-shards")
     store.paths.append(path)
     rows.repartition(s.shards, "shard").write.partitionBy("shard").parquet(path)
+    known_at.destroy()
     schema = "doc_id long, toxic int, index array<int>, shard int"
     shards = [spark.read.schema(schema).parquet(path).where(F.col("shard") == k).coalesce(1) for k in range(s.shards)]
     prior = math.log(toxic / (total - toxic))
@@ -195,6 +200,7 @@ def _trained(docs: DataFrame, labels: DataFrame, s: Settings, store: Scratch) ->
         learner = _learner(start, s)
         states = [x.mapInArrow(learner, "z double, n double") for x in shards]
         states = reduce(DataFrame.union, states).toArrow()
+        start.destroy()
         # All coordinates of one shard after the other, in the order of the union.
         z, n = (states[c].to_numpy().reshape(-1, len(active) + 1).sum(axis=0) / total for c in ("z", "n"))
         del states
@@ -241,7 +247,7 @@ def classify(docs: DataFrame, labels: DataFrame, settings: Settings | None = Non
     Learns from labelled rows that are not held out. A null text scores as an empty
     one; a null doc_id is not held out; repeated rows stay rows.
     """
-    model = train(docs, labels.where(~held_out()), settings)
+    model = train(docs, take(labels, "doc_id", "toxic").where(~held_out()), settings)
     scored = take(docs, "doc_id", "text").select("doc_id", score_column(F.col("text"), model).alias("score"))
     return scored.select(
         "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")

@@ -78,3 +78,84 @@ def _weight_of(word, weight):
     import numpy as np
 
     return toxicity.features(pa.array([word]), 20, (1,))[1], np.array([weight])
+
+
+def plain_ftrl(rows, s):
+    """The same model by dicts and loops: {coordinate: weight}, bias."""
+    import math
+    from collections import Counter
+
+    import xxhash
+
+    texts = {i: sorted(set(toxicity.features(pa.array([t]), s.bits, s.skips)[1].tolist())) for i, t, _ in rows}
+    often = {f for f, n in Counter(f for x in texts.values() for f in x).items() if n >= s.rare}
+    label = {i: y for i, _, y in rows}
+    shards = [[i for i in texts if xxhash.xxh64_intdigest(str(i)) % s.shards == k] for k in range(s.shards)]
+    for ids in shards:
+        ids.sort(key=lambda i: (xxhash.xxh64_intdigest(str(i), 1), i))
+    toxic = sum(label.values())
+    state = {"bias": (-math.log(toxic / (len(rows) - toxic)) * (s.beta + 1) / s.alpha, 1.0)}
+
+    def weight(name, z, n):
+        if name == "bias":
+            return -z / ((s.beta + math.sqrt(n)) / s.alpha)
+        return 0.0 if abs(z) <= s.l1 else -math.copysign(abs(z) - s.l1, z) / ((s.beta + math.sqrt(n)) / s.alpha + s.l2)
+
+    for _ in range(min(max(-(-s.visits // len(rows)), s.rounds[0]), s.rounds[1])):
+        ends = []
+        for ids in shards:
+            own = dict(state)
+            for i in ids:
+                names = ["bias", *[f for f in texts[i] if f in often]]
+                ws = {f: weight(f, *own.get(f, (0.0, 0.0))) for f in names}
+                g = 1 / (1 + math.exp(-max(-35, min(35, sum(ws.values()))))) - label[i]
+                for f in names:
+                    z, n = own.get(f, (0.0, 0.0))
+                    own[f] = (z + g - (math.sqrt(n + g * g) - math.sqrt(n)) / s.alpha * ws[f], n + g * g)
+            ends.append((len(ids), own))
+        state = {
+            f: tuple(sum(k * own.get(f, (0.0, 0.0))[j] for k, own in ends) / len(rows) for j in (0, 1))
+            for f in {f for _, own in ends for f in own}
+        }
+    weights = {f: weight(f, *v) for f, v in state.items()}
+    bias = weights.pop("bias")
+    return {f: w for f, w in weights.items() if w}, bias
+
+
+def test_weights_are_those_of_a_plain_ftrl(spark, documents):
+    rows = [(i, sentence(i, i % 4 == 0), int(i % 4 == 0)) for i in range(80)]
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    s = toxicity.Settings(rounds=(3, 3), l1=0.5)
+    model = toxicity.train(documents(*[r[:2] for r in rows]), labels, s)
+    weights, bias = plain_ftrl(rows, s)
+    got = dict(zip(model.index.tolist(), model.weight.tolist()))
+    assert got.keys() == weights.keys() and len(got) > 5
+    assert all(abs(got[f] - w) < 1e-9 for f, w in weights.items()) and abs(model.bias - bias) < 1e-9
+
+
+def test_clashing_columns_of_labels(spark, documents):
+    _, docs, labels = tables(spark, documents, 40)
+    wide = labels.selectExpr("doc_id", "'x' AS DOC_ID", "toxic", "9 AS Toxic", "1 AS text")
+    a, b = (sorted(map(str, toxicity.classify(docs, x).collect())) for x in (labels, wide))
+    assert a == b
+
+
+def test_held_out_quality_on_a_given_table(spark):
+    folder = "/root/testdata/sf0.1"  # smaller ones hold out a handful of toxic documents only
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    got = toxicity.classify(spark.read.parquet(f"{folder}/documents.parquet"), labels)
+    held = got.where("held_out").join(labels, "doc_id").select("predicted", "toxic").collect()
+    assert len(held) > 500 and sum(r.toxic for r in held) > 30
+    assert sum(r.predicted == r.toxic for r in held) >= 0.98 * len(held)
+    assert sum(r.predicted for r in held if r.toxic) >= 0.9 * sum(r.toxic for r in held)
+
+
+def test_coordinates_of_a_batch_are_those_of_each_text():
+    import pyarrow.compute as pc
+
+    s = toxicity.Settings()
+    texts = pa.array(["a b a b c", "", None, "d", "a " * 1000])
+    lists = toxicity.coordinates(texts, s).to_pylist()
+    for text, got in zip(texts, lists):
+        assert got == sorted(set(toxicity.features(pa.array([text.as_py()], pa.string()), s.bits, s.skips)[1].tolist()))
+    assert pc.sum(pc.list_value_length(toxicity.coordinates(texts, s))).as_py() == sum(map(len, lists))
