@@ -29,7 +29,7 @@ from millwright.llm.common import Scratch, new_path, slices, take
 #: Odd multipliers that tell the kinds of feature apart.
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)
 #: Bytes of text whose features are made at a time.
-PART = 4 << 20
+PART = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -162,7 +162,7 @@ def _trained(docs: DataFrame, labels: DataFrame, s: Settings, store: Scratch) ->
         return none
     often = rows.select(F.explode("index").alias("i")).groupBy("i").count()
     often = often.where(F.col("count") >= s.rare)
-    active = np.sort(often.select("i").toArrow()["i"].to_numpy().astype(np.int64))  # of 2**bits
+    active = np.sort(often.select("i").toArrow()["i"].to_numpy())  # of 2**bits
     if not len(active):
         return none
     spark = docs.sparkSession
@@ -171,17 +171,18 @@ def _trained(docs: DataFrame, labels: DataFrame, s: Settings, store: Scratch) ->
     def renumber(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         active = known_at.value
         for batch in batches:
-            lists = batch.column("index")
-            values = lists.flatten().to_numpy()
-            at = np.minimum(np.searchsorted(active, values), len(active) - 1)
-            kept = active[at] == values
-            before = np.concatenate([[0], np.cumsum(kept)])[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
-            new = pa.ListArray.from_arrays(pa.array(before, pa.int32()), pa.array(at[kept], pa.int32()))
-            shard = pa.array([xxhash.xxh64_intdigest(str(i)) % s.shards for i in batch.column("doc_id").to_pylist()])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("toxic"), new, shard.cast(pa.int32())],
-                names=["doc_id", "toxic", "index", "shard"],
-            )
+            for part in slices(batch, pc.multiply(pc.list_value_length(batch.column("index")), 4), PART):
+                lists = part.column("index")
+                values = lists.flatten().to_numpy()
+                at = np.minimum(np.searchsorted(active, values), len(active) - 1).astype(np.int32)
+                kept = active[at] == values
+                before = np.concatenate([[0], np.cumsum(kept)])[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+                new = pa.ListArray.from_arrays(pa.array(before, pa.int32()), pa.array(at[kept]))
+                shard = pa.array([xxhash.xxh64_intdigest(str(i)) % s.shards for i in part.column("doc_id").to_pylist()])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("toxic"), new, shard.cast(pa.int32())],
+                    names=["doc_id", "toxic", "index", "shard"],
+                )
 
     rows = rows.mapInArrow(renumber, "doc_id long, toxic int, index array<int>, shard int")
     # A folder for each shard, so that no round shuffles; a shard is a bounded part of the sample.
@@ -207,7 +208,7 @@ def _trained(docs: DataFrame, labels: DataFrame, s: Settings, store: Scratch) ->
     weight = -np.sign(z) * np.maximum(np.abs(z) - s.l1, 0) / ((s.beta + np.sqrt(n)) / s.alpha + s.l2)
     bias = float(-z[-1] / ((s.beta + math.sqrt(n[-1])) / s.alpha))
     at = np.flatnonzero(weight[:-1])
-    return Model(s.bits, s.skips, bias, active[at], weight[at])
+    return Model(s.bits, s.skips, bias, active[at].astype(np.int64), weight[at])
 
 
 def scores(texts: pa.Array, model: Model) -> np.ndarray:
