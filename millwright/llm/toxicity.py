@@ -205,6 +205,7 @@ def _trained(docs: DataFrame, labels: DataFrame, s: Settings, store: Scratch) ->
         # All coordinates of one shard after the other, in the order of the union.
         z, n = (states[c].to_numpy().reshape(-1, len(active) + 1).sum(axis=0) / total for c in ("z", "n"))
         del states
+        pa.default_memory_pool().release_unused()
     weight = -np.sign(z) * np.maximum(np.abs(z) - s.l1, 0) / ((s.beta + np.sqrt(n)) / s.alpha + s.l2)
     bias = float(-z[-1] / ((s.beta + math.sqrt(n[-1])) / s.alpha))
     at = np.flatnonzero(weight[:-1])
