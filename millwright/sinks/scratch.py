@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 def scratch_dir(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``; in a local session without it, as in tests, a folder of its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder and not spark.sparkContext.master.startswith("local"):
+    if not folder and spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return folder or tempfile.mkdtemp(prefix="millwright-")
 
