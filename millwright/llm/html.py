@@ -1,26 +1,32 @@
 """Main text of web pages by site template removal.
 
-Every element subtree that could be a part of a site's template is hashed, hashes are
-counted per host over the host's different pages, and a subtree that recurs on many of
-them is deleted. What a host shows on a few pages only is told by its tags, roles and
-class names. Then the article is taken where the page marks one, else its main part,
-else the rest of the body. Prose inside a marked article is never a template: pages that
-quote or copy each other keep their text.
+Every element subtree that could be a part of a site's template is hashed twice: by what
+it says, and by its skeleton, the tags and names it is made of and stands in. Hashes are
+counted per host over the host's different pages. A subtree is deleted if its words recur
+on several of them, or if its skeleton does and is no prose there: mostly links, or a few
+words outside paragraphs and headings, and seldom a page's main part. What a host shows
+on a few pages only is told by its tags, roles and class names. Then the article is taken
+where the page marks one, else its main part, else the rest of the body; several articles
+that say less than the rest are cards that point elsewhere. Prose inside an article, or
+inside the innermost element with half of a page's prose where none is marked, is never a
+template: pages that quote or copy each other keep their text.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Container, Iterator
 from html import unescape
+from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millwright.llm.common import Scratch, slices, stored, take
+from millwright.llm.common import identified, slices, small, stored, take
 
 #: Elements by what they are in a page.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -55,6 +61,12 @@ NAMES = set(
     "sitemap skip social sponsor sponsored sponsors subnav subscribe subscription teaser teasers toolbar topbar topnav "
     "widget widgets".split()
 )
+#: Words that leave a name's meaning as it is, and first words that deny it.
+PLAIN = set(
+    "area bar block bottom box col container fixed group inner item items left link links list menu module outer "
+    "panel right row section slot sticky text top unit wrap wrapper".split()
+)
+ABOUT = set("has hide is no not with without".split())
 _SKIPPED = r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
 _NAME = r"<(/?)([A-Za-z][^\s/>]*)"
 _QUOTED = r"(?:[^\"'>]|\"[^\"]*+\"|'[^']*+')*+"
@@ -71,38 +83,97 @@ HUMP = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 PART = 8 << 20
 
 
-def unwanted(tag: str, attributes: str, inside: bool) -> bool:
-    """Whether tag, role, or names say that an element is not a part of the article."""
+def named(value: str, inside: bool) -> int:
+    """2 if a class or id names furniture, 1 if it only holds such a word, else 0."""
+    found = 0
+    for name in value.split():
+        words = re.findall(r"[a-z]+", HUMP.sub(" ", name).lower())
+        known = [w in NAMES or (w == "header" and not inside) for w in words]
+        if any(known) and words[0] not in ABOUT:
+            plain = all(k or w in PLAIN for k, w in zip(known, words, strict=True))
+            found = max(found, 2 if known[-1] or plain else 1)
+    return found
+
+
+def unwanted(tag: str, attributes: str, inside: bool) -> int:
+    """Whether tag, role, or names say that an element is not a part of the article.
+
+    2: it is not. 1: a name hints at it, which an article, a main part or prose in it refutes.
+    """
     if tag in DROPPED or (tag == "header" and not inside):
-        return True
+        return 2
     if not attributes or tag in ("html", "body", "main"):
-        return False
+        return 0
+    found = 0
     for name, *values in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values)
         if name in ("class", "id"):
-            words = set(re.split(r"[^a-z0-9]+", HUMP.sub(" ", value).lower()))
-            if words & NAMES or (not inside and "header" in words):
-                return True
-        elif name == "role" and value.lower() in ROLES:
-            return True
-        elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
-        elif name == "style" and re.search(r"display\s*:\s*none", value, re.I):
-            return True
-    return False
+            found = max(found, named(value, inside))
+        elif (
+            (name == "role" and value.lower() in ROLES)
+            or name == "hidden"
+            or (name == "aria-hidden" and value.lower() == "true")
+            or (name == "style" and re.search(r"display\s*:\s*none", value, re.I))
+        ):
+            return 2
+    return 0 if found == 1 and (tag == "article" or tag in PROSE) else found
+
+
+def label(tag: str, attributes: str) -> str:
+    """An element's tag and names, numbers aside, as a part of a skeleton."""
+    names = set()
+    for name, *values in ATTRIBUTE.findall(attributes) if attributes else ():
+        if name.lower() in ("class", "id", "role"):
+            names.update(re.sub(r"[0-9]+", "", v) for v in "".join(values).split())
+    return " ".join([tag, *sorted(names)])
+
+
+class Element:
+    """An open element."""
+
+    __slots__ = ("tag", "gone", "hint", "level", "block", "word", "label", "path", "parts", "said")
+
+    def __init__(self, tag: str, gone: bool, hint: bool, level: int, block: int, word: int, label: str, path: int, said: tuple[int, int, int]):
+        self.tag, self.gone, self.hint, self.level = tag, gone, hint, level
+        self.block, self.word = block, word  # how many blocks and words came before it
+        self.label, self.path, self.said = label, path, said
+        self.parts: list[str] = []  # skeletons of its children, runs of equal ones as one
+
+    def add(self, part: str) -> None:
+        if not self.parts or self.parts[-1] != part:
+            self.parts.append(part)
+
+
+class Subtree(NamedTuple):
+    """A closed element that may be a template: where it is, and what it says."""
+
+    text: int  # hash of tags and words
+    shape: int  # hash of its skeleton and the path to it
+    tag: str
+    named: bool
+    level: int
+    first: int  # its blocks and its words, by the places of the first and behind the last
+    last: int
+    start: int
+    end: int
+    words: int
+    linked: int
+    prose: int
 
 
 class Page:
     """One pass over a page's tags: its text blocks and its candidate subtrees."""
 
-    def __init__(self, html: str, templates: frozenset[int] = frozenset()):
-        self.templates = templates
-        self.blocks: list[tuple[str, int]] = []  # text, and 2 in an article, 1 in a main part
-        self.nodes: list[int] = []
+    def __init__(self, html: str, templates: Container[int] | None = None, seed: int = 0):
+        self.seed = seed
+        self.blocks: list[tuple[str, int, bool] | None] = []  # text, 2 in an article or 1 in a main part, whether prose
+        self.subtrees: list[Subtree] = []
         self.words: list[str] = []  # tags and texts so far, for hashing
         self.buffer: list[str] = []
-        # tag, unwanted, level, first block, first word
-        self.stack: list[tuple[str, bool, int, int, int]] = [("", False, 0, 0, 0)]
+        self.said = (0, 0, 0)  # words so far: all, in links, in prose elements
+        self.links = self.prose = self.articles = 0
+        self.body = xxhash.xxh64()  # of the texts in prose elements
+        self.stack = [Element("", False, False, 0, 0, 0, "", 0, self.said)]
         at = 0
         lower = None
         unclosed, last = 0, html.rfind(">")
@@ -130,12 +201,22 @@ class Page:
         while len(self.stack) > 1:
             self.pop()
         self.flush()
+        if templates:
+            for node, _, tree in self.nodes():
+                if node in templates:
+                    self.remove(tree.first, tree.last)
 
     def text(self, raw: str, decode: bool = True) -> None:
         if raw:
             text = unescape(raw) if decode and "&" in raw else raw
             self.words.append(text)
-            if not self.stack[-1][1]:
+            if n := len(text.split()):
+                words, linked, prose = self.said
+                self.said = (words + n, linked + n * (self.links > 0), prose + n * (self.prose > 0))
+                self.stack[-1].add("")
+                if self.prose:
+                    self.body.update(" ".join(text.split()).encode("utf-8", "surrogatepass"))
+            if not self.stack[-1].gone:
                 self.buffer.append(text)
 
     def flush(self) -> None:
@@ -143,7 +224,7 @@ class Page:
             text = " ".join("".join(self.buffer).split())
             self.buffer.clear()
             if text:
-                self.blocks.append((text, self.stack[-1][2]))
+                self.blocks.append((text, self.stack[-1].level, self.prose > 0))
 
     def start(self, tag: str, attributes: str) -> None:
         if tag in BLOCKS:
@@ -156,42 +237,116 @@ class Page:
             self.text(" ")
         if tag in VOID:
             return
-        _, gone, level, _, _ = self.stack[-1]
-        gone = gone or unwanted(tag, attributes, level == 2)
+        outer = self.stack[-1]
+        level = outer.level
+        found = unwanted(tag, attributes, level == 2)
+        gone = outer.gone or found == 2
         if not gone and tag == "article":
+            self.articles += level < 2
             level = 2
         elif not gone and (tag == "main" or re.search(r"role\s*=\s*[\"']?main\b", attributes, re.I)):
             level = max(level, 1)
-        self.stack.append((tag, gone, level, len(self.blocks), len(self.words)))
+        name = label(tag, attributes)
+        path = xxhash.xxh64_intdigest(outer.label, outer.path)
+        at = (len(self.blocks), len(self.words))
+        self.stack.append(Element(tag, gone, found == 1, level, *at, name, path, self.said))
         self.words.append(f"<{tag}>")
+        self.links += tag == "a"
+        self.prose += tag in PROSE
 
     def close(self, tags: set[str], stops: set[str]) -> None:
         for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i][0] in tags:
+            if self.stack[i].tag in tags:
                 while len(self.stack) > i:
                     self.pop()
                 return
-            if self.stack[i][0] in stops:
+            if self.stack[i].tag in stops:
                 return
 
     def end(self, tag: str) -> None:
         self.close({tag}, set() if tag in BLOCKS else BLOCKS)
 
     def pop(self) -> None:
-        tag, gone, level, block, word = self.stack[-1]
+        own = self.stack[-1]
+        tag = own.tag
         if tag in BLOCKS:
             self.flush()
+        self.links -= tag == "a"
+        self.prose -= tag in PROSE
         self.stack.pop()
-        if tag in CONTAINERS or (tag in PROSE and level < 2):
-            body = " ".join("".join(self.words[word:]).split())
-            node = xxhash.xxh64_intdigest(body) - (1 << 63)
-            self.nodes.append(node)
-            if node in self.templates:
-                del self.blocks[block:]
+        said = tuple(a - b for a, b in zip(self.said, own.said, strict=True))
+        # Inline markup without names is no part of a skeleton.
+        plain = own.label == tag and tag != "a" and tag not in BLOCKS
+        skeleton = f"{own.label}({','.join(own.parts)})"
+        if len(skeleton) > 64:
+            skeleton = f"{own.label}({xxhash.xxh64_hexdigest(skeleton)})"
+        for part in own.parts if plain else (skeleton,):
+            self.stack[-1].add(part)
+        if not said[0]:
+            return
+        blocks = [block for block in self.blocks[own.block :] if block]
+        if own.hint and not any(level > self.stack[-1].level or prose for _, level, prose in blocks):
+            self.remove(own.block, len(self.blocks))
+        if tag in CONTAINERS or tag == "main" or (tag in PROSE and own.level < 2):
+            body = " ".join("".join(self.words[own.word :]).split())
+            text = xxhash.xxh64_intdigest(body, self.seed) - (1 << 63)
+            path = xxhash.xxh64_intdigest(own.path.to_bytes(8, "big"), self.seed)
+            shape = xxhash.xxh64_intdigest(skeleton, path) - (1 << 63)
+            place = (own.block, len(self.blocks), own.word, len(self.words))
+            self.subtrees.append(Subtree(text, shape, tag, own.label != tag, own.level, *place, *said))
+
+    def remove(self, first: int, last: int) -> None:
+        self.blocks[first:last] = [None] * (last - first)
+
+    def nodes(self) -> Iterator[tuple[int, bool, Subtree]]:
+        """Hashes that may be a template's, and whether they are a skeleton's."""
+        half = [t for t in self.subtrees if t.tag not in PROSE and 2 * t.prose >= self.said[2] > 0]
+        body = min(half, key=lambda t: t.end - t.start, default=None)
+        for tree in self.subtrees:
+            inside = tree.level == 2 or (body and body.start < tree.start and tree.end <= body.end)
+            if tree.tag == "main":
+                continue
+            if not inside or (tree.tag in CONTAINERS and not tree.prose):
+                yield tree.text, False, tree
+            if tree.tag in CONTAINERS and (not inside or (tree.named and 2 * tree.linked >= tree.words)):
+                yield tree.shape, True, tree
+
+    def counted(self) -> dict[int, list[int]]:
+        """By hash: whether of a skeleton, how often it occurs, its words (all, in links, in
+        prose elements), and whether one of its subtrees is the page's main part: holds half
+        of the words outside links."""
+        rest = self.said[0] - self.said[1]
+        out: dict[int, list[int]] = {}
+        for node, shape, tree in self.nodes():
+            row = out.setdefault(node, [int(shape), 0, 0, 0, 0, 0])
+            for i, n in enumerate((1, tree.words, tree.linked, tree.prose), 1):
+                row[i] += n
+            row[5] |= 2 * (tree.words - tree.linked) >= rest > 0
+        return out
+
+    def own(self, html: str) -> int:
+        """A hash of what the page says in prose, or of all of it where it has none."""
+        return (self.body.intdigest() if self.said[2] else xxhash.xxh64_intdigest(html)) - (1 << 63)
 
     def main_text(self) -> str:
-        best = max((level for _, level in self.blocks), default=0)
-        return "\n".join(text for text, level in self.blocks if level == best)
+        blocks = [block for block in self.blocks if block]
+        if self.articles > 1:
+            cards = sum(len(text) for text, level, _ in blocks if level == 2)
+            if cards < sum(len(text) for text, level, prose in blocks if level < 2 and prose):
+                blocks = [block for block in blocks if block[1] < 2]
+        best = max((level for _, level, _ in blocks), default=0)
+        return "\n".join(text for text, level, _ in blocks if level == best)
+
+
+class Sorted:
+    """Membership in a sorted array: a set of millions would take ten times its bytes."""
+
+    def __init__(self, values: np.ndarray):
+        self.values = values
+
+    def __contains__(self, value: int) -> bool:
+        at = int(self.values.searchsorted(value))
+        return at < len(self.values) and int(self.values[at]) == value
 
 
 def _host() -> Column:
@@ -199,62 +354,94 @@ def _host() -> Column:
     return F.coalesce(host, F.lit(""))
 
 
-def templates(pages: DataFrame, min_pages: int = 5, min_share: float = 0.1) -> DataFrame:
-    """(host, nodes): hashes of the subtrees that recur on many pages of a host.
+#: Columns of the counted subtrees, after host, node and page.
+COUNTS = ("shape", "times", "words", "linked", "prose", "main")
 
-    A subtree is a template if at least min_pages different pages of the host have it,
-    and at least min_share of them. So a host has as many at most as a page has
-    subtrees, divided by min_share. Copies of a page count once.
-    """
+
+def _subtrees(rows: DataFrame, *keys: str) -> DataFrame:
+    """The key columns, node, page (a hash of its prose), and COUNTS, of rows (host, html, *keys)."""
+    schema = rows.select(*keys, F.lit(0).cast("long").alias("node"), F.lit(0).cast("long").alias("page")).schema
+    for name in COUNTS:
+        schema = schema.add(name, "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, pc.binary_length(batch.column(1)), PART):
-                hosts, nodes, found = [], [], []
-                for host, html in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                    own = xxhash.xxh64_intdigest(html) - (1 << 63)
-                    page = {0, *Page(html).nodes}  # 0 stands for the page itself
-                    hosts += [host] * len(page)
-                    nodes += page
-                    found += [own] * len(page)
-                columns = [pa.array(hosts, pa.string()), pa.array(nodes, pa.int64()), pa.array(found, pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, names=["host", "node", "page"])
-
-    rows = take(pages, "url", "html").where("html is not null").select(_host().alias("host"), "html")
-    rows = rows.mapInArrow(run, "host string, node long, page long")
-    counts = rows.distinct().groupBy("host", "node").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
-    with Scratch(pages.sparkSession) as store:
-        counts = store(counts, "html-counts")
-        total = counts.where("node = 0").select("host", F.col("n").alias("pages"))
-        often = counts.where("node != 0").join(total, "host").where(F.col("n") >= min_share * F.col("pages"))
-        return stored(often.groupBy("host").agg(F.collect_list("node").alias("nodes")), "html-templates")
-
-
-def main_texts(pages: DataFrame, broadcast_nodes: int = 4_000_000, **limits) -> DataFrame:
+                rows, found = [], []
+                for i, (host, html) in enumerate(zip(*(c.to_pylist() for c in part.columns[:2]), strict=True)):
+                    page = Page(html, seed=xxhash.xxh64_intdigest(host))
+                    own = page.own(html)
+                    for node, counts in page.counted().items():
+                        rows.append(i)
+                        found.append((node, own, *counts))
+                kept = pa.RecordBatch.from_arrays(part.columns[2:], names=list(keys)).take(pa.array(rows, pa.int64()))
+                values = zip(*found, strict=True) if found else [()] * (2 + len(COUNTS))
+                columns = [pa.array(v, pa.int64()) for v in values]
+                yield pa.RecordBatch.from_arrays([*kept.columns, *columns], names=schema.names)
+
+    return rows.select("host", "html", *[F.col(k) for k in keys]).mapInArrow(run, schema)
+
+
+def templates(pages: DataFrame, min_pages: int = 5, few_words: int = 30) -> DataFrame:
+    """(node, n): hashes, which cover the host, of the subtrees that are a site's template.
+
+    n different pages of the host have it, min_pages at least. A subtree that is alike by
+    its skeleton alone must also be no prose, over all its occurrences: half of its words
+    in links, or at most few_words words, a tenth of them in paragraphs or headings, and
+    two occurrences a page; and be the main part of at most half of its pages. Pages of
+    the same prose count once, whatever is around it.
+    """
+    rows = take(pages, "url", "html").where("html is not null").select(_host().alias("own"), "html")
+    rows = _subtrees(rows.select("own", "html", F.col("own").alias("host")), "own")
+    rows = rows.groupBy("own", "node", "page", "shape").agg(*[F.max(c).alias(c) for c in COUNTS[1:]])
+    sums = [F.sum(c).alias(c) for c in COUNTS[1:]]
+    counts = rows.groupBy("own", "node", "shape").agg(F.count("*").alias("n"), *sums)
+    short = f"10 * prose <= words and words <= {int(few_words)} * times and times <= 2 * n"
+    alike = f"2 * main <= n and (2 * linked >= words or ({short}))"
+    return counts.where(f"n >= {int(min_pages)} and (shape = 0 or ({alike}))").select("node", "n")
+
+
+def _told(rows: DataFrame, sites: DataFrame, split: int) -> DataFrame:
+    """rows with `nodes`: the templates among the subtrees of each page, by shuffle.
+
+    A template of more than `split` pages is spread over as many tasks as that fills;
+    there are at most subtrees / split such templates.
+    """
+    heavy = sites.where(F.col("n") > split).select("node", F.ceil(F.col("n") / split).cast("int").alias("parts"))
+    own = _subtrees(rows.where("html is not null"), "file", "at").select("file", "at", "node")
+    own = own.join(small(heavy), "node", "left")
+    own = own.withColumn("salt", F.pmod(F.xxhash64("file", "at"), F.coalesce("parts", F.lit(1))).cast("int")).drop("parts")
+    salts = F.sequence(F.lit(0), (F.ceil(F.col("n") / split) - 1).cast("int"))
+    told = own.join(sites.select("node", F.explode(salts).alias("salt")), ["node", "salt"])
+    told = told.groupBy("file", "at").agg(F.collect_list("node").alias("nodes"))
+    return rows.join(told, ["file", "at"], "left").select("page_id", "url", "html", "host", "nodes")
+
+
+def main_texts(pages: DataFrame, broadcast_nodes: int = 4_000_000, split: int = 1_000_000, **limits) -> DataFrame:
     """page_id, url, text, n_chars of every row of pages (page_id, url, html).
 
     A null or empty html, and a page of templates only, has an empty text. Pages without
-    a url share the host ''. Repeated rows stay rows. The templates are broadcast up to
-    broadcast_nodes hashes (8 bytes each), and joined by salted shuffle beyond.
+    a url share the host ''. Repeated rows stay rows. The templates are counted, and
+    broadcast up to broadcast_nodes hashes (8 bytes each); beyond, they are joined with the
+    subtrees of each page by shuffle.
     """
-    sites = templates(pages, **limits)
-    size = sites.agg(F.sum(F.size("nodes"))).first()[0] or 0
-    rows = take(pages, "page_id", "url", "html").withColumn("host", _host())
-    if size <= broadcast_nodes:
-        rows = rows.join(F.broadcast(sites), "host", "left")
+    spark = pages.sparkSession
+    sites = stored(templates(pages, **limits), "html-templates")
+    known = None
+    if sites.count() <= broadcast_nodes:
+        known = spark.sparkContext.broadcast(np.sort(sites.select("node").toPandas()["node"].to_numpy("int64")))
+        rows = take(pages, "page_id", "url", "html").select("*", _host().alias("host"), F.lit(None).cast("array<long>").alias("nodes"))
     else:
-        salts = 64
-        rows = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(salts)))
-        sites = sites.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        rows = rows.join(sites, ["host", "salt"], "left")
-    rows = rows.select("page_id", "url", "html", "nodes")
+        rows = _told(identified(pages, "page_id", "url", "html").withColumn("host", _host()), sites, split)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["page_id", "url", "text", "n_chars"]
         for batch in batches:
             for part in slices(batch, pc.binary_length(batch.column(2)), PART):
-                htmls, nodes = part.column(2).to_pylist(), part.column(3).to_pylist()
-                texts = [Page(h or "", frozenset(n or ())).main_text() for h, n in zip(htmls, nodes, strict=True)]
+                texts = []
+                for html, host, nodes in zip(*(c.to_pylist() for c in part.columns[2:]), strict=True):
+                    deleted = frozenset(nodes or ()) if known is None else Sorted(known.value)
+                    texts.append(Page(html or "", deleted, xxhash.xxh64_intdigest(host)).main_text())
                 sizes = pa.array(map(len, texts), pa.int64())
                 columns = [part.column(0), part.column(1), pa.array(texts, pa.string()), sizes]
                 yield pa.RecordBatch.from_arrays(columns, names=names)

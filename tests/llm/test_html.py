@@ -1,3 +1,4 @@
+import re
 import time
 
 import pytest
@@ -23,6 +24,14 @@ CASES = [
     ("<form><p>f</p></form><button>b</button><p>k</p>", "k"),
     ("", ""),
     ("<div class='adCard'>buy</div><p>load</p>", "load"),
+    ("<div class='content-sidebar-wrap'><article><p>a</p></article></div>", "a"),
+    ("<main><article class='post comments-open hentry'><p>a</p></article></main>", "a"),
+    ("<div class='has-sidebar'><p>a</p></div>", "a"),
+    ("<article><p class='share-price'>a</p><p id=response>b</p><p class='ad-box'>buy</p></article>", "a\nb"),
+    ("<div id=content><p>The text of this page.</p></div><article><p>Card</p></article><article><p>Card</p></article>", "The text of this page."),
+    ("<p>Menu</p><article><p>The first part.</p></article><article><p>The second part.</p></article>", "The first part.\nThe second part."),
+    ("<article><p>a</p><div class='post-comments'><article><p>me</p></article></div></article>", "a"),
+    ("<div class='sidebar-left'><p>s</p></div><div class='share-count'>12</div><p>a</p>", "a"),
 ]
 
 
@@ -77,11 +86,53 @@ def test_templates_go_and_prose_of_articles_stays(spark):
     assert (text[400], text[401], text[None], text[402]) == ("", "", "t", "e")
 
 
+def test_skeletons_alone_clean_pages(spark):
+    """With neutral tags and names everywhere, the templates leave what the marked articles say."""
+
+    def neutral(source):
+        source = re.sub(r"<(/?)(nav|footer|article|aside|header)\b", r"<\1div", source or "")
+        return source.replace('<div class="ad"', "<div")
+
+    given = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").collect()
+    rows = [(r.page_id, r.url, neutral(r.html)) for r in given]
+    told = {r.page_id: Page(r.html or "").main_text() for r in given}
+    assert any(Page(source).main_text() != told[i] for i, _, source in rows)
+    got = {r.page_id: r.text for r in html.main_texts(pages(spark, rows)).collect()}
+    assert got == told
+
+
+def test_skeletons_of_prose_and_of_main_parts_stay(spark):
+    menu = "<ul class=m><li><a href=/{0}>Go {0}</a><li><a href=/x>To {0}</a></ul>"
+    parts = [
+        (i, f"https://f.org/{i}", f"<div>{menu.format(i)}<div>Tip {i} of today</div><div>Story {i} is told in one line, which is long</div></div>")
+        for i in range(8)
+    ]
+    lists = [
+        (100 + i, f"https://g.org/{i}", f"<div><h1>Dish {i}</h1><p>Some words about it.</p><ul><li>egg {i}<li>salt</ul><ul><li>eggs<li>oil</ul></div>")
+        for i in range(8)
+    ]
+    small = [(200 + i, f"https://h.org/{i}", f"<div>{menu.format(i)}</div><p>Own {i}</p>") for i in range(4)]
+    text = {r.page_id: r.text for r in html.main_texts(pages(spark, [*parts, *lists, *small])).collect()}
+    assert all(text[i].endswith(f"Story {i} is told in one line, which is long") and "Go" not in text[i] for i in range(8))
+    assert all(text[100 + i] == f"Dish {i}\nSome words about it.\negg {i}\nsalt" for i in range(8))
+    assert all(text[200 + i] == f"Go {i}\nTo {i}\nOwn {i}" for i in range(4))
+
+
+def test_prose_that_pages_share_stays(spark):
+    shared = "<p>This passage stands in many articles of the site, word by word.</p>"
+    rows = [(i, f"https://a.org/{i}", f"<div>Top {i}</div><div><p>Own words {i} of it.</p>{shared}</div>") for i in range(9)]
+    copies = [(50 + i, "https://b.org/", f"<div>Top {i}</div><p>The very same story.</p>") for i in range(9)]
+    text = {r.page_id: r.text for r in html.main_texts(pages(spark, [*rows, *copies])).collect()}
+    assert all(text[i].endswith(f"Own words {i} of it.\n{shared[3:-4]}") for i in range(9))
+    assert all(text[50 + i].endswith("The very same story.") for i in range(9))
+
+
 def test_both_ways_to_join_templates_agree(spark):
     rows = [(i, f"https://a.org/{i}", f"<div>Same on all</div><p>Own {i}</p>") for i in range(12)]
-    a, b = (html.main_texts(pages(spark, rows), broadcast_nodes=n) for n in (1000, 0))
+    rows += [(None, None, None), (3, "", ""), (0, "https://a.org/0", rows[0][2])]
+    a, b = (html.main_texts(pages(spark, rows), broadcast_nodes=n, split=5) for n in (1000, 0))
     assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
-    assert {r.text for r in a.collect()} == {f"Own {i}" for i in range(12)}
+    assert {r.text for r in a.collect()} == {"", *(f"Own {i}" for i in range(12))}
 
 
 def test_empty_table(spark):
