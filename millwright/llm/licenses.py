@@ -1,26 +1,31 @@
 """Licence notices by a positional index of rare tokens.
 
-Templates are short notices. Each is looked up by its words of highest IDF, which is
-taken over all documents. A word of a file that is such an anchor names, by the index,
-template and place in it; the difference of the places in file and template is where the
-notice would start. Starts named by several anchors within a few words are candidates.
-A candidate is a match if its mandatory phrases stand there word for word and enough of
-the template's other words do at their relative places.
+Templates are short notices, standard notices and whole texts. Each is looked up by its
+words of highest IDF, which is taken over all documents. A word of a file that is such an
+anchor names, by the index, template and place in it; the difference of the places in file
+and template is where the notice would start. Starts named by several anchors within a few
+words are candidates. A candidate is a match if its mandatory phrases stand there word for
+word and enough of the template's other words do at their relative places. All of that is
+done on sorted places, for all candidates of a template together: a text takes time and
+memory in proportion to its words, whatever it repeats.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterator, Mapping
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millwright.llm.common import bytes_of, slices, take
+from millwright.llm.license_texts import TEXTS
 
 #: Lower-case words: runs of ASCII digits and letters and of all other characters from U+0080.
 WORDS = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -43,18 +48,16 @@ TEMPLATES = {
     "isc": "[permission to use copy modify] and or [distribute this software for any purpose] with or without fee is hereby granted",
     "lgpl": "licensed under the gnu [lesser general public license]",
     "mit": "released under the [mit license]",
-    "mit-text": "[permission is hereby granted free of charge to any person obtaining a copy] of this software",
+    "mit/short": "[permission is hereby granted free of charge to any person obtaining a copy] of this software",
     "mpl-2.0": "subject to the terms of the [mozilla public license] v 2 0",
     "unlicense": "this is [free and unencumbered software] released into the public domain",
 }
-#: Labels given instead of a template's own name.
-RENAMED = {"mit-text": "mit"}
 PART = 8 << 20
 
 
 class Template:
     def __init__(self, name: str, text: str):
-        self.name = name
+        self.label = name.split("/")[0]
         self.words = WORDS.findall(text.replace("[", " ").replace("]", " ").lower().encode())
         self.phrases = []
         at = 0
@@ -66,6 +69,11 @@ class Template:
             at += len(phrase)
 
 
+def within(places: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Whether a place stands between low and high, both included. places is sorted."""
+    return np.searchsorted(places, low) < np.searchsorted(places, high, "right")
+
+
 class Index:
     """Postings of the anchors: word to (template, place). idf: of every template word."""
 
@@ -75,7 +83,7 @@ class Index:
         self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
         self.needed = []
         for t, template in enumerate(templates):
-            chosen = sorted(set(template.words), key=rarity)[:anchors]
+            chosen = sorted(set(template.words), key=rarity)[: max(anchors, len(template.words) // 10)]
             for at, word in enumerate(template.words):
                 if word in chosen:
                     self.postings[word].append((t, at))
@@ -86,50 +94,65 @@ class Index:
             rarest = min(range(len(words)), key=lambda i: rarity(words[i]))
             self.base[words[rarest]].append((rarest, words, label))
         self.wanted = set(self.postings) | set(self.base)
+        self.vocabulary = {w for t in templates for w in t.words}
 
     def scan(self, words: list[bytes], slack: int, coverage: float) -> tuple:
         """(base places, first, last, base labels, labels, score) of a file's words."""
-        places: dict[bytes, list[int]] = defaultdict(list)
-        wanted = self.wanted
-        for i, w in enumerate(words):
-            if w in wanted:
-                places[w].append(i)
+        places = positions(words, self.wanted)
         starts, base = [], set()
         for word, entries in self.base.items():
             for at in places.get(word, ()):
                 for offset, phrase, label in entries:
                     if at >= offset and words[at - offset : at - offset + len(phrase)] == phrase:
-                        starts.append(at - offset)
+                        starts.append(int(at) - offset)
                         base.add(label)
         labels, score = set(base), 1.0 if base else 0.0
-        votes: dict[tuple[int, int], set[bytes]] = defaultdict(set)
+        votes: dict[int, dict[bytes, list[np.ndarray]]] = defaultdict(lambda: defaultdict(list))
         for word, found in places.items():
             for t, at in self.postings.get(word, ()):
-                for place in found:
-                    votes[t, place - at].add(word)
-        for (t, start), named in votes.items():
-            near = set().union(*(votes.get((t, start + d), ()) for d in range(-slack, slack + 1))) if slack else named
-            if len(near) < self.needed[t]:
+                votes[t][word].append(found - at)
+        everything = None
+        for t, named in votes.items():
+            if len(named) < self.needed[t]:
                 continue
-            share = self.verify(words, self.templates[t], start, slack)
-            if share >= coverage:
-                labels.add(RENAMED.get(self.templates[t].name, self.templates[t].name))
-                score = max(score, share)
+            template = self.templates[t]
+            near = slack + len(template.words) // 20  # words left out or put in move the rest of a long text
+            each = [np.unique(np.concatenate(v)) for v in named.values()]
+            begins = np.unique(np.concatenate(each))
+            agree = sum(within(e, begins - near, begins + near).astype(np.int64) for e in each)
+            begins = begins[agree >= self.needed[t]]
+            if len(begins):
+                everything = positions(words, self.vocabulary) if everything is None else everything
+                share = self.verify(everything, template, begins, near)
+                if share >= coverage:
+                    labels.add(template.label)
+                    score = max(score, share)
         return len(starts), min(starts, default=None), max(starts, default=None), base, labels, score
 
-    def verify(self, words: list[bytes], template: Template, start: int, slack: int) -> float:
-        """Share, by IDF, of the template's words near their places; 0 without a phrase."""
-
-        def near(at: int, phrase: list[bytes]) -> bool:
-            n = len(phrase)
-            low = max(0, start + at - slack)
-            return any(words[i : i + n] == phrase for i in range(low, start + at + slack + 1))
-
-        if not all(near(at, phrase) for at, phrase in template.phrases):
+    def verify(self, places: Mapping[bytes, np.ndarray], template: Template, begins: np.ndarray, slack: int) -> float:
+        """The largest share, by IDF, of the template's words near their places; 0 without a phrase."""
+        none = np.zeros(0, np.int64)
+        for at, phrase in template.phrases:
+            hits = places.get(phrase[0], none)
+            for i, word in enumerate(phrase[1:], 1):
+                hits = np.intersect1d(hits, places.get(word, none) - i, assume_unique=True)
+            begins = begins[within(hits, begins + (at - slack), begins + (at + slack))]
+        if not len(begins):
             return 0.0
         weights = [self.idf.get(w, 1.0) for w in template.words]
-        there = sum(x for i, (w, x) in enumerate(zip(template.words, weights, strict=True)) if near(i, [w]))
-        return min(1.0, there / sum(weights)) if sum(weights) else 1.0
+        there = np.zeros(len(begins))
+        for i, (word, weight) in enumerate(zip(template.words, weights, strict=True)):
+            there += weight * within(places.get(word, none), begins + (i - slack), begins + (i + slack))
+        return min(1.0, float(there.max()) / sum(weights)) if sum(weights) else 1.0
+
+
+def positions(words: list[bytes], wanted: set[bytes]) -> dict[bytes, np.ndarray]:
+    """Where the wanted words stand, in ascending order."""
+    found: dict[bytes, array] = defaultdict(lambda: array("q"))
+    for i, word in enumerate(words):
+        if word in wanted:
+            found[word].append(i)
+    return {word: np.frombuffer(at, np.int64) for word, at in found.items()}
 
 
 def _words(batch: pa.RecordBatch, column: int) -> Iterator[tuple[pa.RecordBatch, list[list[bytes]]]]:
@@ -160,7 +183,7 @@ def idf(docs: DataFrame, vocabulary: set[bytes]) -> dict[bytes, float]:
 
 def scan(
     docs: DataFrame,
-    templates: Mapping[str, str] = TEMPLATES,
+    templates: Mapping[str, str] = TEMPLATES | TEXTS,
     phrases: Mapping[str, str] = PHRASES,
     anchors: int = 3,
     slack: int = 2,
@@ -169,7 +192,7 @@ def scan(
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
     For every row of docs; a null text counts as empty. Labels are sorted and joined by
-    commas. score: 1 if a base phrase stands in the text, else the largest share, by IDF,
+    commas; a template's is its name up to a slash. score: 1 if a base phrase stands in the text, else the largest share, by IDF,
     of a matched template's words, else 0. A template matches from a share of `coverage`.
     """
     made = [Template(n, t) for n, t in templates.items()]
