@@ -2,13 +2,17 @@
 
 Vectors are brought to unit length, centred, and rotated at random; a code keeps the sign
 of each coordinate, packed to bits, and two scalars: the residual's length and its inner
-product with the code's own direction. From these the inner product with any query is
-estimated without bias, and its error is bounded with high probability. A query's best
+product with the code's own direction. A query's rotated residual is rounded to integers
+of a few bits, so its product with a code is a sum of population counts over packed words.
+From these the inner product is estimated without bias; its error is bounded with high
+probability, and what rounding adds to it with certainty. A query's best
 estimates are measured exactly first; then every vector whose upper bound reaches the
 least of those measures is measured too. Whatever the codes, scores are exact.
 
 Queries and vectors meet block by block: each block of vectors, of bounded size, meets
 each block of queries in a task of its own, and every task hands on k rows a query.
+Vectors travel with their codes, as they are: the few rows of a block that a query measures
+would be more bytes as pairs to be joined than the block's vectors are.
 """
 
 from __future__ import annotations
@@ -22,11 +26,13 @@ from pyspark.sql import functions as F
 
 from millwright.llm.common import stored, take
 
-INDEX = "vec_id long, dim int, vector array<double>, code binary, length double, align double, shift double"
+INDEX = "vec_id long, dim int, vector array<{}>, code binary, length double, align double, shift double"
 #: Rows of a block of vectors, and of queries.
 VECTORS, QUERIES = 8192, 1024
-#: Queries estimated at a time, and vectors measured at a time.
+#: Queries estimated at a time.
 STEP = 128
+#: Bits of a rounded coordinate of a query.
+LEVELS = 6
 
 
 def rotation(dim: int, seed: int) -> np.ndarray:
@@ -41,9 +47,10 @@ def matrix(column: pa.Array) -> np.ndarray:
 
 
 def usable(vectors: DataFrame, column: str) -> DataFrame:
-    """(vec_id, dim, vector) of rows with an id and a finite vector other than zero."""
+    """(vec_id, dim, vector) of rows with an id and a finite vector other than zero; floats stay floats."""
     rows = take(vectors, "vec_id", column).toDF("vec_id", "vector").where("vec_id is not null")
-    rows = rows.withColumn("vector", F.col("vector").cast("array<double>"))
+    if rows.schema["vector"].dataType.simpleString() != "array<float>":
+        rows = rows.withColumn("vector", F.col("vector").cast("array<double>"))
     good = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = rows.where(F.col("vector").isNotNull() & good & F.exists("vector", lambda x: x != 0))
     return rows.select("vec_id", F.size("vector").alias("dim"), "vector")
@@ -85,7 +92,8 @@ def index(vectors: DataFrame, column: str = "embedding", sample: int = 2000, see
                 names = ["vec_id", "dim", "vector", "code", "length", "align", "shift"]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return stored(rows.mapInArrow(run, INDEX), "ann-index"), middle
+    kind = rows.schema["vector"].dataType.elementType.simpleString()
+    return stored(rows.mapInArrow(run, INDEX.format(kind)), "ann-index"), middle
 
 
 def _units(x: np.ndarray) -> np.ndarray:
@@ -93,6 +101,40 @@ def _units(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def words(packed: np.ndarray) -> np.ndarray:
+    """Rows of packed bits as columns of 64-bit words."""
+    return np.ascontiguousarray(np.pad(packed, ((0, 0), (0, -packed.shape[1] % 8))).view(np.uint64).T)
+
+
+def ones(codes: np.ndarray, mask: np.ndarray) -> np.ndarray:
+    """How many bits each code shares with a mask: one number of each word."""
+    total = np.zeros(codes.shape[1], np.int32)
+    for word, part in zip(codes, mask, strict=True):
+        total += np.bitwise_count(word & part)
+    return total
+
+
+def rounded(turned: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Rows rounded to low + step * integer: masks of the integers' bits, low, step, and the error's length.
+
+    masks: for each row and bit of the integers, the words that tell which coordinates have it.
+    """
+    low, high = turned.min(axis=1, keepdims=True), turned.max(axis=1, keepdims=True)
+    step = np.maximum((high - low) / ((1 << LEVELS) - 1), 1e-300)
+    whole = np.rint((turned - low) / step).astype(np.int32)
+    error = np.linalg.norm(low + step * whole - turned, axis=1)
+    masks = np.stack([words(np.packbits(whole >> b & 1, axis=1)).T for b in range(LEVELS)], axis=1)
+    return masks, low[:, 0], step[:, 0], error
+
+
+def products(codes: np.ndarray, masks: np.ndarray, low: float, step: float, dim: int) -> np.ndarray:
+    """Inner products of a rounded row with all codes, whose bits mean -1 and 1."""
+    full = words(np.packbits(np.ones((1, dim), np.uint8), axis=1))[:, 0]
+    weighted = sum(ones(codes, mask) << b for b, mask in enumerate(masks))
+    whole = sum(int(np.bitwise_count(mask).sum()) << b for b, mask in enumerate(masks))
+    return 2 * (low * ones(codes, full) + step * weighted) - (low * dim + step * whole)
+
+
 def _matcher(middle: dict[int, np.ndarray], k: int, bound: float, seed: int):
     schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
@@ -106,27 +148,26 @@ def _matcher(middle: dict[int, np.ndarray], k: int, bound: float, seed: int):
         exact, asked = _units(matrix(left["vector"].chunk(0))), _units(matrix(right["vector"].chunk(0)))
         dim = exact.shape[1]
         turn, centre = rotation(dim, seed), np.broadcast_to(middle.get(dim, 0.0), (dim,))
-        codes = np.frombuffer(b"".join(left["code"].to_pylist()), np.uint8).reshape(len(ids), -1)
+        codes = words(np.frombuffer(b"".join(left["code"].to_pylist()), np.uint8).reshape(len(ids), -1))
         length, align, shift = (left[c].to_numpy() for c in ("length", "align", "shift"))
         safe = np.where(align > 0, align, 1)
         # Standard deviation of the estimate for a query residual of length 1.
         error = length * np.sqrt(np.maximum(1 - align * align, 0)) / safe / np.sqrt(max(dim - 1, 1)) * bound + 1e-9
-        signs = np.unpackbits(codes, axis=1, count=dim).astype(np.float32)
-        scale = (length / safe / np.sqrt(dim)).astype(np.float32)
+        scale = length / safe / np.sqrt(dim)
         for at in range(0, len(asked), STEP):
             rest = asked[at : at + STEP] - centre
-            turned = (rest @ turn.T).astype(np.float32)
-            dots = 2 * (signs @ turned.T) - turned.sum(axis=1)  # of the codes as -1 and 1
+            masks, low, step, off = rounded(rest @ turn.T)
             base = asked[at : at + STEP] @ centre
             for j, residual in enumerate(np.linalg.norm(rest, axis=1)):
                 query, own = asked[at + j], query_ids[at + j]
-                guess = scale * dots[:, j] + shift + base[j]
+                guess = scale * products(codes, masks[j], low[j], step[j], dim) + shift + base[j]
                 guess = np.where(ids == own, -np.inf, guess)
                 first = np.argpartition(-guess, min(4 * k, len(ids) - 1))[: 4 * k]
                 measure = (exact[first] * query).sum(axis=1)
                 measure = np.sort(_best_of_ids(ids[first], measure, own))[::-1]
                 least = measure[k - 1] if len(measure) >= k else -np.inf
-                rows = np.flatnonzero((guess + error * residual >= least) & (ids != own))
+                reach = guess + error * residual + length / safe * off[j]
+                rows = np.flatnonzero((reach >= least) & (ids != own))
                 # Candidates are measured from their original vectors, in parts of bounded size.
                 score = np.concatenate(
                     [(exact[rows[i : i + 65536]] * query).sum(axis=1) for i in range(0, len(rows), 65536)] or [np.zeros(0)]

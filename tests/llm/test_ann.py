@@ -43,6 +43,36 @@ def test_small_blocks_agree(spark, rows_of, monkeypatch):
     assert found(ann.nearest(rows, F.col("vec_id") % 10 == 0, bound=9.0)) == want
 
 
+def test_packed_products_against_signs():
+    rng = np.random.default_rng(3)
+    for dim in (1, 3, 8, 64, 65, 200):
+        bits, turned = rng.integers(0, 2, (40, dim)).astype(np.uint8), rng.standard_normal((7, dim))
+        turned[0] = 1.0  # rounded without a step
+        codes = ann.words(np.packbits(bits, axis=1))
+        masks, low, step, off = ann.rounded(turned)
+        for j, row in enumerate(turned):
+            got = ann.products(codes, masks[j], low[j], step[j], dim)
+            want = (2.0 * bits - 1) @ row
+            # Off by the rounding of the row, which the bound covers, and no more.
+            assert (np.abs(got - want) <= np.sqrt(dim) * off[j] + 1e-9).all()
+            assert off[j] <= step[j] / 2 * np.sqrt(dim) + 1e-9
+
+
+def test_estimates_stay_within_their_bounds():
+    rng = np.random.default_rng(5)
+    vectors, asked = (ann._units(rng.standard_normal((n, 64))) for n in (2000, 30))
+    turn = ann.rotation(64, 7)
+    turned = vectors @ turn.T
+    codes, align = ann.words(np.packbits(turned > 0, axis=1)), np.abs(turned).sum(axis=1) / 8
+    masks, low, step, off = ann.rounded(asked @ turn.T)
+    missed = 0
+    for j, query in enumerate(asked):
+        guess = ann.products(codes, masks[j], low[j], step[j], 64) / align / 8
+        bound = 3 * np.sqrt(1 - align * align) / align / np.sqrt(63) + off[j] / align
+        missed += int((np.abs(guess - vectors @ query) > bound).sum())
+    assert missed <= 0.005 * 30 * 2000
+
+
 def test_odd_rows_and_ties(spark):
     rng = np.random.default_rng(1)
     rows = [(i, rng.standard_normal(8).tolist()) for i in range(1, 40)]
