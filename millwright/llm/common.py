@@ -102,6 +102,25 @@ def small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def split_join(
+    rows: DataFrame, side: DataFrame, keys: list[str], apart: list[str], how: str = "inner", few: int = 100_000, most: int = 1_000_000
+) -> DataFrame:
+    """rows joined with side, which has one row a key, with `n`: how many rows have it.
+
+    A side of up to `few` rows is broadcast. Else both are shuffled, and the rows of a key
+    that more than `most` have are dealt over several tasks by the columns `apart`; such
+    keys are at most rows / most. side is read several times: store it before.
+    """
+    if side.limit(few + 1).count() <= few:
+        return rows.join(F.broadcast(side.drop("n")), keys, how)
+    parts = F.ceil(F.col("n") / most).cast("int")
+    hot = small(side.where(F.col("n") > most).select(*keys, parts.alias("_parts")))
+    salt = F.pmod(F.xxhash64(*apart), F.coalesce("_parts", F.lit(1))).cast("int")
+    dealt = rows.join(hot, keys, "left").withColumn("_salt", salt).drop("_parts")
+    whole = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.greatest(parts, F.lit(1)) - 1))).drop("n")
+    return dealt.join(whole, [*keys, "_salt"], how).drop("_salt")
+
+
 def let(value: Column, body) -> Column:
     """body(value) with the value evaluated once per row, whatever body does with it."""
     return F.element_at(F.transform(F.array(value), body), 1)

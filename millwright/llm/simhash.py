@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millwright.llm.common import Scratch, bytes_of, stored, take
+from millwright.llm.common import Scratch, bytes_of, split_join, stored, take
 from millwright.llm.components import components
 
 #: Places of the segments: first bit and number of bits.
@@ -159,11 +159,12 @@ def near_duplicates(docs: DataFrame, size: int = 3, max_bits: int = 2, keep: tup
     """
     rows = stored(fingerprints(docs, size, keep), "simhash")
     with Scratch(docs.sparkSession) as store:
-        distinct = store(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
+        distinct = store(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "simhash-distinct")
         roots = components(links(distinct.select("fp"), max_bits, store=store), "simhash-components")
         roots = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-        roots = roots.select("fp", "least", F.coalesce("root", "fp").alias("group"))
+        roots = roots.select("fp", "least", "n", F.coalesce("root", "fp").alias("group"))
         least = roots.groupBy("group").agg(F.min("least").alias("component_id"))
-        ids = stored(roots.join(least, "group").select("fp", "component_id", "group"), "simhash-ids")
+        ids = stored(roots.join(least, "group").select("fp", "component_id", "group", "n"), "simhash-ids")
     text = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return rows.join(ids, "fp").select("doc_id", text.alias("fingerprint"), "component_id", "group", *keep)
+    rows = split_join(rows, ids, ["fp"], ["doc_id", *keep])
+    return rows.select("doc_id", text.alias("fingerprint"), "component_id", "group", *keep)

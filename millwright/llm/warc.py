@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millwright.llm.common import new_path, take
+from millwright.llm.common import new_path, split_join, stored, take
 
 #: Fixed values of the seekable format: skippable frame, seek table, checksum flag.
 SKIPPABLE, SEEKABLE, CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
@@ -33,7 +33,8 @@ VERSION = b"WARC/1.1"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 INDEX = "page_id long, bundle string, frame int, offset long, length long, record_type string"
-SALTS = 16
+#: Payloads of one digest that a task takes when digests are joined by shuffle.
+COPIES = 20_000
 
 
 def open_store(path: str) -> tuple[pafs.FileSystem, str]:
@@ -159,13 +160,11 @@ def write(
         "page_id", "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload")
     )
     rows = rows.withColumn("digest", F.sha1("payload"))
-    rows = rows.withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)))
     large = F.octet_length("payload") >= min_bytes
     copies = rows.where(large).groupBy("digest").agg(F.max("page_id").alias("holder"), F.count("*").alias("n"))
-    copies = copies.where("n > 1 and holder is not null").select(
-        "digest", "holder", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
-    )
-    joined = rows.join(copies, ["digest", "salt"], "left").select(
+    copies = stored(copies.where("n > 1 and holder is not null"), "warc-copies")
+    # Payloads move only if there are too many repeated digests to be broadcast.
+    joined = split_join(rows, copies, ["digest"], ["page_id", "url"], "left", most=COPIES).select(
         "page_id", "url", "payload", "digest",
         F.when(~F.col("page_id").eqNullSafe(F.col("holder")), F.col("holder")).alias("refers_to"),
     )
