@@ -43,7 +43,8 @@ class Encoder:
     """The ids of a tokenizer file.
 
     Byte-level BPE without a normalizer goes through a faster library with the same
-    vocabulary and merges; texts that hold a special token, and all other kinds of
+    vocabulary, which merges in the order of the ids: only if the file's merges make all longer
+    entries of the vocabulary in that order. Texts that hold a special token, and all other kinds of
     tokenizer, go through the tokenizer itself.
     """
 
@@ -58,6 +59,10 @@ class Encoder:
         if plain and spec["model"]["type"] == "BPE" and not spec["normalizer"]:
             letters = byte_letters()
             vocabulary = {w: i for w, i in spec["model"]["vocab"].items() if w not in self.specials}
+            made = [vocabulary.get("".join(m.split(" ") if isinstance(m, str) else m)) for m in spec["model"]["merges"]]
+            ordered = None not in made and all(a < b for a, b in zip(made, made[1:], strict=False))
+            if not ordered or len(made) != sum(len(w) > 1 for w in vocabulary):
+                return
             ranks = {bytes(letters[c] for c in w): i for w, i in vocabulary.items()}
             self.fast = tiktoken.Encoding("same", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 

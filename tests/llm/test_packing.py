@@ -1,3 +1,4 @@
+import json
 import zlib
 from collections import defaultdict
 
@@ -75,3 +76,17 @@ def test_other_tokenizers_go_through_the_library():
 def test_sweep_takes_successor_gaps_largest_pieces_first():
     assert packing.sweep({5: 2, 3: 4}, {4: 1, 6: 1, 9: 5}) == [(6, 0, 1, 5, 1), (9, 0, 1, 5, 1), (4, 0, 1, 3, 1), (9, 1, 1, 3, 3)]
     assert packing.sweep({5: 1}, {4: 9}) == []
+
+
+def test_merges_in_another_order_than_the_ids(tmp_path):
+    with open(PATH, encoding="utf-8") as f:
+        spec = json.load(f)
+    assert packing.Encoder(PATH).fast is not None
+    spec["model"]["merges"] = spec["model"]["merges"][::-1]
+    path = str(tmp_path / "other.json")
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump(spec, f)
+    encode, same = packing.Encoder(path), Tokenizer.from_file(path)
+    assert encode.fast is None
+    text = "The merges of this vocabulary come in another order."
+    assert encode(text).tolist() == same.encode(text, add_special_tokens=False).ids != packing.Encoder(PATH)(text).tolist()

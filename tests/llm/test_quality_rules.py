@@ -1,6 +1,9 @@
+import math
 import re
 from collections import Counter
 
+import numpy as np
+import regex
 from conftest_llm import ODD
 
 from millwright.llm import quality
@@ -38,6 +41,60 @@ def test_counts_against_brute_force(spark, rows_of):
     assert len(fine & kept) >= 0.97 * len(fine)
 
 
+def plain_votes(text):
+    """The rules' votes, by their definition."""
+    text = text or ""
+    words, lines = WORD.findall(text), [x for x in text.split("\n") if WORD.search(x)]
+    n, chars, symbols, doubled, covered, _ = plain(text)
+    capitals = sum(w == w.upper() != w.lower() and len(w) > 1 for w in words)
+    ended = sum(bool(regex.search(r"[.!?…。！？][^\p{L}\p{N}]*$", x)) for x in lines)
+    per = lambda a, b: a / b if b else 0.0
+    low = lambda x, good, bad: 1 if x <= good else -1 if x >= bad else 0
+    return [
+        low(per(symbols, n), 0.02, 0.1),
+        low(per(doubled, len(lines)), 0.05, 0.3),
+        low(per(covered, n), 0.1, 0.2),
+        low(abs(per(chars, n) - 5), 1.3, 2.0),
+        low(-per(len(set(words)), min(n, 2000)), -0.5, -0.3),
+        low(per(capitals, n), 0.1, 0.3),
+        low(-per(sum(bool(regex.search(r"\p{L}", w)) for w in words), n), -0.95, -0.8),
+        low(-per(ended, len(lines)), -0.6, -0.2),
+    ]
+
+
+def plain_posteriors(votes, rounds=200):
+    """Expectation-maximisation text by text, without patterns or sufficient counts."""
+    votes = np.array(votes)
+    good = ((votes == 1).sum(axis=1) + 0.5) / ((votes != 0).sum(axis=1) + 1)
+    for _ in range(rounds):
+        prior = (good.sum() + 1) / (len(votes) + 2)
+        odds = np.full(len(votes), math.log(prior / (1 - prior)))
+        for column in votes.T:
+            for v in (-1, 0, 1):
+                hit = column == v
+                of_good = (good[hit].sum() + 1) / (good.sum() + 3)
+                of_bad = ((1 - good)[hit].sum() + 1) / ((1 - good).sum() + 3)
+                odds[hit] += math.log(of_good / of_bad)
+        new = 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
+        moved, good = np.abs(new - good).max(), new
+        if moved < 1e-9:
+            break
+    return good
+
+
+def test_verdicts_against_brute_force(spark, rows_of):
+    rows = dict(rows_of("documents", "doc_id, text"))
+    got = {r.doc_id: r for r in quality.judge(table(spark, "/root/testdata/sf0.001", "documents")).collect()}
+    votes = {d: plain_votes(t) for d, t in rows.items()}
+    names = [f"vote_{r.name}" for r in quality.rules()]
+    assert {d: [r[n] for n in names] for d, r in got.items()} == votes
+    ids = [d for d, t in rows.items() if not plain(t)[-1]]
+    good = dict(zip(ids, plain_posteriors([votes[d] for d in ids]), strict=True))
+    assert all(abs(got[d].good - p) < 1e-6 for d, p in good.items())
+    assert {d for d, r in got.items() if r.kept} == {d for d, p in good.items() if p >= 0.5}
+    assert 0 < sum(p >= 0.5 for p in good.values()) < len(rows)
+
+
 def test_odd_rows(documents):
     rows = [
         *ODD,
