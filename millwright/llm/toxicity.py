@@ -115,17 +115,15 @@ def _learner(start, s: Settings):
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z, n = (x.copy() for x in start.value)
-        held = list(batches)
-        if not held:
-            return
-        part = pa.Table.from_batches(held)
-        ids, labels = part["doc_id"].to_pylist(), part["toxic"].to_pylist()
-        lists = part["index"].combine_chunks()
-        at, values = lists.offsets.to_numpy(), lists.values.to_numpy()
-        order = sorted(range(len(ids)), key=lambda i: (xxhash.xxh64_intdigest(str(ids[i]), 1), ids[i]))
-        ftrl(((values[at[i] : at[i + 1]], float(labels[i] > 0)) for i in order), (z, n), s)
-        size = np.full(len(z), len(ids) + 0.0)
-        yield pa.RecordBatch.from_arrays([pa.array(z * size), pa.array(n * size)], names=["z", "n"])
+        seen = 0
+        for batch in batches:  # in the order of `turn`
+            lists = batch.column("index")
+            at, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+            labels = batch.column("toxic").to_pylist()
+            ftrl(((values[at[i] : at[i + 1]], float(y > 0)) for i, y in enumerate(labels)), (z, n), s)
+            seen += batch.num_rows
+        if seen:
+            yield pa.RecordBatch.from_arrays([pa.array(z * float(seen)), pa.array(n * float(seen))], names=["z", "n"])
 
     return learn
 
@@ -171,27 +169,35 @@ def _trained(docs: DataFrame, labels: DataFrame, s: Settings, store: Scratch) ->
     def renumber(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         active = known_at.value
         for batch in batches:
-            for part in slices(batch, pc.multiply(pc.list_value_length(batch.column("index")), 4), PART):
-                lists = part.column("index")
-                values = lists.flatten().to_numpy()
+            for part in slices(batch, pc.binary_length(batch.column("text")), PART):
+                lists = coordinates(part.column("text"), s)
+                values = lists.values.to_numpy()
                 at = np.minimum(np.searchsorted(active, values), len(active) - 1).astype(np.int32)
                 kept = active[at] == values
-                before = np.concatenate([[0], np.cumsum(kept)])[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+                before = np.concatenate([[0], np.cumsum(kept)])[lists.offsets.to_numpy()]
                 new = pa.ListArray.from_arrays(pa.array(before, pa.int32()), pa.array(at[kept]))
-                shard = pa.array([xxhash.xxh64_intdigest(str(i)) % s.shards for i in part.column("doc_id").to_pylist()])
+                names = [str(i) for i in part.column("doc_id").to_pylist()]
+                shard = pa.array([xxhash.xxh64_intdigest(i) % s.shards for i in names], pa.int32())
+                # An unsigned hash, as the signed number of the same place in the order.
+                turn = pa.array([xxhash.xxh64_intdigest(i, 1) - (1 << 63) for i in names], pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("toxic"), new, shard.cast(pa.int32())],
-                    names=["doc_id", "toxic", "index", "shard"],
+                    [part.column("doc_id"), part.column("toxic"), new, turn, shard],
+                    names=["doc_id", "toxic", "index", "turn", "shard"],
                 )
 
-    rows = rows.mapInArrow(renumber, "doc_id long, toxic int, index array<int>, shard int")
+    schema = "doc_id long, toxic int, index array<int>, turn long, shard int"
+    # From the texts again: one Python process a task, and no lists that go back and forth.
+    rows = sampled.mapInArrow(renumber, schema)
     # A folder for each shard, so that no round shuffles; a shard is a bounded part of the sample.
     path = new_path(spark, "toxicity-shards")
     store.paths.append(path)
     rows.repartition(s.shards, "shard").write.partitionBy("shard").parquet(path)
     known_at.destroy()
-    schema = "doc_id long, toxic int, index array<int>, shard int"
-    shards = [spark.read.schema(schema).parquet(path).where(F.col("shard") == k).coalesce(1) for k in range(s.shards)]
+    stored = spark.read.schema(schema).parquet(path)
+    shards = [
+        stored.where(F.col("shard") == k).coalesce(1).sortWithinPartitions("turn", "doc_id").select("toxic", "index")
+        for k in range(s.shards)
+    ]
     prior = math.log(toxic / (total - toxic))
     z, n = np.zeros(len(active) + 1), np.zeros(len(active) + 1)
     n[-1] = 1.0

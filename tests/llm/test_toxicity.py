@@ -159,3 +159,41 @@ def test_coordinates_of_a_batch_are_those_of_each_text():
     for text, got in zip(texts, lists):
         assert got == sorted(set(toxicity.features(pa.array([text.as_py()], pa.string()), s.bits, s.skips)[1].tolist()))
     assert pc.sum(pc.list_value_length(toxicity.coordinates(texts, s))).as_py() == sum(map(len, lists))
+
+
+def test_a_round_holds_one_batch_of_its_shard_at_a_time():
+    import weakref
+    from types import SimpleNamespace
+
+    import numpy as np
+
+    def batches():
+        for _ in range(12):
+            alive.append(sum(x() is not None for x in made))
+            values = np.zeros(100, np.int32)
+            made.append(weakref.ref(values))
+            lists = pa.ListArray.from_arrays(pa.array([0, 50, 100], pa.int32()), pa.array(values))
+            doc_id, toxic = pa.array([1, 2], pa.int64()), pa.array([0, 1], pa.int32())
+            batch = pa.RecordBatch.from_arrays([doc_id, toxic, lists], names=["doc_id", "toxic", "index"])
+            del values, lists
+            yield batch
+            del batch
+
+    made, alive = [], []
+    state = SimpleNamespace(value=(np.zeros(3), np.ones(3)))
+    assert len(list(toxicity._learner(state, toxicity.Settings())(batches()))) == 1
+    assert len(made) == 12 and max(alive) <= 2
+
+
+def test_training_texts_pass_one_python_process_a_task(spark, documents, monkeypatch):
+    plans = []
+    write = type(documents().write).parquet
+
+    def noted(self, path, *a, **b):
+        plans.append(self._df._jdf.queryExecution().optimizedPlan().toString())
+        return write(self, path, *a, **b)
+
+    monkeypatch.setattr(type(documents().write), "parquet", noted)
+    _, docs, labels = tables(spark, documents, 40)
+    toxicity.train(docs, labels)
+    assert [p.count("MapInArrow") for p in plans if "MapInArrow" in p] == [1]
