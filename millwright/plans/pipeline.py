@@ -26,6 +26,8 @@ from millwright.sources.tables import read_csv_checked, read_table
 log = logging.getLogger(__name__)
 
 MAX_ROWS = 2**63 - 1
+#: Compression of the CSV copies: as plain text the fact's is many times its Parquet files.
+CSV_CODEC = "gzip"
 
 
 @dataclass
@@ -125,7 +127,8 @@ class _Periods:
     def _replace(self, df: DataFrame, path: str, fmt: str = "parquet") -> None:
         """The touched partitions of an output, or all of them."""
         some = self.touched is not None
-        write(df, path, fmt, partition_by=self.by, replace_partitions_only=some)
+        codec = CSV_CODEC if fmt == "csv" else None
+        write(df, path, fmt, partition_by=self.by, replace_partitions_only=some, codec=codec)
         if some:
             drop_partitions(self.spark, path, self.by, self.emptied)
 
@@ -151,7 +154,7 @@ class _Periods:
                 summary = summary if self.touched is None else summary.where(within(self.by, self.touched))
                 self._replace(summary.select(*SUMMARY_KEYS, *[c for c in summary.columns if c not in SUMMARY_KEYS]), outputs["summary_csv"], "csv")
             else:
-                write(summary, outputs["summary_csv"], "csv")
+                write(summary, outputs["summary_csv"], "csv", codec=CSV_CODEC)
         touch(self.spark, self.marker)
         return outputs
 
@@ -256,7 +259,7 @@ def run(
                 ("summary_csv", stored_summary, summary_path),
             ):
                 report.outputs[key] = path.removesuffix(".parquet") + ".csv"
-                write(df, report.outputs[key], "csv")
+                write(df, report.outputs[key], "csv", codec=CSV_CODEC)
             lap("csv")
         report.status = "success"
     except Exception as e:

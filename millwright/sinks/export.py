@@ -53,6 +53,7 @@ def write(
     rebalance: bool = True,
     cluster_by: Sequence[str] = (),
     bloom: Sequence[str] = (),
+    codec: str | None = None,
 ) -> int:
     """Write Parquet or CSV in parallel; the number of rows that the write committed.
 
@@ -64,7 +65,8 @@ def write(
     ``num_files`` is for small extracts that must arrive as a fixed file count.
     ``cluster_by`` sorts rows into files by ranges of these columns, within their
     partitions, and ``bloom`` adds Bloom filters on columns to Parquet files: a reader
-    that looks for few values then skips most files and row groups.
+    that looks for few values then skips most files and row groups. ``codec`` names the
+    format's compression; CSV is plain without.
 
     The count is a metric of the write itself, taken in its last stage, where a task that
     is run again counts once; with mode "ignore" on an existing table it is 0.
@@ -89,6 +91,8 @@ def write(
     if fmt == "csv":
         writer = writer.options(**csv_options(), quoteAll=True)
         rows_per_file = rows_per_file or CSV_ROWS  # a task reads a whole file
+    if codec:
+        writer = writer.option("compression", codec)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if rows_per_file:

@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 
 from millwright.operators.quality import QualityError
@@ -188,3 +190,17 @@ def test_unknown_formats_are_refused_at_once(spark, tables, tmp_path):
     with pytest.raises(ValueError):
         pipeline.run(spark, tables, str(tmp_path), replace_partitions_only=True)
     assert not list(tmp_path.iterdir())
+
+
+@pytest.mark.parametrize("options", [{}, {"partition_by": ("event_year_month",), "replace_partitions_only": True}])
+def test_csv_copies_are_compressed_and_read_alike(spark, tables, tmp_path, options):
+    report = pipeline.run(spark, tables, str(tmp_path), **options)
+    for key, schema in (("fact", FACT), ("summary", SUMMARY)):
+        text = report.outputs[f"{key}_csv"]
+        files = [f.name for f in Path(text).rglob("part-*")]
+        assert files and all(f.endswith(".csv.gz") for f in files)
+        stored = read_table(spark, report.outputs[f"{key}_parquet"], schema).select(*schema.fieldNames())
+        columns = ", ".join(f"{c} string" for c in read_table(spark, text).columns)
+        read = read_table(spark, text, columns).select(*schema.fieldNames())
+        key_column = schema.fieldNames()[0]
+        assert sorted(map(str, read.select(key_column).collect())) == sorted(map(str, stored.select(key_column).collect()))
