@@ -50,9 +50,11 @@ def identities() -> list[Column]:
 
 def not_among(rows: DataFrame, others: DataFrame, how: str = "left_anti") -> DataFrame:
     """The rows whose event the others do not hold; with ``left_semi`` those they hold."""
-    keys = others.select(*identities())
-    own = rows.select("*", *[i.alias(f"{n}_row") for i, n in zip(identities(), ("__id", "__own"))])
-    same = F.col("__id_row").eqNullSafe(F.col("__id")) & F.col("__own_row").eqNullSafe(F.col("__own"))
+    # The hash first: sorting by it seldom comes to the other keys.
+    keys = others.select(key_hash().alias("__hash"), *identities())
+    own = rows.select("*", key_hash().alias("__hash_row"), *[i.alias(f"{n}_row") for i, n in zip(identities(), ("__id", "__own"))])
+    same = F.col("__hash_row") == F.col("__hash")
+    same = same & F.col("__id_row").eqNullSafe(F.col("__id")) & F.col("__own_row").eqNullSafe(F.col("__own"))
     return own.join(keys, same, how).select(*rows.columns)
 
 
@@ -98,11 +100,11 @@ class FactStore:
             fields = fields.add(c, self.schema[c].dataType)
         return fields.add("load", "string")
 
-    def located(self, rows: DataFrame) -> DataFrame:
-        """(h, partition, load) of every event that may be one of these rows."""
+    def located(self, hashes: DataFrame) -> DataFrame:
+        """(h, partition, load) of every event that may be one of those with these hashes."""
         self.locate_all()
         known = self.spark.read.schema(self._locator_schema()).option("recursiveFileLookup", True).parquet(self.locator)
-        return known.join(rows.select(key_hash().alias("h")).distinct(), "h", "left_semi")
+        return known.join(hashes.distinct(), "h", "left_semi")
 
     def locate_all(self) -> None:
         """The locator made from the table, if there is none that is complete."""
@@ -139,13 +141,12 @@ class FactStore:
         stage = new_path(self.spark, "merge")
         n_new = write(new.select(*self.schema.fieldNames()), f"{stage}/new")
         given = read_table(self.spark, f"{stage}/new", self.schema)
-        write(self.located(given), f"{stage}/located")
+        write(self.located(given.select(key_hash().alias("h"))), f"{stage}/located")
         located = read_table(self.spark, f"{stage}/located", self._locator_schema())
         touched = sorted({*partitions_of(given, self.partition_by), *partitions_of(located, self.partition_by)}, key=repr)
-        kept = not_among(self.rows(touched), given).select(*self.schema.fieldNames())
-        n = write(given.unionByName(kept), f"{stage}/all")
-        rows = read_table(self.spark, f"{stage}/all", self.schema)
-        return Staged(rows, given, located, touched, n_new, n, stage)
+        n_kept = write(not_among(self.rows(touched), given).select(*self.schema.fieldNames()), f"{stage}/kept")
+        rows = given.unionByName(read_table(self.spark, f"{stage}/kept", self.schema))
+        return Staged(rows, given, located, touched, n_new, n_new + n_kept, stage)
 
     def commit(self, staged: Staged) -> list[Partition]:
         """Puts the staged rows in place of their partitions; the emptied ones, which are removed.

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from millwright.functions.text import column
 from millwright.params import Params
@@ -83,31 +83,38 @@ def add_batch(store: FactStore, batch: DataFrame, load: str) -> None:
     """
     spark = store.spark
     stage = new_path(spark, "batch")
-    write(batch.select(*FACT.fieldNames()), f"{stage}/given")
-    given = read_table(spark, f"{stage}/given", FACT)
+    hashed = StructType([*FACT.fields, StructField("h", LongType())])
+    write(batch.select(*FACT.fieldNames(), key_hash().alias("h")), f"{stage}/given")
+    given = read_table(spark, f"{stage}/given", hashed)
+    write(store.located(given.select("h")), f"{stage}/located")
+    located = read_table(spark, f"{stage}/located", store._locator_schema())
+    # An event whose hash is stored nowhere and comes once is new. Only the others are compared.
+    twice = given.groupBy("h").count().where("count > 1").select("h")
+    write(located.select("h").union(twice).distinct(), f"{stage}/doubted")
+    doubted = read_table(spark, f"{stage}/doubted", "h long")
+    alone = given.join(doubted, "h", "left_anti").select(*FACT.fieldNames())
     # One of each event, the same one whenever the batch is given again; a window over
     # an event's own rows only, which a re-sent file repeats a few times.
     order = [F.col("start_timestamp"), *[F.to_json(F.struct(column(c))) for c in FACT.fieldNames() if c != "load_timestamp"]]
     turn = F.row_number().over(Window.partitionBy(*identities()).orderBy(*order))
-    write(given.withColumn("turn", turn), f"{stage}/numbered")
-    numbered = spark.read.parquet(f"{stage}/numbered")
-    first, again = (numbered.where(c).select(*FACT.fieldNames()) for c in ("turn = 1", "turn > 1"))
+    write(given.join(doubted, "h", "left_semi").withColumn("turn", turn), f"{stage}/numbered")
+    numbered = read_table(spark, f"{stage}/numbered", StructType([*hashed.fields, StructField("turn", IntegerType())]))
+    first, again = (numbered.where(c).drop("turn") for c in ("turn = 1", "turn > 1"))
 
-    write(store.located(given), f"{stage}/located")
-    located = read_table(spark, f"{stage}/located", store._locator_schema())
     # The locator may name partitions that held an event once, and its hashes may collide:
     # what counts is what the partitions hold.
     there = first.limit(0)
     if exists(spark, store.path):
         stored = store.rows(partitions_of(located, store.partition_by))
-        write(stored.select(*FACT.fieldNames()).transform(lambda rows: not_among(rows, first, "left_semi")), f"{stage}/there")
-        there = read_table(spark, f"{stage}/there", FACT)
-    fresh = not_among(first, there)
+        write(not_among(first, stored, "left_semi"), f"{stage}/there")
+        there = read_table(spark, f"{stage}/there", hashed)
+    write(not_among(first, there).select(*FACT.fieldNames()), f"{stage}/fresh")
+    fresh = alone.unionByName(read_table(spark, f"{stage}/fresh", FACT))
     # What an earlier try of this batch stored is no repeat of it.
     before = located.where(F.col("load") != load).select("h").distinct()
-    told = not_among(first, there, "left_semi").withColumn("h", key_hash()).join(before, "h", "left_semi").drop("h")
+    told = there.join(before, "h", "left_semi")
     reported = told.withColumn("repeats", F.lit("a stored event")).unionByName(again.withColumn("repeats", F.lit("its own load")))
-    reported = reported.withColumn("load", F.lit(load))
+    reported = reported.select(*FACT.fieldNames(), "repeats", F.lit(load).alias("load"))
     write(reported, repeats_of(store.path), partition_by=["load"], replace_partitions_only=True)
     store.record(fresh, located, load)
     write(fresh, store.path, mode="append", partition_by=store.partition_by)

@@ -11,6 +11,7 @@ from millwright.sinks import store
 from millwright.sinks.export import write
 from millwright.sinks.store import FactStore
 from millwright.sources.tables import read_table
+from millwright.streaming import ingest
 from millwright.streaming.ingest import add_batch, ingest_new_files, read_repeats
 
 BY_MONTH = {"partition_by": ("event_year_month",), "replace_partitions_only": True, "formats": ("parquet",)}
@@ -218,3 +219,20 @@ def test_ingest_and_merge_share_the_table(spark, stream, events, roster, tmp_pat
         [("e1", 8.0), ("e2", 100.0), ("e9", 100.0)],
         [("e1", 100.0, "a stored event")],
     )
+
+
+def test_new_events_of_a_batch_are_not_compared(spark, stream, events, roster, tmp_path, monkeypatch):
+    """Only events whose hash is stored or repeated are sorted and held against the table."""
+    stream(event("e1", "01"))
+    given, counts = ingest.write, {}
+
+    def counted(df, path, *a, **b):
+        counts[path.rsplit("/", 1)[-1]] = n = given(df, path, *a, **b)
+        return n
+
+    monkeypatch.setattr(ingest, "write", counted)
+    rows = [event("e1", "03"), event(None, "03"), event(None, "03"), *[event(f"n{i}", "03") for i in range(20)]]
+    table = FactStore(spark, str(tmp_path / "fact"), ("event_year_month",))
+    add_batch(table, pipeline.fact_of(events(*rows), roster(("T1", "Senior", 90.0))), "7")
+    assert read_table(spark, table.path, FACT).count() == 22
+    assert counts["given"] == 23 and counts["numbered"] == 3 and counts["fact"] == 21
