@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
+    AtomicType,
     DecimalType,
     FractionalType,
     MapType,
@@ -78,7 +79,9 @@ def write(
         out = out.repartition(num_files)  # a coalesce would narrow the work upstream too
     elif cluster_by:
         keys = [*partition_by, *cluster_by]
-        out = out.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        # Rows that are equal in the keys, such as all without one, may take several ranges.
+        rest = F.xxhash64(*[column(f.name) for f in out.schema.fields if isinstance(f.dataType, AtomicType)])
+        out = out.repartitionByRange(*keys, rest).sortWithinPartitions(*keys)
     elif partition_by and rebalance:
         out = out.hint("rebalance", *partition_by)
     if mode == "ignore" and exists(df.sparkSession, path):

@@ -227,3 +227,14 @@ def test_unclosed_lines_without_line_breaks(spark, tmp_path):
     schema = spark.createDataFrame([], "a int, b string").schema
     rows = read_csv_checked(spark, str(tmp_path / "a.csv"), schema, line_breaks=False).collect()
     assert [r.a for r in rows] == [1, 2]
+
+
+def test_rows_without_the_clustering_key_take_several_files(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        rows = spark.range(10_000).selectExpr("'m' AS month", "if(id % 10 = 0, string(id), null) AS id", "id AS n")
+        write(rows, str(tmp_path / "f"), partition_by=["month"], cluster_by=["id"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = spark.read.parquet(str(tmp_path / "f")).groupBy(F.input_file_name()).count().collect()
+    assert sum(r["count"] for r in files) == 10_000 and max(r["count"] for r in files) < 5_000
