@@ -7,7 +7,8 @@ model that scoring tasks get is a short array of non-zero coordinates.
 
 Training takes a bounded sample: `sample` labelled rows, those whose ids hash lowest.
 It is dealt to `shards` tasks. In each round, every shard goes through its rows
-from the common state, and the states are averaged per coordinate.
+from the common state, and the states are averaged per coordinate. States stay in shared
+storage, where the tasks of the next round read them; the driver gets the weights only.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
+from itertools import chain, islice
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -24,12 +27,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millwright.llm.common import Scratch, new_path, slices, take
+from millwright.llm.common import Scratch, delete, new_path, slices, take
 
 #: Odd multipliers that tell the kinds of feature apart.
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)
 #: Bytes of text whose features are made at a time.
 PART = 1 << 20
+#: Coordinates in a row of a stored state.
+BLOCK = 1 << 14
+STATE = "shard int, block int, z array<double>, n array<double>"
 
 
 @dataclass(frozen=True)
@@ -111,10 +117,10 @@ def ftrl(rows, state: tuple[np.ndarray, np.ndarray], s: Settings) -> None:
 
 
 def _learner(start, s: Settings):
-    """One round over a shard, from the broadcast state on; returns the shard's state."""
+    """One round over a shard, from a state on that it updates; returns the shard's share of the next."""
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        z, n = (x.copy() for x in start.value)
+        z, n = start.value
         seen = 0
         for batch in batches:  # in the order of `turn`
             lists = batch.column("index")
@@ -128,6 +134,60 @@ def _learner(start, s: Settings):
     return learn
 
 
+def _added(batches: Iterator[pa.RecordBatch], state: tuple[np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Adds the stored states, which come first, to state; returns the rows after them."""
+    for batch in batches:
+        held = batch.num_rows - batch.column("block").null_count
+        for i in range(held):
+            at = batch.column("block")[i].as_py() * BLOCK
+            for name, sums in zip("zn", state):
+                values = batch.column(name)[i].values.to_numpy()
+                sums[at : at + len(values)] += values
+        if batch.num_rows > held:
+            yield batch.slice(held)
+
+
+def _round(k: int, size: int, first: float | None, total: int, s: Settings):
+    """A round over shard k and the states of the round before, or from first on, the bias's z."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        z, n = np.zeros(size), np.zeros(size)
+        rows = _added(batches, (z, n))
+        ahead = [*islice(rows, 1)]  # all states are read then
+        if first is None:
+            z /= total
+            n /= total
+        else:
+            z[-1], n[-1] = first, 1.0
+        rows = chain(ahead, rows)
+        del ahead
+        for state in _learner(SimpleNamespace(value=(z, n)), s)(rows):
+            cuts = pa.array([*range(0, size, BLOCK), size], pa.int32())
+            lists = [pa.ListArray.from_arrays(cuts, state.column(name)) for name in "zn"]
+            blocks = pa.array(range(len(cuts) - 1), pa.int32())
+            shard = pa.array([k] * len(blocks), pa.int32())
+            yield pa.RecordBatch.from_arrays([shard, blocks, *lists], names=["shard", "block", "z", "n"])
+
+    return run
+
+
+def _weights(size: int, total: int, s: Settings):
+    """(at, weight) of every coordinate with a weight from the states of the last round; the bias has the last place."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        z, n = np.zeros(size), np.zeros(size)
+        for _ in _added(batches, (z, n)):
+            pass
+        z /= total
+        n /= total
+        weight = -np.sign(z) * np.maximum(np.abs(z) - s.l1, 0) / ((s.beta + np.sqrt(n)) / s.alpha + s.l2)
+        weight[-1] = -z[-1] / ((s.beta + math.sqrt(n[-1])) / s.alpha)
+        at = np.flatnonzero(np.append(weight[:-1], 1.0))
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(weight[at])], names=["at", "weight"])
+
+    return run
+
+
 def train(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) -> Model:
     """A model from docs (doc_id, text) and labels (doc_id, toxic).
 
@@ -194,28 +254,29 @@ def _trained(docs: DataFrame, labels: DataFrame, s: Settings, store: Scratch) ->
     rows.repartition(s.shards, "shard").write.partitionBy("shard").parquet(path)
     known_at.destroy()
     stored = spark.read.schema(schema).parquet(path)
-    shards = [
-        stored.where(F.col("shard") == k).coalesce(1).sortWithinPartitions("turn", "doc_id").select("toxic", "index")
-        for k in range(s.shards)
-    ]
-    prior = math.log(toxic / (total - toxic))
-    z, n = np.zeros(len(active) + 1), np.zeros(len(active) + 1)
-    n[-1] = 1.0
-    z[-1] = -prior * (s.beta + 1.0) / s.alpha
+    size = len(active) + 1
+    in_order = [F.col("block").asc_nulls_last(), "shard", "turn", "doc_id"]
+    first, states = -math.log(toxic / (total - toxic)) * (s.beta + 1.0) / s.alpha, None
     for _ in range(min(max(-(-s.visits // total), s.rounds[0]), s.rounds[1])):
-        start = spark.sparkContext.broadcast((z, n))  # 16 bytes for each of 2**bits coordinates at most
-        learner = _learner(start, s)
-        states = [x.mapInArrow(learner, "z double, n double") for x in shards]
-        states = reduce(DataFrame.union, states).toArrow()
-        start.destroy()
-        # All coordinates of one shard after the other, in the order of the union.
-        z, n = (states[c].to_numpy().reshape(-1, len(active) + 1).sum(axis=0) / total for c in ("z", "n"))
-        del states
-        pa.default_memory_pool().release_unused()
-    weight = -np.sign(z) * np.maximum(np.abs(z) - s.l1, 0) / ((s.beta + np.sqrt(n)) / s.alpha + s.l2)
-    bias = float(-z[-1] / ((s.beta + math.sqrt(n[-1])) / s.alpha))
-    at = np.flatnonzero(weight[:-1])
-    return Model(s.bits, s.skips, bias, active[at].astype(np.int64), weight[at])
+        ends = []
+        for k in range(s.shards):
+            shard = stored.where(F.col("shard") == k).withColumn("block", F.lit(None).cast("int"))
+            shard = shard.withColumn("z", F.lit(None).cast("array<double>")).withColumn("n", F.col("z"))
+            both = shard if states is None else shard.unionByName(states, allowMissingColumns=True)
+            both = both.coalesce(1).sortWithinPartitions(*in_order).select("block", "z", "n", "toxic", "index")
+            ends.append(both.mapInArrow(_round(k, size, first if states is None else None, total, s), STATE))
+        # A task for each shard, 16 bytes for each of 2**bits coordinates at most.
+        path = new_path(spark, "toxicity-states")
+        store.paths.append(path)
+        reduce(DataFrame.union, ends).write.save(path, format="parquet")
+        if states is not None:
+            delete(spark, store.paths.pop(-2))
+        states = spark.read.schema(STATE).parquet(path)
+    ordered = states.coalesce(1).sortWithinPartitions("block", "shard")
+    found = ordered.mapInArrow(_weights(size, total, s), "at int, weight double").toArrow()
+    at, weight = found["at"].to_numpy(), found["weight"].to_numpy()
+    bias, at, weight = float(weight[-1]), at[:-1], weight[:-1]
+    return Model(s.bits, s.skips, bias, active[at].astype(np.int64), weight)
 
 
 def scores(texts: pa.Array, model: Model) -> np.ndarray:

@@ -197,3 +197,49 @@ def test_training_texts_pass_one_python_process_a_task(spark, documents, monkeyp
     _, docs, labels = tables(spark, documents, 40)
     toxicity.train(docs, labels)
     assert [p.count("MapInArrow") for p in plans if "MapInArrow" in p] == [1]
+
+
+def test_states_of_the_rounds_do_not_reach_the_driver(spark, documents, monkeypatch):
+    _, docs, labels = tables(spark, documents, 200)
+    kind, got, sent = type(docs), [], []
+    to_arrow, broadcast = kind.toArrow, type(spark.sparkContext).broadcast
+    monkeypatch.setattr(kind, "toArrow", lambda self: got.append(to_arrow(self)) or got[-1])
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, x: sent.append(x) or broadcast(self, x))
+    model = toxicity.train(docs, labels, toxicity.Settings(l1=0.5))
+    assert [x.column_names for x in got] == [["i"], ["at", "weight"]] and len(sent) == 1
+    assert 0 < len(model.index) == got[1].num_rows - 1 < got[0].num_rows
+
+
+def test_stored_states_are_averaged_over_blocks_and_batches(monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(toxicity, "BLOCK", 3)
+    s, size = toxicity.Settings(l1=0.1), 8
+    names = ["block", "z", "n", "toxic", "index"]
+
+    def examples(k):
+        index = [[0, 3, 6], [k, 5]]
+        columns = [pa.nulls(2, pa.int32()), pa.nulls(2, pa.list_(pa.float64())), pa.nulls(2, pa.list_(pa.float64()))]
+        return pa.RecordBatch.from_arrays([*columns, pa.array([1, k], pa.int32()), pa.array(index, pa.list_(pa.int32()))], names=names)
+
+    z, n = np.zeros(size), np.zeros(size)
+    z[-1], n[-1] = 0.7, 1.0
+    first = [[*toxicity._round(k, size, 0.7, 4, s)(iter([examples(k)]))] for k in (0, 1)]
+    ends = [next(toxicity._learner(_held(z, n), s)(iter([examples(k)]))) for k in (0, 1)]
+    want = [sum(e[c].to_numpy() for e in ends) / 4 for c in ("z", "n")]
+    rows = sorted((r for x in first for b in x for r in b.to_pylist()), key=lambda r: (r["block"], r["shard"]))
+    states = pa.Table.from_pylist([{**r, "toxic": None, "index": None} for r in rows]).select(names)
+    kinds = examples(0).schema
+    states = states.cast(kinds).combine_chunks().to_batches()[0]
+    mixed = pa.Table.from_batches([states, examples(1)]).combine_chunks().to_batches()
+    for batches in (mixed, [states.slice(0, 2), states.slice(2), examples(1)]):
+        (got,) = toxicity._round(1, size, None, 4, s)(iter(batches))
+        again = next(toxicity._learner(_held(*want), s)(iter([examples(1)])))
+        assert got["z"].values.to_pylist() == again["z"].to_pylist() and got["n"].values.to_pylist() == again["n"].to_pylist()
+    assert [*toxicity._round(1, size, None, 4, s)(iter([states]))] == []
+
+
+def _held(z, n):
+    from types import SimpleNamespace
+
+    return SimpleNamespace(value=(z.copy(), n.copy()))
