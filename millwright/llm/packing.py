@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from millwright.llm.common import Scratch, ranked, slices, stored, take
+from millwright.llm.common import Scratch, freeing, ranked, slices, stored, take
 
 #: Fixed value: how byte-level vocabularies of this family split a text before merging.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -95,7 +95,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end: int = 0) -> Data
                 columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return take(docs, "doc_id", "text").mapInArrow(run, schema)
+    return take(docs, "doc_id", "text").mapInArrow(freeing(run), schema)
 
 
 def sweep(pieces: dict[int, int], gaps: dict[int, int]) -> list[tuple[int, int, int, int, int]]:

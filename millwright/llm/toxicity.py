@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millwright.llm.common import Scratch, delete, new_path, slices, take
+from millwright.llm.common import Scratch, delete, free, freeing, new_path, slices, take
 
 #: Odd multipliers that tell the kinds of feature apart.
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)
@@ -213,7 +213,7 @@ def _trained(docs: DataFrame, labels: DataFrame, s: Settings, store: Scratch) ->
                     names=["doc_id", "toxic", "index"],
                 )
 
-    rows = sampled.mapInArrow(run, "doc_id long, toxic int, index array<int>")
+    rows = sampled.mapInArrow(freeing(run), "doc_id long, toxic int, index array<int>")
     total, toxic = sampled.agg(F.count("*"), F.sum(F.expr("int(toxic > 0)"))).first()
     none = Model(s.bits, s.skips, -20.0, np.zeros(0, np.int64), np.zeros(0))
     if not total or not toxic or toxic == total:
@@ -247,7 +247,7 @@ def _trained(docs: DataFrame, labels: DataFrame, s: Settings, store: Scratch) ->
 
     schema = "doc_id long, toxic int, index array<int>, turn long, shard int"
     # From the texts again: one Python process a task, and no lists that go back and forth.
-    rows = sampled.mapInArrow(renumber, schema)
+    rows = sampled.mapInArrow(freeing(renumber), schema)
     # A folder for each shard, so that no round shuffles; a shard is a bounded part of the sample.
     path = new_path(spark, "toxicity-shards")
     store.paths.append(path)
@@ -264,7 +264,7 @@ def _trained(docs: DataFrame, labels: DataFrame, s: Settings, store: Scratch) ->
             shard = shard.withColumn("z", F.lit(None).cast("array<double>")).withColumn("n", F.col("z"))
             both = shard if states is None else shard.unionByName(states, allowMissingColumns=True)
             both = both.coalesce(1).sortWithinPartitions(*in_order).select("block", "z", "n", "toxic", "index")
-            ends.append(both.mapInArrow(_round(k, size, first if states is None else None, total, s), STATE))
+            ends.append(both.mapInArrow(freeing(_round(k, size, first if states is None else None, total, s)), STATE))
         # A task for each shard, 16 bytes for each of 2**bits coordinates at most.
         path = new_path(spark, "toxicity-states")
         store.paths.append(path)
@@ -273,7 +273,7 @@ def _trained(docs: DataFrame, labels: DataFrame, s: Settings, store: Scratch) ->
             delete(spark, store.paths.pop(-2))
         states = spark.read.schema(STATE).parquet(path)
     ordered = states.coalesce(1).sortWithinPartitions("block", "shard")
-    found = ordered.mapInArrow(_weights(size, total, s), "at int, weight double").toArrow()
+    found = ordered.mapInArrow(freeing(_weights(size, total, s)), "at int, weight double").toArrow()
     at, weight = found["at"].to_numpy(), found["weight"].to_numpy()
     bias, at, weight = float(weight[-1]), at[:-1], weight[:-1]
     return Model(s.bits, s.skips, bias, active[at].astype(np.int64), weight)
@@ -300,6 +300,7 @@ def score_column(text: Column, model: Model) -> Column:
             texts = texts.combine_chunks()
         batch = pa.RecordBatch.from_arrays([texts], names=["text"])
         parts = [scores(b.column(0), model) for b in slices(batch, pc.binary_length(texts), PART)]
+        free()
         return pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
     return score(text)

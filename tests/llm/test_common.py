@@ -41,3 +41,39 @@ def test_archives_and_groups_do_not_depend_on_the_join(spark, documents, monkeyp
         monkeypatch.setattr(module, "split_join", partial(common.split_join, few=0, most=1))
     monkeypatch.setattr(warc, "COPIES", 1)
     assert results() == want
+
+
+def test_a_task_gives_memory_back_when_its_rows_are_done(monkeypatch):
+    import weakref
+
+    import pyarrow as pa
+
+    from millwright.llm import common
+
+    made, alive, calls = [], [], []
+
+    def task(batches):
+        for batch in batches:
+            made.append(weakref.ref(batch))
+            yield batch
+
+    monkeypatch.setattr(common, "free", lambda: (calls.append(1), alive.append(sum(x() is not None for x in made))))
+    batches = (pa.RecordBatch.from_pylist([{"x": i}]) for i in range(3))
+    assert sum(b.num_rows for b in common.freeing(task)(batches)) == 3
+    assert calls == [1] and alive[0] <= 1
+
+
+def test_scratch_deletes_single_tables_early(spark):
+    import os
+
+    from millwright.llm.common import Scratch, done, stored
+
+    with Scratch(spark) as store:
+        for label in ("a-b", "a", "a-b"):
+            store(spark.range(3), label)
+        paths = [p.removeprefix("file:") for p in store.paths]
+        done(stored, "a-b")
+        assert all(map(os.path.exists, paths))
+        done(store, "a-b")
+        assert [os.path.exists(p) for p in paths] == [False, True, False] and len(store.paths) == 1
+    assert not any(map(os.path.exists, paths))
