@@ -1,3 +1,4 @@
+import time
 from functools import partial
 
 import pytest
@@ -77,3 +78,18 @@ def test_scratch_deletes_single_tables_early(spark):
         done(store, "a-b")
         assert [os.path.exists(p) for p in paths] == [False, True, False] and len(store.paths) == 1
     assert not any(map(os.path.exists, paths))
+
+
+def test_done_gives_back_the_disk_of_shuffles(spark):
+    files = lambda: set(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split())  # noqa: E731, E501
+    with common.Scratch(spark) as store:
+        before = files()
+        counts = store(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+        new = {f for f in files() - before if "/shuffle_" in f}
+        assert new
+        store.done()
+        until = time.time() + 10
+        while new & files() and time.time() < until:
+            time.sleep(0.1)
+        assert not new & files()
+        assert counts.count() == 7
